@@ -23,8 +23,8 @@ CDR_AS_OF = dt.date(2024, 1, 19)
 PLATFORM_PROJECTS = ["3", "7", "12", "21", "1030", "1044", "1058", "1071"]
 PLATFORM_SERVICES = ["Brand#11", "Brand#12", "Brand#13", "Brand#14", "Brand#15", "Brand#21",
                      "Brand#22", "Brand#23", "Brand#31", "Brand#32", "Brand#41", "Brand#99"]
-API_PROJECTS = ["5", "1050"]
-API_SERVICES = ["Brand#13", "Brand#42"]
+API_PROJECTS = ["16", "1011"]
+API_SERVICES = ["Brand#5", "Brand#2"]
 FEE_SKUS = ["PROMO"]
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -95,3 +95,54 @@ def bill_scoped_arrears(spark, sf_dir):
 def bill_cud_fee(spark, sf_dir):
     """Commitment-fee SKUs moved from Cost to Savings programmes."""
     return rp.cost_breakdown(fx.bill(spark, sf_dir), AS_OF_SUMMER, fee_skus=FEE_SKUS)
+
+
+@register("credit_sums", orc.credit_rows_sql())
+def credit_sums(spark, sf_dir):
+    """Per-row CUD and other credit sums (HOFs over the row's array)."""
+    return rp.credit_columns(fx.bill(spark, sf_dir))
+
+
+@register("credit_sums_lateral", orc.credit_rows_sql())
+def credit_sums_lateral(spark, sf_dir):
+    """J2 cross-check: the same sums as a correlated LATERAL over explode_outer."""
+    return rp.credit_columns_lateral(spark, fx.bill(spark, sf_dir))
+
+
+# ------------------------------------------------------------ cost and usage
+@register("cur_services", orc.cur_by_service_sql(AS_OF_SUMMER))
+def cur_services(spark, sf_dir):
+    """Q4: unblended cost by product, current month, top 10."""
+    return rp.cur_cost_by_service(fx.cur(spark, sf_dir), AS_OF_SUMMER)
+
+
+@register("cur_monthly", orc.cur_by_service_sql(AS_OF_WINTER, offset=-1, label="Service"))
+def cur_monthly(spark, sf_dir):
+    """Q5: previous month (December across the year boundary), label 'Service'."""
+    return rp.cur_cost_by_service(fx.cur(spark, sf_dir), AS_OF_WINTER, month_offset=-1, label="Service")
+
+
+@register("cur_effective_costs", orc.cur_by_service_sql(AS_OF_SUMMER, effective=True))
+def cur_effective_costs(spark, sf_dir):
+    """Reservation and savings-plan effective cost next to unblended cost."""
+    return rp.cur_cost_by_service(fx.cur(spark, sf_dir), AS_OF_SUMMER, effective=True)
+
+
+@register("cur_by_environment", orc.cur_by_environment_sql(AS_OF_SUMMER))
+def cur_by_environment(spark, sf_dir):
+    """Cost and line-item count per environment tag."""
+    return rp.cur_cost_by_environment(fx.cur(spark, sf_dir), AS_OF_SUMMER)
+
+
+# ------------------------------------------------------------ call records
+@register("cdr_services", orc.cdr_by_category_sql(CDR_AS_OF))
+def cdr_services(spark, sf_dir):
+    """Q6: EUR cost by category, current month, no limit."""
+    return rp.cdr_cost_by_category(fx.cdr(spark, sf_dir), CDR_AS_OF)
+
+
+@register("sources_side_by_side", orc.side_by_side_sql(AS_OF_SUMMER, AS_OF_SUMMER, CDR_AS_OF))
+def sources_side_by_side(spark, sf_dir):
+    """The three sources side by side, one currency per row, never summed across."""
+    return rp.sources_side_by_side(fx.bill(spark, sf_dir), fx.cur(spark, sf_dir), fx.cdr(spark, sf_dir),
+                                   bill_as_of=AS_OF_SUMMER, cur_as_of=AS_OF_SUMMER, cdr_as_of=CDR_AS_OF)

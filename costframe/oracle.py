@@ -204,3 +204,64 @@ ORDER BY "Subtotal" DESC NULLS LAST, "Service Description" {lim}
 """
     # The body starts with ", cost_data AS" so it can follow the view CTEs.
     return with_views("", "bill") + body.replace("\n, cost_data", ", cost_data", 1)
+
+
+def credit_rows_sql() -> str:
+    return with_views(f"""
+SELECT service.id AS service_id, project.id AS project_id, usage_start_time, cost_type,
+       coalesce(len(credits), -1) AS n_credits,
+       CAST({CUD_SQL} AS DECIMAL(26,9)) AS cud_credits,
+       CAST({OTHER_SQL} AS DECIMAL(26,9)) AS other_savings
+FROM bill""", "bill")
+
+
+def round2(expr: str) -> str:
+    return f"CAST(round(sum(CAST({expr} AS DECIMAL(26,9))), 2) AS DOUBLE)"
+
+
+def cur_by_service_sql(as_of: dt.date, *, offset: int = 0, label: str = "Service Description",
+                       effective: bool = False, limit: int | None = 10) -> str:
+    lo, hi = month_literals(as_of, offset)
+    extra = ""
+    if effective:
+        extra = (f', {round2("reservation_effective_cost")} AS "Reservation effective cost"'
+                 f', {round2("savings_plan_effective_cost")} AS "Savings plan effective cost"')
+    lim = f"LIMIT {limit}" if limit else ""
+    return with_views(f"""
+SELECT product_name AS "{label}", {round2("line_item_unblended_cost")} AS "Cost" {extra}
+FROM cur
+WHERE line_item_type != 'Tax' AND usage_date >= {lo} AND usage_date < {hi}
+GROUP BY product_name
+ORDER BY "Cost" DESC NULLS LAST, "{label}" {lim}""", "cur")
+
+
+def cur_by_environment_sql(as_of: dt.date, offset: int = 0) -> str:
+    lo, hi = month_literals(as_of, offset)
+    return with_views(f"""
+SELECT resource_tags_environment AS environment, {round2("line_item_unblended_cost")} AS "Cost",
+       count(*) AS line_items
+FROM cur
+WHERE line_item_type != 'Tax' AND usage_date >= {lo} AND usage_date < {hi}
+GROUP BY resource_tags_environment""", "cur")
+
+
+def cdr_by_category_sql(as_of: dt.date, offset: int = 0) -> str:
+    lo, hi = month_literals(as_of, offset)
+    return with_views(f"""
+SELECT category AS "Service Description", {round2("total_price")} AS "Cost"
+FROM cdr
+WHERE usage_date >= {lo} AND usage_date < {hi}
+GROUP BY category ORDER BY "Cost" DESC NULLS LAST, "Service Description" """, "cdr")
+
+
+def side_by_side_sql(bill_as_of: dt.date, cur_as_of: dt.date, cdr_as_of: dt.date) -> str:
+    gcp = breakdown_sql(bill_as_of, limit=None)
+    aws = cur_by_service_sql(cur_as_of, limit=None)
+    tel = cdr_by_category_sql(cdr_as_of)
+    return f"""
+SELECT 'gcp' AS source, 'USD' AS currency, "Service Description" AS service,
+       CAST(round("Subtotal", 2) AS DOUBLE) AS cost FROM ({gcp})
+UNION ALL
+SELECT 'aws', 'USD', "Service Description", "Cost" FROM ({aws})
+UNION ALL
+SELECT 'cdr', 'EUR', "Service Description", "Cost" FROM ({tel})"""
