@@ -146,3 +146,122 @@ def sources_side_by_side(spark, sf_dir):
     """The three sources side by side, one currency per row, never summed across."""
     return rp.sources_side_by_side(fx.bill(spark, sf_dir), fx.cur(spark, sf_dir), fx.cdr(spark, sf_dir),
                                    bill_as_of=AS_OF_SUMMER, cur_as_of=AS_OF_SUMMER, cdr_as_of=CDR_AS_OF)
+
+
+# ------------------------------------------------------------ normalisers
+def ntz(df: DataFrame) -> DataFrame:
+    """TIMESTAMP columns as their UTC wall clock (TIMESTAMP_NTZ), for comparison
+    with engines that have no instant type in the result."""
+    from pyspark.sql import functions as F
+    from pyspark.sql import types as T
+
+    return df.select(*[F.col(f.name).cast("timestamp_ntz").alias(f.name)
+                       if isinstance(f.dataType, T.TimestampType) else F.col(f.name)
+                       for f in df.schema.fields])
+
+
+@register("cur_normalise", orc.CUR_TABLE_SQL)
+def cur_normalise(spark, sf_dir):
+    """Raw report text -> the 25 typed columns (round trip of the cur view)."""
+    from .operators.cur import normalise_cur
+
+    return ntz(normalise_cur(fx.cur_raw(spark, sf_dir)))
+
+
+@register("cdr_normalise", orc.CDR_TABLE_SQL)
+def cdr_normalise(spark, sf_dir):
+    """Raw call/message rows -> typed records."""
+    from .operators.cdr import normalise_cdr
+
+    return normalise_cdr(fx.cdr_raw(spark, sf_dir)).drop("raw")
+
+
+@register("cdr_promote_raw", orc.CDR_PROMOTED_SQL)
+def cdr_promote_raw(spark, sf_dir):
+    """The whole raw row kept as JSON, fields promoted back out of it."""
+    from pyspark.sql import functions as F
+
+    from .operators.cdr import normalise_cdr, promote_raw_field
+
+    t = normalise_cdr(fx.cdr_raw(spark, sf_dir))
+    t = promote_raw_field(t, "status", "raw_status")
+    t = promote_raw_field(t, "client_ref", "client_ref")
+    return t.select("record_id", "raw_status",
+                    F.get_json_object("client_ref", "$.k").try_cast("bigint").alias("client_k"))
+
+
+@register("usage_flatten", orc.USAGE_FLAT_SQL)
+def usage_flatten(spark, sf_dir):
+    """Usage buckets -> 18-column keyed rows."""
+    from .operators.usage import flatten_usage
+
+    return ntz(flatten_usage(fx.usage_buckets(spark, sf_dir)))
+
+
+@register("cost_flatten", orc.COST_FLAT_SQL)
+def cost_flatten(spark, sf_dir):
+    """Cost buckets -> 14-column keyed rows, strict amount parse."""
+    from .operators.usage import flatten_cost
+
+    return ntz(flatten_cost(fx.cost_buckets(spark, sf_dir)))
+
+
+@register("usage_total_input", orc.USAGE_TOTAL_INPUT_SQL)
+def usage_total_input(spark, sf_dir):
+    """Total input tokens = uncached + cache read + both cache creations."""
+    from .operators.usage import flatten_usage
+
+    return rp.usage_input_by_day(flatten_usage(fx.usage_buckets(spark, sf_dir)))
+
+
+@register("usage_rollup", orc.USAGE_ROLLUP_SQL)
+def usage_rollup(spark, sf_dir):
+    """Events rolled into 1h buckets per event type."""
+    from pyspark.sql import functions as F
+
+    from .functions.numbers import round_sum2
+
+    ev = fx.table(spark, sf_dir, "events")
+    return ntz(rp.rollup(ev, "ts", "1h", ["event_type"], {
+        "events": F.count(F.lit(1)),
+        "output_tokens": F.sum(F.floor("value").cast("bigint")),
+        "value": round_sum2("value"),
+    }))
+
+
+@register("invoice_normalise", orc.INVOICE_TABLE_SQL)
+def invoice_normalise(spark, sf_dir):
+    """Invoice rows typed, month from the file name, footers dropped."""
+    from .operators.invoice import normalise_invoice
+
+    return normalise_invoice(fx.invoice_raw(spark, sf_dir))
+
+
+@register("invoice_reconcile", orc.INVOICE_RECONCILE_SQL)
+def invoice_reconcile(spark, sf_dir):
+    """Per-service subtotals against the footer total, per month."""
+    from .operators.invoice import reconcile_invoice
+
+    return reconcile_invoice(fx.invoice_raw(spark, sf_dir))
+
+
+@register("billing_periods", orc.BILLING_PERIODS_SQL)
+def billing_periods(spark, sf_dir):
+    """Billing-period labels to re-read for every order date."""
+    from pyspark.sql import functions as F
+
+    from .functions.dates import periods_to_check
+
+    days = fx.table(spark, sf_dir, "orders").select(F.to_date("o_orderdate").alias("as_of")).distinct()
+    return days.select("as_of", F.posexplode(periods_to_check("as_of"))).select(
+        "as_of", F.col("col").alias("period"), (F.col("pos") > 0).alias("is_previous"))
+
+
+@register("lookback_window", orc.lookback_sql(CDR_AS_OF, 2))
+def lookback_window(spark, sf_dir):
+    """The [as_of - 2 days, as_of) re-read window of the call records."""
+    from .functions.dates import lookback
+
+    c = fx.cdr(spark, sf_dir)
+    return c.filter(lookback("usage_date", CDR_AS_OF, 2)).select(
+        "record_id", "usage_date", "product", "total_price")

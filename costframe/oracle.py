@@ -265,3 +265,99 @@ UNION ALL
 SELECT 'aws', 'USD', "Service Description", "Cost" FROM ({aws})
 UNION ALL
 SELECT 'cdr', 'EUR', "Service Description", "Cost" FROM ({tel})"""
+
+
+CUR_TABLE_SQL = with_views("SELECT * FROM cur", "cur")
+
+CDR_TABLE_SQL = with_views("""
+SELECT usage_date, record_id, product, direction, category, total_price, currency, network,
+       country, status FROM cdr""", "cdr")
+
+CDR_PROMOTED_SQL = with_views("""
+SELECT record_id, status AS raw_status, CAST(json_extract(raw, '$.k') AS BIGINT) AS client_k
+FROM cdr""", "cdr")
+
+
+def usage_key_sql(day: str, dims: list[str]) -> str:
+    parts = ", ".join([f"CAST({day} AS VARCHAR)"] + [f"coalesce({d}, 'None')" for d in dims])
+    return f"sha256(concat_ws('|', {parts}))"
+
+
+USAGE_DIMS = ["account_id", "api_key_id", "workspace_id", "service_account_id", "model",
+              "service_tier", "context_window", "inference_geo"]
+
+USAGE_FLAT_SQL = with_views(f"""
+SELECT usage_date, {usage_key_sql('usage_date', USAGE_DIMS)} AS record_id, bucket_start, bucket_end,
+       {", ".join(USAGE_DIMS)}, uncached_input_tokens, cache_read_input_tokens,
+       cache_creation_ephemeral_5m_input_tokens, cache_creation_ephemeral_1h_input_tokens,
+       output_tokens, web_search_requests
+FROM usage_flat""", "usage_flat")
+
+COST_FLAT_SQL = with_views(f"""
+SELECT usage_date, {usage_key_sql('usage_date', ['workspace_id', 'description', 'cost_type', 'token_type',
+                                                 'model', 'service_tier', 'context_window', 'inference_geo'])}
+         AS record_id,
+       bucket_start, bucket_end, workspace_id, description, cost_type, token_type, model, service_tier,
+       context_window, inference_geo, currency, amount_usd
+FROM (
+  SELECT day AS usage_date, CAST(day AS TIMESTAMP) AS bucket_start,
+         CAST(day + INTERVAL 1 DAY AS TIMESTAMP) AS bucket_end,
+         CASE WHEN parity = 0 THEN NULL ELSE 'w1' END AS workspace_id,
+         event_type || ' tokens' AS description, 'tokens' AS cost_type,
+         'uncached_input_tokens' AS token_type, event_type AS model, 'standard' AS service_tier,
+         '0-200k' AS context_window, 'global' AS inference_geo, 'USD' AS currency,
+         CAST(n AS DOUBLE) AS amount_usd
+  FROM usage_results)""", "usage_results")
+
+USAGE_TOTAL_INPUT_SQL = with_views("""
+SELECT usage_date, model,
+       sum(coalesce(uncached_input_tokens, 0) + coalesce(cache_read_input_tokens, 0)
+           + coalesce(cache_creation_ephemeral_5m_input_tokens, 0)
+           + coalesce(cache_creation_ephemeral_1h_input_tokens, 0)) AS total_input_tokens,
+       sum(coalesce(output_tokens, 0)) AS output_tokens
+FROM usage_flat GROUP BY usage_date, model""", "usage_flat")
+
+USAGE_ROLLUP_SQL = """
+SELECT date_trunc('hour', ts) AS bucket_start, event_type, count(*) AS events,
+       sum(CAST(floor(value) AS BIGINT)) AS output_tokens,
+       CAST(round(sum(CAST(value AS DECIMAL(26,9))), 2) AS DOUBLE) AS value
+FROM events GROUP BY 1, 2"""
+
+INVOICE_TABLE_SQL = with_views("""
+SELECT month AS invoice_month, 'Priority ' || sid AS service_description, sid AS service_id,
+       CAST(list_c AS DOUBLE) / 100 AS list_cost,
+       CAST(neg_c AS DOUBLE) / 100 AS negotiated_savings,
+       CAST(sp_c AS DOUBLE) / 100 AS savings_programmes,
+       CAST(0 AS DOUBLE) AS other_savings,
+       CAST(sub_c AS DOUBLE) / 100 AS unrounded_subtotal,
+       CAST(sub_c AS DOUBLE) / 100 AS subtotal,
+       CASE WHEN prev IS NULL THEN 'New' ELSE CAST(((sub_c - prev) * 100) // prev AS VARCHAR) END
+         AS percent_change_vs_previous
+FROM (SELECT *, lag(sub_c) OVER (PARTITION BY sid ORDER BY month) AS prev FROM orders_monthly)""",
+                               "orders_monthly")
+
+INVOICE_RECONCILE_SQL = with_views("""
+SELECT month AS invoice_month, count(*) AS services,
+       CAST(round(sum(CAST(CAST(sub_c AS DOUBLE) / 100 AS DECIMAL(26,9))), 2) AS DOUBLE) AS services_subtotal,
+       CAST(round(CAST(CAST(sum(sub_c) AS DOUBLE) / 100 AS DECIMAL(26,9)), 2) AS DOUBLE) AS footer_subtotal,
+       CAST(round(sum(CAST(CAST(sub_c AS DOUBLE) / 100 AS DECIMAL(26,9)))
+                  - CAST(CAST(sum(sub_c) AS DOUBLE) / 100 AS DECIMAL(26,9)), 2) AS DOUBLE) AS difference,
+       round(sum(CAST(CAST(sub_c AS DOUBLE) / 100 AS DECIMAL(26,9)))
+             - CAST(CAST(sum(sub_c) AS DOUBLE) / 100 AS DECIMAL(26,9)), 2) = 0 AS matches
+FROM orders_monthly GROUP BY month""", "orders_monthly")
+
+BILLING_PERIODS_SQL = """
+WITH d AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS as_of FROM orders),
+m AS (SELECT as_of, CAST(date_trunc('month', as_of) AS DATE) AS ms FROM d)
+SELECT as_of, strftime(ms, '%Y%m%d') || '-' || strftime(ms + INTERVAL 1 MONTH, '%Y%m%d') AS period,
+       false AS is_previous FROM m
+UNION ALL
+SELECT as_of, strftime(ms - INTERVAL 1 MONTH, '%Y%m%d') || '-' || strftime(ms, '%Y%m%d'), true
+FROM m WHERE day(as_of) <= 7"""
+
+
+def lookback_sql(as_of: dt.date, days: int) -> str:
+    return with_views(f"""
+SELECT record_id, usage_date, product, total_price FROM cdr
+WHERE usage_date >= DATE '{as_of.isoformat()}' - INTERVAL {days} DAY
+  AND usage_date < DATE '{as_of.isoformat()}'""", "cdr")
