@@ -265,3 +265,160 @@ def lookback_window(spark, sf_dir):
     c = fx.cdr(spark, sf_dir)
     return c.filter(lookback("usage_date", CDR_AS_OF, 2)).select(
         "record_id", "usage_date", "product", "total_price")
+
+
+# ------------------------------------------------------------ upsert
+CDR_KEYS = ["usage_date", "record_id"]
+LIVE_FROM = dt.date(1998, 1, 1)
+
+
+def _cdr_id():
+    from pyspark.sql import functions as F
+
+    return F.col("record_id").cast("bigint")
+
+
+def _bump(df: DataFrame, by: float) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    return df.withColumn("total_price", F.col("total_price") + F.lit(by))
+
+
+def _upsert_parts(spark, sf_dir):
+    c = fx.cdr(spark, sf_dir)
+    return c.filter(_cdr_id() % 3 != 0), _bump(c.filter(_cdr_id() % 2 == 0), 1.0)
+
+
+@register("upsert_cdr", orc.UPSERT_SQL)
+def upsert_cdr(spark, sf_dir):
+    """Keyed MERGE as anti join + union; target-only keys stay."""
+    from .operators.tables import collapse_loads, merge
+
+    target, source = _upsert_parts(spark, sf_dir)
+    return merge(target, collapse_loads(source, CDR_KEYS), CDR_KEYS)
+
+
+@register("upsert_last_wins", orc.LAST_WINS_SQL)
+def upsert_last_wins(spark, sf_dir):
+    """§1.4.11: two loads in one pass; for a key in both, the later load wins."""
+    from pyspark.sql import functions as F
+
+    from .operators.tables import collapse_loads, merge
+
+    c = fx.cdr(spark, sf_dir)
+    loads = (_bump(c.filter(_cdr_id() % 2 == 0), 1.0).withColumn("load_ordinal", F.lit(1))
+             .unionByName(_bump(c.filter(_cdr_id() % 3 == 0), 2.0).withColumn("load_ordinal", F.lit(2))))
+    return merge(c.filter(_cdr_id() % 5 != 0), collapse_loads(loads, CDR_KEYS, "load_ordinal"), CDR_KEYS)
+
+
+@register("replace_days", orc.REPLACE_DAYS_SQL)
+def replace_days(spark, sf_dir):
+    """K6: the days a load carries are replaced whole."""
+    from pyspark.sql import functions as F
+
+    from .operators.tables import replace_days as replace
+
+    c = fx.cdr(spark, sf_dir)
+    source = _bump(c.filter((_cdr_id() % 2 == 0) & (F.dayofmonth("usage_date") % 7 == 0)), 1.0)
+    return replace(c, source, "usage_date")
+
+
+@register("upsert_twice_counts", orc.UPSERT_TWICE_SQL)
+def upsert_twice_counts(spark, sf_dir):
+    """D3, K4, K5, K7: load the same source once and twice into written
+    day-partitioned tables; the table is the same after both."""
+    from pyspark.sql import functions as F
+
+    from .functions.numbers import round_sum2
+    from .operators.tables import upsert_table, write_table
+    from .session import scratch_path
+
+    target, source = _upsert_parts(spark, sf_dir)
+    out = []
+    for run in (1, 2):
+        path = scratch_path(spark, f"cdr-upsert-run{run}")
+        write_table(target, path)
+        for _ in range(run):
+            upsert_table(spark, path, source, CDR_KEYS)
+        upsert_table(spark, path, source.limit(0), CDR_KEYS)  # empty load: no-op
+        out.append(spark.read.parquet(path).agg(F.count(F.lit(1)).alias("rows"),
+                                                round_sum2("total_price").alias("total_price"))
+                   .select(F.lit(run).alias("run"), "rows", "total_price"))
+    return out[0].unionByName(out[1])
+
+
+@register("load_summary", orc.LOAD_SUMMARY_SQL)
+def load_summary(spark, sf_dir):
+    """K8: rows staged per (product, requested direction) load and their days."""
+    from .functions.keys import date_prefix
+    from .operators.tables import load_summary as summary
+
+    raw = fx.cdr_raw(spark, sf_dir).withColumn("usage_date", date_prefix("request_start"))
+    return summary(raw, ["product", "direction_requested"])
+
+
+# ------------------------------------------------------------ checks
+@register("duplicate_keys", orc.DUPLICATE_KEYS_SQL)
+def duplicate_keys(spark, sf_dir):
+    """Keys claimed unique that are not ((orderkey, linenumber) of lineitem)."""
+    from .plans.checks import duplicate_keys as dup
+
+    return dup(fx.table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
+
+
+FRESH_CDR_AS_OF = dt.date(2024, 2, 1)
+FRESH_CUR_AS_OF = dt.date(2001, 11, 10)
+
+
+@register("freshness", orc.freshness_sql(FRESH_CDR_AS_OF, FRESH_CUR_AS_OF))
+def freshness(spark, sf_dir):
+    """Last date per table and whether it is within two days."""
+    from .plans.checks import freshness as fresh
+
+    return fresh(fx.cdr(spark, sf_dir), "cdr", FRESH_CDR_AS_OF).unionByName(
+        fresh(fx.cur(spark, sf_dir), "cur", FRESH_CUR_AS_OF))
+
+
+@register("coverage", orc.COVERAGE_SQL)
+def coverage(spark, sf_dir):
+    """Days present out of the covered span."""
+    from .plans.checks import coverage as cov
+
+    return cov(fx.cdr(spark, sf_dir), "cdr").unionByName(cov(fx.cur(spark, sf_dir), "cur"))
+
+
+@register("coverage_gaps", orc.COVERAGE_GAPS_SQL)
+def coverage_gaps(spark, sf_dir):
+    """The missing days themselves."""
+    from .plans.checks import coverage_gaps as gaps
+
+    return gaps(fx.cdr(spark, sf_dir), "cdr").unionByName(gaps(fx.cur(spark, sf_dir), "cur"))
+
+
+AUDIT_PROJECTS = ["3", "1007", "projects/12", "250", "1099"]
+AUDIT_SERVICES = ["Brand#11", "services/Brand#12", "Brand#99"]
+
+
+@register("scope_audit", orc.scope_audit_sql(AUDIT_PROJECTS, AUDIT_SERVICES))
+def scope_audit(spark, sf_dir):
+    """Configured scope ids that match nothing in the export (0 rows)."""
+    from .plans.checks import scope_audit as audit
+
+    b = fx.bill(spark, sf_dir)
+    return audit(spark, b, "project", AUDIT_PROJECTS, ["project.id", "project.number"]).unionByName(
+        audit(spark, b, "service", AUDIT_SERVICES, ["service.id"]))
+
+
+@register("month_source_union", orc.month_sources_sql(LIVE_FROM))
+def month_source_union(spark, sf_dir):
+    """Invoice summary before the live export starts, live export after."""
+    from pyspark.sql import functions as F
+
+    from .functions.dates import local_midnight_utc
+    from .operators.invoice import normalise_invoice
+    from .plans.checks import monthly_sources
+
+    b = fx.bill(spark, sf_dir)
+    start = local_midnight_utc(LIVE_FROM).strftime("%Y-%m-%d %H:%M:%S")
+    live = b.filter(F.col("usage_start_time") >= F.expr(f"TIMESTAMP_NTZ '{start}'"))
+    return monthly_sources(normalise_invoice(fx.invoice_raw(spark, sf_dir)), live)

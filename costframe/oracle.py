@@ -361,3 +361,113 @@ def lookback_sql(as_of: dt.date, days: int) -> str:
 SELECT record_id, usage_date, product, total_price FROM cdr
 WHERE usage_date >= DATE '{as_of.isoformat()}' - INTERVAL {days} DAY
   AND usage_date < DATE '{as_of.isoformat()}'""", "cdr")
+
+
+CDR_COLS = ("usage_date, record_id, product, direction, category, total_price, currency, network, "
+            "country, status, raw")
+
+
+def _cdr_split(where: str, bump: float) -> str:
+    return (f"SELECT usage_date, record_id, product, direction, category, total_price + {bump} AS total_price, "
+            f"currency, network, country, status, raw FROM cdr WHERE {where}")
+
+
+def _merge_sql(target: str, source: str) -> str:
+    return (f"SELECT {CDR_COLS} FROM ({target}) t WHERE NOT EXISTS (SELECT 1 FROM ({source}) s "
+            f"WHERE s.usage_date = t.usage_date AND s.record_id = t.record_id) "
+            f"UNION ALL SELECT {CDR_COLS} FROM ({source})")
+
+
+ID = "CAST(record_id AS BIGINT)"
+UPSERT_TARGET = f"SELECT {CDR_COLS} FROM cdr WHERE {ID} % 3 <> 0"
+UPSERT_SOURCE = _cdr_split(f"{ID} % 2 = 0", 1)
+UPSERT_SQL = with_views(_merge_sql(UPSERT_TARGET, UPSERT_SOURCE), "cdr")
+
+LAST_WINS_SOURCE = f"""
+SELECT {CDR_COLS} FROM (
+  SELECT *, row_number() OVER (PARTITION BY usage_date, record_id ORDER BY ord DESC) AS rn FROM (
+    SELECT *, 1 AS ord FROM ({_cdr_split(f"{ID} % 2 = 0", 1)})
+    UNION ALL
+    SELECT *, 2 AS ord FROM ({_cdr_split(f"{ID} % 3 = 0", 2)})))
+WHERE rn = 1"""
+LAST_WINS_SQL = with_views(_merge_sql(f"SELECT {CDR_COLS} FROM cdr WHERE {ID} % 5 <> 0", LAST_WINS_SOURCE),
+                           "cdr")
+
+REPLACE_SOURCE = _cdr_split(f"{ID} % 2 = 0 AND day(usage_date) % 7 = 0", 1)
+REPLACE_DAYS_SQL = with_views(f"""
+SELECT {CDR_COLS} FROM cdr WHERE usage_date NOT IN (SELECT usage_date FROM ({REPLACE_SOURCE}))
+UNION ALL SELECT {CDR_COLS} FROM ({REPLACE_SOURCE})""", "cdr")
+
+UPSERT_TWICE_SQL = with_views(f"""
+SELECT r.run, count(*) AS rows, CAST(round(sum(CAST(m.total_price AS DECIMAL(26,9))), 2) AS DOUBLE) AS total_price
+FROM ({_merge_sql(UPSERT_TARGET, UPSERT_SOURCE)}) m, (VALUES (1), (2)) r(run)
+GROUP BY r.run""", "cdr")
+
+DUPLICATE_KEYS_SQL = """
+SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem
+GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1"""
+
+
+def freshness_sql(cdr_as_of: dt.date, cur_as_of: dt.date) -> str:
+    def one(name: str, as_of: dt.date) -> str:
+        return (f"SELECT '{name}' AS \"table\", min(usage_date) AS first_date, max(usage_date) AS last_date, "
+                f"CAST(DATE '{as_of}' - max(usage_date) AS INTEGER) AS lag_days, "
+                f"DATE '{as_of}' - max(usage_date) <= 2 AS fresh FROM {name}")
+    return with_views(f"{one('cdr', cdr_as_of)} UNION ALL {one('cur', cur_as_of)}", "cdr", "cur")
+
+
+COVERAGE_SQL = with_views(" UNION ALL ".join(
+    f"SELECT '{t}' AS \"table\", min(usage_date) AS first_date, max(usage_date) AS last_date, "
+    f"count(DISTINCT usage_date) AS days_present, "
+    f"CAST(max(usage_date) - min(usage_date) + 1 AS INTEGER) AS days_in_span FROM {t}"
+    for t in ("cdr", "cur")), "cdr", "cur")
+
+COVERAGE_GAPS_SQL = with_views(" UNION ALL ".join(
+    f"SELECT '{t}' AS \"table\", CAST(d AS DATE) AS day FROM "
+    f"(SELECT unnest(generate_series(min(usage_date), max(usage_date), INTERVAL 1 DAY)) AS d FROM {t}) "
+    f"WHERE CAST(d AS DATE) NOT IN (SELECT usage_date FROM {t})"
+    for t in ("cdr", "cur")), "cdr", "cur")
+
+
+def scope_audit_sql(projects, services) -> str:
+    def one(scope: str, ids, cols) -> str:
+        vals = ", ".join(f"('{i}')" for i in dict.fromkeys(ids))
+        arr = ", ".join(cols)
+        return (f"SELECT '{scope}' AS scope, c.configured_id, coalesce(h.rows, 0) AS rows, "
+                f"h.rows IS NOT NULL AS matched FROM (VALUES {vals}) c(configured_id) LEFT JOIN "
+                f"(SELECT x AS configured_id, count(*) AS rows FROM (SELECT unnest([{arr}]) AS x FROM bill) "
+                f"WHERE x IN ({sql_list(ids)}) GROUP BY x) h ON c.configured_id = h.configured_id")
+    return with_views(one("project", projects, ["project.id", "project.number"]) + " UNION ALL "
+                      + one("service", services, ["service.id"]), "bill")
+
+
+LOCAL_MONTH = ("CAST(date_trunc('month', timezone('Europe/London', usage_start_time AT TIME ZONE 'UTC')) "
+               "AS DATE)")
+
+
+def month_sources_sql(live_from: dt.date) -> str:
+    inv = INVOICE_TABLE_SQL.split("\nSELECT month AS invoice_month", 1)
+    return f"""{inv[0]},
+bill AS ({VIEW_SQL["bill"]}),
+invoice AS (SELECT month AS invoice_month{inv[1]}),
+live AS (
+  SELECT {LOCAL_MONTH} AS month, 'live' AS source,
+         CAST(round(sum(CAST(cost_at_list AS DECIMAL(26,9))), 2) AS DOUBLE) AS list_cost,
+         CAST(round(sum(CAST(cost AS DECIMAL(26,9))), 2) AS DOUBLE) AS cost
+  FROM bill WHERE usage_start_time >= {london_bound(live_from)} GROUP BY 1),
+inv AS (
+  SELECT invoice_month AS month, 'invoice' AS source,
+         CAST(round(sum(CAST(list_cost AS DECIMAL(26,9))), 2) AS DOUBLE) AS list_cost,
+         CAST(round(sum(CAST(subtotal AS DECIMAL(26,9))), 2) AS DOUBLE) AS cost
+  FROM invoice GROUP BY 1)
+SELECT * FROM inv WHERE month NOT IN (SELECT month FROM live)
+UNION ALL SELECT * FROM live"""
+
+
+LOAD_SUMMARY_SQL = """
+SELECT CASE event_type WHEN 'view' THEN 'SMS' WHEN 'click' THEN 'VOICE-CALL' WHEN 'signup' THEN 'VOICE-CALL'
+                       WHEN 'purchase' THEN 'VOICE-TTS' WHEN 'error' THEN 'WEBSOCKET-CALL' END AS product,
+       CASE WHEN event_type IN ('view', 'signup') THEN 'inbound' WHEN event_type = 'click' THEN 'outbound' END
+         AS direction_requested,
+       count(*) AS rows, min(CAST(ts AS DATE)) AS first_date, max(CAST(ts AS DATE)) AS last_date
+FROM events GROUP BY 1, 2"""
