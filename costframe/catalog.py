@@ -422,3 +422,86 @@ def month_source_union(spark, sf_dir):
     start = local_midnight_utc(LIVE_FROM).strftime("%Y-%m-%d %H:%M:%S")
     live = b.filter(F.col("usage_start_time") >= F.expr(f"TIMESTAMP_NTZ '{start}'"))
     return monthly_sources(normalise_invoice(fx.invoice_raw(spark, sf_dir)), live)
+
+
+# ------------------------------------------------------------ landed files
+@register("cur_csv_roundtrip", orc.CUR_TABLE_SQL)
+def cur_csv_roundtrip(spark, sf_dir):
+    """Land the report as gzip CSV parts + manifests per
+    period, scan every period through its manifest, normalise."""
+    from .landing import land_cur
+    from .operators.cur import normalise_cur
+    from .session import scratch_path
+    from .sources.cur import cur_scan
+
+    bucket = scratch_path(spark, "cur-landing")
+    land_cur(spark, fx.cur_raw(spark, sf_dir), bucket, "costs")
+    return ntz(normalise_cur(cur_scan(spark, bucket, "costs")))
+
+
+@register("cdr_zip_roundtrip", orc.CDR_TABLE_SQL)
+def cdr_zip_roundtrip(spark, sf_dir):
+    """Land one zipped CSV report per (product, direction, day), scan
+    the zips (binaryFile + unzip), normalise."""
+    from .landing import land_cdr
+    from .operators.cdr import normalise_cdr
+    from .session import scratch_path
+    from .sources.cdr import zip_csv_scan
+
+    root = scratch_path(spark, "cdr-landing")
+    land_cdr(spark, fx.cdr_raw(spark, sf_dir), root)
+    return normalise_cdr(zip_csv_scan(spark, root)).drop("raw")
+
+
+@register("bucket_json_roundtrip", orc.USAGE_FLAT_SQL)
+def bucket_json_roundtrip(spark, sf_dir):
+    """Land usage buckets as JSON pages, scan all pages, flatten."""
+    from .landing import land_pages
+    from .operators.usage import flatten_usage
+    from .session import scratch_path
+    from .sources.buckets import USAGE_RESULT, bucket_scan
+
+    root = scratch_path(spark, "usage-pages")
+    land_pages(spark, fx.usage_buckets(spark, sf_dir), root)
+    return ntz(flatten_usage(bucket_scan(spark, root, USAGE_RESULT, multi_line=False)))
+
+
+@register("invoice_csv_roundtrip", orc.INVOICE_TABLE_SQL)
+def invoice_csv_roundtrip(spark, sf_dir):
+    """Land one dated CSV per invoice month, scan the folder, normalise."""
+    from .landing import land_invoices
+    from .operators.invoice import normalise_invoice
+    from .session import scratch_path
+    from .sources.invoices import invoice_scan
+
+    root = scratch_path(spark, "invoices")
+    land_invoices(spark, fx.invoice_raw(spark, sf_dir), root)
+    return normalise_invoice(invoice_scan(spark, root))
+
+
+@register("stream_usage_upsert", orc.USAGE_FLAT_SQL)
+def stream_usage_upsert(spark, sf_dir):
+    """Two overlapping pulls land as pages; a file stream upserts each new
+    batch into the day-partitioned usage table; the re-read days stay single."""
+    from pyspark.sql import functions as F
+
+    from .landing import land_pages
+    from .operators.usage import USAGE_KEYS, flatten_usage
+    from .session import scratch_path
+    from .sources.buckets import USAGE_RESULT, page_schema
+    from .streaming.incremental import stream_upsert
+
+    buckets = fx.usage_buckets(spark, sf_dir)
+    day = F.dayofmonth(F.substring("starting_at", 1, 10).cast("date"))
+    landing = scratch_path(spark, "usage-stream-landing")
+    target = scratch_path(spark, "usage-table")
+    ckpt = scratch_path(spark, "usage-stream-ckpt")
+
+    def transform(pages):
+        return flatten_usage(pages.select(F.explode("data").alias("b")).select("b.*"))
+
+    for n, part in enumerate([buckets.filter(day <= 20), buckets.filter(day >= 10)]):
+        land_pages(spark, part, f"{landing}/pull={n}")
+        stream_upsert(spark, f"{landing}/pull={n}", page_schema(USAGE_RESULT), transform, target,
+                      list(USAGE_KEYS), f"{ckpt}/pull={n}")
+    return ntz(spark.read.parquet(target).select(*flatten_usage(buckets.limit(0)).columns))

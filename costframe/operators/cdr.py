@@ -20,7 +20,7 @@ PRODUCT_CATEGORY = {"SMS": "SMS", "WEBSOCKET-CALL": "WebSocket"}
 CDR_KEYS = ("usage_date", "record_id")
 
 # Landing columns that describe the request, not the row.
-LANDING_COLUMNS = ("product", "direction_requested", "request_start", "load_ordinal")
+LANDING_COLUMNS = ("product", "direction_requested", "request_start", "load_ordinal", "raw_json")
 
 CDR_COLUMNS = ["usage_date", "record_id", "product", "direction", "category", "total_price",
                "currency", "network", "country", "status", "raw"]
@@ -73,7 +73,7 @@ def normalise_cdr(raw: DataFrame, raw_columns: list[str] | None = None) -> DataF
         text("network").alias("network"),
         text("country").alias("country"),
         text("status").alias("status"),
-        row_json(row_cols).alias("raw"),
+        (F.col("raw_json") if "raw_json" in raw.columns else row_json(row_cols)).alias("raw"),
     ]
     if "load_ordinal" in raw.columns:
         out.append(F.col("load_ordinal"))
