@@ -28,8 +28,23 @@ from .functions.numbers import ROW_DECIMAL
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Scan one driver table."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Scan one driver table.
+
+    The driver's files are a single Parquet row group each, which Spark can
+    only read as one task; a table that scans into fewer partitions than the
+    cluster has cores is spread once (round-robin, deterministic because
+    Spark sorts before it) so the derivations above it use every core.
+    Tables landed by Spark itself are multi-file and need no such step.
+    """
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    if name in SPREAD_TABLES and df.rdd.getNumPartitions() < cores:
+        df = df.repartition(cores)
+    return df
+
+
+# Driver tables large enough to be worth spreading over the cores.
+SPREAD_TABLES = ("lineitem", "orders", "events")
 
 
 def _lineitem_part(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -108,29 +108,31 @@ def upsert_table(spark: SparkSession, target_path: str, source: DataFrame, keys:
                  mode: str = "upsert") -> dict:
     """Load ``source`` into the day-partitioned table at ``target_path``.
 
-    1. Collapse the loads to one row per key and stage them as Parquet in the
-       shared scratch folder (the staging table; it also cuts the lineage, so a
-       lost executor re-reads staged files rather than re-parsing raw input).
-    2. Read the staged days (bounded by the calendar, not by the data).
+    1. Collapse the loads to one row per key.  Into a table that does not
+       exist yet, that is written straight away (first load).
+    2. Otherwise stage the collapsed rows as flat Parquet in the shared
+       scratch folder (the staging table; it also cuts the lineage, so a lost
+       executor re-reads staged files rather than re-parsing raw input).
     3. Empty source: nothing is touched (K7).
-    4. Merge against only those days of the target and overwrite only them.
+    4. Read the staged days (bounded by the calendar, not by the data), merge
+       against only those days of the target and overwrite only them.
     """
-    staged_path = scratch_path(spark, "staging")
     obs = Observation("staged")
-    collapsed = collapse_loads(source, keys, ordinal)
-    write_table(collapsed.observe(obs, F.count(F.lit(1)).alias("rows")), staged_path, date_col)
+    collapsed = collapse_loads(source, keys, ordinal).observe(obs, F.count(F.lit(1)).alias("rows"))
+    if not _exists(spark, target_path):
+        write_table(collapsed, target_path, date_col)
+        return {"staged_rows": obs.get.get("rows", 0), "days": None}
+    staged_path = scratch_path(spark, "staging")
+    collapsed.write.mode("overwrite").parquet(staged_path)
     staged_rows = obs.get.get("rows", 0)
     if not staged_rows:
         return {"staged_rows": 0, "days": 0}
     staged = spark.read.parquet(staged_path)
     days = [r[0] for r in staged.select(date_col).distinct().collect()]
-    if _exists(spark, target_path):
-        target = spark.read.parquet(target_path).filter(F.col(date_col).isin(days))
-        staged = staged.select(*target.columns)
-        merged = (replace_days(target, staged, date_col) if mode == "replace_days"
-                  else merge(target, staged, keys))
-    else:
-        merged = staged
+    target = spark.read.parquet(target_path).filter(F.col(date_col).isin(days))
+    staged = staged.select(*target.columns)
+    merged = (replace_days(target, staged, date_col) if mode == "replace_days"
+              else merge(target, staged, keys))
     write_table(merged, target_path, date_col)
     return {"staged_rows": staged_rows, "days": len(days)}
 

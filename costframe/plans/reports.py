@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.credits import cud_credits, other_savings
-from ..functions.dates import REPORT_TZ, date_in_month, instant_in_month, local_month
+from ..functions.dates import REPORT_TZ, date_in_month, instant_in_month, local_month, month_bounds
 from ..functions.numbers import finish, money, round_sum2, sum_money
 
 # Cost types a report leaves out.
@@ -53,6 +53,12 @@ def cost_breakdown(bill: DataFrame, as_of: dt.date, *, month_offset: int = 0,
     pred = ((F.col("cost_type") != EXCLUDED_COST_TYPES[0])
             & (F.col("cost_type") != EXCLUDED_COST_TYPES[1])
             & instant_in_month("usage_start_time", ts_type, as_of, month_offset, tz))
+    if "usage_date" in bill.columns:
+        # Day-partitioned table: the UTC days that can hold instants of the
+        # local month, as a partition filter (prunes whole day folders).
+        lo, hi = month_bounds(as_of, month_offset)
+        pred = pred & (F.col("usage_date") >= F.lit(lo - dt.timedelta(days=1))) & (
+            F.col("usage_date") <= F.lit(hi))
     if projects is not None:
         ids = list(projects)
         pred = pred & (F.col("project.id").isin(ids) | F.col("project.number").isin(ids))
