@@ -39,6 +39,10 @@ def get_session(master: str | None = None, app: str = "costframe",
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
     )
+    if master and master.startswith("local"):
+        # One machine, local disk: listing day folders serially on the driver
+        # beats a listing job.  Clusters keep the distributed listing.
+        builder = builder.config("spark.sql.sources.parallelPartitionDiscovery.threshold", "100000")
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = builder.getOrCreate()
