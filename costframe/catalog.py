@@ -164,16 +164,20 @@ def ntz(df: DataFrame) -> DataFrame:
 def cur_normalise(spark, sf_dir):
     """Raw report text -> the 25 typed columns (round trip of the cur view)."""
     from .operators.cur import normalise_cur
+    from .operators.tables import conform
+    from .schemas import CUR_SCHEMA, required
 
-    return ntz(normalise_cur(fx.cur_raw(spark, sf_dir)))
+    return ntz(conform(normalise_cur(fx.cur_raw(spark, sf_dir)), CUR_SCHEMA, required(CUR_SCHEMA)))
 
 
 @register("cdr_normalise", orc.CDR_TABLE_SQL)
 def cdr_normalise(spark, sf_dir):
     """Raw call/message rows -> typed records."""
     from .operators.cdr import normalise_cdr
+    from .operators.tables import conform
+    from .schemas import CDR_SCHEMA, required
 
-    return normalise_cdr(fx.cdr_raw(spark, sf_dir)).drop("raw")
+    return conform(normalise_cdr(fx.cdr_raw(spark, sf_dir)), CDR_SCHEMA, required(CDR_SCHEMA)).drop("raw")
 
 
 @register("cdr_promote_raw", orc.CDR_PROMOTED_SQL)
@@ -505,3 +509,28 @@ def stream_usage_upsert(spark, sf_dir):
         stream_upsert(spark, f"{landing}/pull={n}", page_schema(USAGE_RESULT), transform, target,
                       list(USAGE_KEYS), f"{ckpt}/pull={n}")
     return ntz(spark.read.parquet(target).select(*flatten_usage(buckets.limit(0)).columns))
+
+
+@register("distinct_services", orc.DISTINCT_SERVICES_SQL)
+def distinct_services(spark, sf_dir):
+    """How many distinct service ids and projects the export holds."""
+    from .plans.checks import distinct_values
+
+    b = fx.bill(spark, sf_dir)
+    return distinct_values(b, "service.id", "service.id").unionByName(
+        distinct_values(b, "project.id", "project.id"))
+
+
+@register("invoice_month_overlap", orc.month_overlap_sql(LIVE_FROM))
+def invoice_month_overlap(spark, sf_dir):
+    """Invoice months the live export also covers (kept out of the union)."""
+    from pyspark.sql import functions as F
+
+    from .functions.dates import local_midnight_utc
+    from .operators.invoice import normalise_invoice
+    from .plans.checks import month_overlap
+
+    b = fx.bill(spark, sf_dir)
+    start = local_midnight_utc(LIVE_FROM).strftime("%Y-%m-%d %H:%M:%S")
+    live = b.filter(F.col("usage_start_time") >= F.expr(f"TIMESTAMP_NTZ '{start}'"))
+    return month_overlap(normalise_invoice(fx.invoice_raw(spark, sf_dir)), live)

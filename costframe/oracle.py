@@ -471,3 +471,16 @@ SELECT CASE event_type WHEN 'view' THEN 'SMS' WHEN 'click' THEN 'VOICE-CALL' WHE
          AS direction_requested,
        count(*) AS rows, min(CAST(ts AS DATE)) AS first_date, max(CAST(ts AS DATE)) AS last_date
 FROM events GROUP BY 1, 2"""
+
+
+DISTINCT_SERVICES_SQL = with_views("""
+SELECT 'service.id' AS "column", count(DISTINCT service.id) AS distinct_values FROM bill
+UNION ALL
+SELECT 'project.id', count(DISTINCT project.id) FROM bill""", "bill")
+
+
+def month_overlap_sql(live_from: dt.date) -> str:
+    return with_views(f"""
+SELECT DISTINCT month AS invoice_month FROM orders_monthly
+WHERE month IN (SELECT {LOCAL_MONTH} FROM bill WHERE usage_start_time >= {london_bound(live_from)})""",
+                      "orders_monthly", "bill")
