@@ -74,7 +74,7 @@ def main() -> None:
 
     def load_bill():
         b = fx.bill(spark, sf_dir).withColumn("usage_date", F.to_date("usage_start_time"))
-        write_table(b, tables["bill"])
+        write_table(b, tables["bill"], new_table=True)
     timed("load_bill", load_bill)
 
     bill = spark.read.parquet(tables["bill"])

@@ -6,7 +6,7 @@ updates matched keys and inserts the rest, never deleting.  Here:
 * :func:`conform` is the typed staging projection with the REQUIRED check.
 * :func:`collapse_loads` turns one or many loads into one row per key
   (highest load ordinal wins; a key twice inside one load fails the job).
-  It shuffles once, on the key; both aggregations after it are local.
+  One window on the key: one shuffle, one sort.
 * :func:`merge` is the MERGE as a plan: target anti-join source keys, union
   source.  Catalyst/AQE pick broadcast only when the source side is measured
   small, sort-merge otherwise.
@@ -19,7 +19,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -43,29 +43,46 @@ def conform(df: DataFrame, schema: T.StructType, required: Sequence[str] = ()) -
 
 def collapse_loads(source: DataFrame, keys: Sequence[str], ordinal: str | None = None,
                    on_duplicate: str = "raise") -> DataFrame:
-    """One row per key out of one or more loads.
+    """One row per key out of one or more loads (lazy).
 
     ``ordinal`` orders the loads (later wins, as when loads are merged one
     after another).  A key present twice in the same load raises (the
     default) or, with ``on_duplicate='any'``, keeps one of them.
+
+    One window over the key: a single shuffle on the key and one sort by
+    (key, ordinal desc).  Inside a key, two neighbours with the same ordinal
+    are a duplicate within one load.
     """
     keys = list(keys)
     src = source if ordinal else source.withColumn(ORDINAL, F.lit(0))
     ordc = ordinal or ORDINAL
-    payload = [c for c in src.columns if c not in keys and c != ordc]
-    # One shuffle on the key: HashPartitioning(keys) satisfies both the
-    # (keys, ordinal) and the (keys) grouping below.
-    part = src.repartition(*keys)
-    per_load = part.groupBy(*keys, ordc).agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.first(F.struct(*[F.col(f"`{c}`") for c in payload])).alias("_row"))
+    w = Window.partitionBy(*keys).orderBy(F.col(ordc).desc())
+    marked = src.withColumn("_rn", F.row_number().over(w)).withColumn("_next", F.lead(ordc).over(w))
+    keep = F.col("_rn") == 1
     if on_duplicate == "raise":
-        per_load = per_load.filter(F.when(F.col("_n") > 1, F.raise_error(F.concat(
+        keep = F.when(F.col("_next") == F.col(ordc), F.raise_error(F.concat(
             F.lit("duplicate key inside one load: "),
-            F.to_json(F.struct(*[F.col(k) for k in keys]))))).otherwise(F.lit(True)))
-    win = per_load.groupBy(*keys).agg(F.max_by(F.col("_row"), F.col(ordc)).alias("_row"))
-    return win.select(*keys, *[F.col("_row")[c].alias(c) for c in payload]).select(
-        *[c for c in source.columns if c != ordc])
+            F.to_json(F.struct(*[F.col(k) for k in keys]))))).otherwise(keep)
+    return marked.filter(keep).select(*[c for c in source.columns if c != ordc])
+
+
+def check_unique(df: DataFrame, keys: Sequence[str], ordinal: str | None = None) -> None:
+    """Fail when a key occurs twice inside one load.
+
+    Reads the key columns only and aggregates them with a partial
+    (map-side) count; at most one offending key reaches the driver.
+    """
+    by = list(keys) + ([ordinal] if ordinal else [])
+    dup = (df.groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
+             .filter(F.col("n") > 1).limit(1).collect())
+    if dup:
+        raise ValueError(f"duplicate key inside one load: {dup[0].asDict()}")
+
+
+def latest_per_key(df: DataFrame, keys: Sequence[str], ordinal: str) -> DataFrame:
+    """The row of the highest load ordinal per key (keys already unique per load)."""
+    w = Window.partitionBy(*keys).orderBy(F.col(ordinal).desc())
+    return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn", ordinal)
 
 
 def merge(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -84,7 +101,7 @@ def replace_days(target: DataFrame, source: DataFrame, date_col: str = "usage_da
 
 
 def write_table(df: DataFrame, path: str, date_col: str = "usage_date",
-                cluster_by: Sequence[str] | None = None) -> None:
+                cluster_by: Sequence[str] | None = None, new_table: bool = False) -> None:
     """Day-partitioned Parquet write that replaces only the days present (K4).
 
     With ``cluster_by`` (the row key) rows are range-partitioned on
@@ -97,6 +114,11 @@ def write_table(df: DataFrame, path: str, date_col: str = "usage_date",
         laid_out = df.repartitionByRange(date_col, *extra)
     else:
         laid_out = df.hint("rebalance", date_col)
+    if new_table:
+        # A table that does not exist yet has no days to keep: plain write,
+        # no per-day replace step.
+        laid_out.write.mode("errorifexists").partitionBy(date_col).parquet(path)
+        return
     (laid_out.write.mode("overwrite")
        .option("partitionOverwriteMode", "dynamic")
        .partitionBy(date_col)
@@ -125,26 +147,30 @@ def upsert_table(spark: SparkSession, target_path: str, source: DataFrame, keys:
                  mode: str = "upsert") -> dict:
     """Load ``source`` into the day-partitioned table at ``target_path``.
 
-    1. Collapse the loads to one row per key.  Into a table that does not
-       exist yet, that is written straight away (first load).
-    2. Otherwise stage the collapsed rows as flat Parquet in the shared
-       scratch folder (the staging table; it also cuts the lineage, so a lost
-       executor re-reads staged files rather than re-parsing raw input).
-    3. Empty source: nothing is touched (K7).
-    4. Read the staged days (bounded by the calendar, not by the data), merge
-       against only those days of the target and overwrite only them.
+    1. Stage the load as it is, flat Parquet in the shared scratch folder
+       (no shuffle).  Staging cuts the lineage: a lost executor re-reads
+       staged files, never the raw input.
+    2. Empty load: nothing is touched (K7).
+    3. Check key uniqueness per load on the staged key columns; with several
+       loads keep the latest per key.
+    4. A table that does not exist yet is written from the staged rows.
+       Otherwise only the staged days of the target are read (by folder),
+       merged and overwritten (dynamic partition overwrite).
     """
-    obs = Observation("staged")
-    collapsed = collapse_loads(source, keys, ordinal).observe(obs, F.count(F.lit(1)).alias("rows"))
-    if not _exists(spark, target_path):
-        write_table(collapsed, target_path, date_col, cluster_by=keys)
-        return {"staged_rows": obs.get.get("rows", 0), "days": None}
+    keys = list(keys)
     staged_path = scratch_path(spark, "staging")
-    collapsed.write.mode("overwrite").parquet(staged_path)
+    obs = Observation("staged")
+    source.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(staged_path)
     staged_rows = obs.get.get("rows", 0)
     if not staged_rows:
         return {"staged_rows": 0, "days": 0}
     staged = spark.read.parquet(staged_path)
+    check_unique(staged, keys, ordinal)
+    if ordinal:
+        staged = latest_per_key(staged, keys, ordinal)
+    if not _exists(spark, target_path):
+        write_table(staged, target_path, date_col, cluster_by=keys, new_table=True)
+        return {"staged_rows": staged_rows, "days": None}
     days = [r[0] for r in staged.select(date_col).distinct().collect()]
     target = read_days(spark, target_path, days, date_col)
     staged = staged.select(*target.columns)

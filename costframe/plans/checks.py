@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -65,7 +66,9 @@ def scope_audit(spark: SparkSession, df: DataFrame, scope: str, configured: Sequ
     size.
     """
     ids = list(dict.fromkeys(configured))
-    hits = (df.select(F.explode(F.array(*[F.col(c) for c in columns])).alias("configured_id"))
+    any_match = reduce(lambda a, b: a | b, [F.col(c).isin(ids) for c in columns])
+    hits = (df.filter(any_match)
+              .select(F.explode(F.array(*[F.col(c) for c in columns])).alias("configured_id"))
               .filter(F.col("configured_id").isin(ids))
               .groupBy("configured_id").agg(F.count(F.lit(1)).alias("rows")))
     conf = spark.createDataFrame([(i,) for i in ids], "configured_id string")

@@ -112,31 +112,32 @@ def credit_columns(bill: DataFrame) -> DataFrame:
 
 
 def credit_columns_lateral(spark, bill: DataFrame) -> DataFrame:
-    """The same per-row credit sums, written as the correlated UNNEST form.
-
-    Kept as a cross-check of :func:`credit_columns`; the lateral form makes
-    Catalyst decorrelate into an aggregate per outer row, so the HOF form is
-    the one the reports use.
+    """The same per-row credit sums, written as SQL over the unnested array.
+
+    A cross-check of :func:`credit_columns`.  Each row gets an id, its
+    credits are unnested (LATERAL VIEW OUTER keeps rows without credits)
+    and summed back per row id.  The id is unique, so the shuffle cannot be
+    skewed, and a row's credits sit next to each other, so partial
+    aggregation folds them before the shuffle.  (A correlated scalar
+    subquery would be decorrelated into a join on the credits array itself,
+    where identical arrays, NULL included, form hot keys.)
     """
     from ..functions.credits import CUD_CREDIT_TYPES, OTHER_CREDIT_TYPES
 
     view = f"bill_{abs(hash(id(bill)))}"
-    bill.createOrReplaceTempView(view)
+    bill.withColumn("_row", F.monotonically_increasing_id()).createOrReplaceTempView(view)
     cud = ", ".join(f"'{t}'" for t in CUD_CREDIT_TYPES)
     oth = ", ".join(f"'{t}'" for t in OTHER_CREDIT_TYPES)
     return spark.sql(f"""
         SELECT b.service.id AS service_id, b.project.id AS project_id, b.usage_start_time,
                b.cost_type, coalesce(size(b.credits), -1) AS n_credits,
-               coalesce(x.cud, CAST(0 AS DECIMAL(26,9))) AS cud_credits,
-               coalesce(x.oth, CAST(0 AS DECIMAL(26,9))) AS other_savings
-        FROM {view} b,
-        LATERAL (
-          SELECT CAST(sum(CASE WHEN c.type IN ({cud}) THEN CAST(c.amount AS DECIMAL(26,9)) END)
-                      AS DECIMAL(26,9)) AS cud,
-                 CAST(sum(CASE WHEN c.type IN ({oth}) THEN CAST(c.amount AS DECIMAL(26,9)) END)
-                      AS DECIMAL(26,9)) AS oth
-          FROM (SELECT explode_outer(b.credits) AS c)
-        ) x
+               CAST(coalesce(sum(CASE WHEN c.type IN ({cud}) THEN CAST(c.amount AS DECIMAL(26,9)) END), 0)
+                    AS DECIMAL(26,9)) AS cud_credits,
+               CAST(coalesce(sum(CASE WHEN c.type IN ({oth}) THEN CAST(c.amount AS DECIMAL(26,9)) END), 0)
+                    AS DECIMAL(26,9)) AS other_savings
+        FROM {view} b LATERAL VIEW OUTER explode(b.credits) x AS c
+        GROUP BY b._row, b.service.id, b.project.id, b.usage_start_time, b.cost_type,
+                 coalesce(size(b.credits), -1)
     """)
 
 

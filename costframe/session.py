@@ -42,7 +42,11 @@ def get_session(master: str | None = None, app: str = "costframe",
     if master and master.startswith("local"):
         # One machine, local disk: listing day folders serially on the driver
         # beats a listing job.  Clusters keep the distributed listing.
-        builder = builder.config("spark.sql.sources.parallelPartitionDiscovery.threshold", "100000")
+        builder = (builder.config("spark.sql.sources.parallelPartitionDiscovery.threshold", "100000")
+                   # local disk: no .crc side file per data file (Parquet
+                   # checksums its own pages); halves file-system calls.
+                   .config("spark.hadoop.fs.file.impl", "org.apache.hadoop.fs.RawLocalFileSystem")
+                   .config("spark.hadoop.fs.file.impl.disable.cache", "true"))
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = builder.getOrCreate()

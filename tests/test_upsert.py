@@ -128,3 +128,25 @@ def test_collapse_plan_shuffles_once(spark):
     plan = collapse_loads(source, KEYS, "load_ordinal")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1, plan
     assert F is not None
+
+
+def test_upsert_table_rejects_duplicate_load(spark, workdir):
+    source = spark.createDataFrame([(D1, "a", 1.0, "x"), (D1, "a", 2.0, "y")], SCHEMA)
+    with pytest.raises(ValueError, match="duplicate key"):
+        upsert_table(spark, f"{workdir}/dup", source, KEYS)
+
+
+def test_upsert_table_several_loads_last_wins(spark, workdir):
+    path = f"{workdir}/t"
+    write_table(spark.createDataFrame([(D1, "a", 1.0, "ok"), (D1, "b", 2.0, "ok")], SCHEMA), path)
+    loads = spark.createDataFrame([(D1, "a", 3.0, "l1", 1), (D1, "a", 4.0, "l2", 2), (D1, "c", 5.0, "l1", 1)],
+                                  SCHEMA + ", load_ordinal int")
+    upsert_table(spark, path, loads, KEYS, ordinal="load_ordinal")
+    assert rows(spark.read.parquet(path)) == [(D1, "a", 4.0, "l2"), (D1, "b", 2.0, "ok"), (D1, "c", 5.0, "l1")]
+
+
+def test_duplicate_in_older_load_fails(spark):
+    loads = spark.createDataFrame([(D1, "a", 1.0, "x", 1), (D1, "a", 2.0, "y", 1), (D1, "a", 3.0, "z", 2)],
+                                  SCHEMA + ", load_ordinal int")
+    with pytest.raises(Exception, match="duplicate key"):
+        collapse_loads(loads, KEYS, "load_ordinal").collect()
