@@ -37,9 +37,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     Tables landed by Spark itself are multi-file and need no such step.
     """
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if name in SPREAD_TABLES and df.rdd.getNumPartitions() < cores:
-        df = df.repartition(cores)
+    if name not in SPREAD_TABLES:
+        return df
+    try:
+        cores = spark.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < cores:
+            df = df.repartition(cores)
+    except Exception:  # noqa: BLE001 - sessions without RDD access read as is
+        pass
     return df
 
 

@@ -47,8 +47,10 @@ def _trimmed(df: DataFrame, name: str) -> Column:
     return F.trim(F.coalesce(_h(df, name), F.lit("")))
 
 
-def normalise_invoice(raw: DataFrame, file_col: str = "file_name") -> DataFrame:
-    """Typed invoice rows; footer rows (blank Service ID) are dropped."""
+def normalise_invoice(raw: DataFrame, file_col: str = "file_name",
+                      extra: list[str] | None = None) -> DataFrame:
+    """Typed invoice rows; footer rows (blank Service ID) are dropped.
+    ``extra`` passes bookkeeping columns (e.g. a load ordinal) through."""
     sid = _trimmed(raw, ID_HEADER)
     return raw.filter(sid != "").select(
         invoice_month(F.col(file_col)).alias("invoice_month"),
@@ -56,6 +58,7 @@ def normalise_invoice(raw: DataFrame, file_col: str = "file_name") -> DataFrame:
         sid.alias("service_id"),
         *[tolerant_double(_h(raw, h)).alias(c) for h, c in AMOUNT_HEADERS],
         F.nullif(_trimmed(raw, PERCENT_HEADER), F.lit("")).alias("percent_change_vs_previous"),
+        *[F.col(c) for c in (extra or [])],
     )
 
 

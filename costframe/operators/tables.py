@@ -28,9 +28,11 @@ from ..session import scratch_path
 ORDINAL = "load_ordinal"
 
 
-def conform(df: DataFrame, schema: T.StructType, required: Sequence[str] = ()) -> DataFrame:
+def conform(df: DataFrame, schema: T.StructType, required: Sequence[str] = (),
+            keep: Sequence[str] = ()) -> DataFrame:
     """Select the schema's columns in order, cast to its types; a NULL in a
-    required column fails the job (K1)."""
+    required column fails the job (K1).  ``keep`` carries bookkeeping columns
+    (a load ordinal) after the schema's."""
     cols = []
     for f in schema.fields:
         c = F.col(f"`{f.name}`").cast(f.dataType) if f.name in df.columns else F.lit(None).cast(f.dataType)
@@ -38,7 +40,7 @@ def conform(df: DataFrame, schema: T.StructType, required: Sequence[str] = ()) -
             c = F.when(c.isNull(), F.raise_error(F.lit(f"required column {f.name} is NULL"))
                        .cast(f.dataType)).otherwise(c)
         cols.append(c.alias(f.name))
-    return df.select(*cols)
+    return df.select(*cols, *[F.col(k) for k in keep])
 
 
 def collapse_loads(source: DataFrame, keys: Sequence[str], ordinal: str | None = None,

@@ -15,6 +15,7 @@ one JSON object per row in bounded batches, and Spark types the text with
 from __future__ import annotations
 
 import csv
+import datetime as dt
 import io
 import json
 import zipfile
@@ -58,11 +59,20 @@ def _unzip_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                         yield pd.DataFrame(buf, columns=cols)
 
 
-def zip_csv_scan(spark: SparkSession, root: str, products: Sequence[str] | None = None) -> DataFrame:
-    """Rows of every landed zip: landing columns + typed raw fields + raw_json."""
+def zip_csv_scan(spark: SparkSession, root: str, products: Sequence[str] | None = None,
+                 since: dt.date | None = None, until: dt.date | None = None) -> DataFrame:
+    """Rows of every landed zip: landing columns + typed raw fields + raw_json.
+
+    ``products`` and the request-day window [since, until) are partition
+    filters, applied to the file listing before anything is unzipped.
+    """
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(root)
     if products is not None:
         files = files.filter(F.col("product").isin(list(products)))
+    if since is not None:
+        files = files.filter(F.col("start").cast("date") >= F.lit(since))
+    if until is not None:
+        files = files.filter(F.col("start").cast("date") < F.lit(until))
     landed = files.select(
         F.col("product").cast("string").alias("product"),
         F.col("direction").cast("string").alias("direction_requested"),
