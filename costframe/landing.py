@@ -15,7 +15,7 @@ import json
 import zipfile
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .functions.dates import billing_period
@@ -57,19 +57,40 @@ def land_cur(spark: SparkSession, raw: DataFrame, bucket_root: str, report: str,
     return periods
 
 
+# Rows per landed file part: a pull larger than this is split into parts, so
+# no writer task ever holds more than one part in memory.
+PART_ROWS = 50_000
+
+
+def _parts(df: DataFrame, by: list[str], cols: list[str]) -> DataFrame:
+    """Spread each group over ceil(rows / PART_ROWS) parts by a row hash.
+
+    The per-group counts are a partial aggregate (one row per group); rows
+    never wait in one task for their group, however large it is.
+    """
+    counts = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
+    cond = [df[c].eqNullSafe(counts[c]) for c in by]
+    joined = df.join(counts, cond, "inner").select(df["*"], counts["_n"])
+    n_parts = F.ceil(F.col("_n") / F.lit(PART_ROWS)).cast("long")
+    return joined.withColumn("_part", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in cols]), n_parts)).drop("_n")
+
+
 def land_cdr(spark: SparkSession, raw: DataFrame, root: str) -> int:
-    """Write one zip per (product, requested direction, request day) under
-    ``product=/direction=/start=`` folders; a text member precedes the CSV."""
+    """Write each (product, requested direction, request day) pull as zip
+    parts under ``product=/direction=/start=`` folders; a text member
+    precedes the CSV in every zip."""
     root = root.rstrip("/")
     cols = [c for c in raw.columns if c not in ("product", "direction_requested", "request_start")]
-    keyed = raw.withColumn("_start", F.substring("request_start", 1, 10))
+    keyed = _parts(raw.withColumn("_start", F.substring("request_start", 1, 10)),
+                   ["product", "direction_requested", "_start"], cols)
 
     def write_zip(pdf: pd.DataFrame) -> pd.DataFrame:
         prod = pdf["product"].iloc[0]
         direc = pdf["direction_requested"].iloc[0]
         start = pdf["_start"].iloc[0]
+        part = int(pdf["_part"].iloc[0])
         folder = "__HIVE_DEFAULT_PARTITION__" if direc is None or pd.isna(direc) else direc
-        path = f"{root}/product={prod}/direction={folder}/start={start}/report.zip"
+        path = f"{root}/product={prod}/direction={folder}/start={start}/report-{part:05d}.zip"
         text = io.StringIO()
         pdf[cols].to_csv(text, index=False)
         data = io.BytesIO()
@@ -80,7 +101,8 @@ def land_cdr(spark: SparkSession, raw: DataFrame, root: str) -> int:
             out.write(data.getvalue())
         return pd.DataFrame({"rows": [len(pdf)]})
 
-    done = keyed.groupBy("product", "direction_requested", "_start").applyInPandas(write_zip, "rows long")
+    done = keyed.groupBy("product", "direction_requested", "_start", "_part").applyInPandas(
+        write_zip, "rows long")
     return done.agg(F.sum("rows")).first()[0] or 0
 
 
@@ -97,15 +119,21 @@ def land_pages(spark: SparkSession, buckets: DataFrame, root: str, days_per_page
 
 
 def land_invoices(spark: SparkSession, raw: DataFrame, root: str) -> int:
-    """Write one CSV per invoice file name (the name carries the month)."""
+    """Write one CSV per invoice file name (the name carries the month); a
+    file beyond the part size is split into numbered parts of that name."""
     root = root.rstrip("/")
     cols = [c for c in raw.columns if c != "file_name"]
+    keyed = _parts(raw, ["file_name"], cols)
 
     def write_csv(pdf: pd.DataFrame) -> pd.DataFrame:
-        path = f"{root}/{pdf['file_name'].iloc[0]}"
+        name, part = pdf["file_name"].iloc[0], int(pdf["_part"].iloc[0])
+        if part:
+            stem, dot, ext = name.rpartition(".")
+            name = f"{stem}-part{part}{dot}{ext}"
+        path = f"{root}/{name}"
         with _open_output(path) as out:
             out.write(pdf[cols].to_csv(index=False).encode("utf-8"))
         return pd.DataFrame({"rows": [len(pdf)]})
 
-    done = raw.groupBy("file_name").applyInPandas(write_csv, "rows long")
+    done = keyed.groupBy("file_name", "_part").applyInPandas(write_csv, "rows long")
     return done.agg(F.sum("rows")).first()[0] or 0
