@@ -102,8 +102,16 @@ def replace_days(target: DataFrame, source: DataFrame, date_col: str = "usage_da
     return kept.unionByName(source.select(*target.columns))
 
 
+# Target bytes of Parquet per write task (and so per file).
+WRITE_PART_BYTES = 256 << 20
+# Above this many days a restatement lists the table once instead of probing
+# each day folder.
+MAX_DAY_PROBES = 366
+
+
 def write_table(df: DataFrame, path: str, date_col: str = "usage_date",
-                cluster_by: Sequence[str] | None = None, new_table: bool = False) -> None:
+                cluster_by: Sequence[str] | None = None, new_table: bool = False,
+                num_parts: int | None = None) -> None:
     """Day-partitioned Parquet write that replaces only the days present (K4).
 
     With ``cluster_by`` (the row key) rows are range-partitioned on
@@ -112,7 +120,9 @@ def write_table(df: DataFrame, path: str, date_col: str = "usage_date",
     Without it the rebalance hint leaves the same job to AQE.
     """
     extra = [c for c in (cluster_by or []) if c != date_col]
-    if extra:
+    if extra and num_parts:
+        laid_out = df.repartitionByRange(num_parts, date_col, *extra)
+    elif extra:
         laid_out = df.repartitionByRange(date_col, *extra)
     else:
         laid_out = df.hint("rebalance", date_col)
@@ -130,6 +140,8 @@ def write_table(df: DataFrame, path: str, date_col: str = "usage_date",
 def read_days(spark: SparkSession, path: str, days: Sequence, date_col: str = "usage_date") -> DataFrame:
     """Only the given day folders of a day-partitioned table: the rest of the
     table is never listed, so a restatement costs the days it touches."""
+    if len(days) > MAX_DAY_PROBES:
+        return spark.read.parquet(path).filter(F.col(date_col).isin(list(days)))
     folders = [f"{path.rstrip('/')}/{date_col}={d}" for d in days]
     present = [f for f in folders if _exists(spark, f)]
     if not present:
@@ -137,6 +149,26 @@ def read_days(spark: SparkSession, path: str, days: Sequence, date_col: str = "u
     return spark.read.option("basePath", path).parquet(*present)
 
 
+def _bytes(spark: SparkSession, paths: Sequence[str]) -> int:
+    """Bytes under the given paths (file-system metadata only)."""
+    jvm = spark.sparkContext._jvm
+    total = 0
+    for p in paths:
+        hpath = jvm.org.apache.hadoop.fs.Path(p)
+        fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        if fs.exists(hpath):
+            total += fs.getContentSummary(hpath).getLength()
+    return total
+
+
+def _parts_for(spark: SparkSession, nbytes: int, ndays: int) -> int:
+    """Write tasks: one per WRITE_PART_BYTES of data, but at least one per day
+    up to the cluster's cores (each day is a file; files are written in
+    parallel)."""
+    by_size = -(-nbytes // WRITE_PART_BYTES)
+    return max(1, by_size, min(ndays, spark.sparkContext.defaultParallelism))
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
@@ -170,15 +202,22 @@ def upsert_table(spark: SparkSession, target_path: str, source: DataFrame, keys:
     check_unique(staged, keys, ordinal)
     if ordinal:
         staged = latest_per_key(staged, keys, ordinal)
-    if not _exists(spark, target_path):
-        write_table(staged, target_path, date_col, cluster_by=keys, new_table=True)
-        return {"staged_rows": staged_rows, "days": None}
+    staged_bytes = _bytes(spark, [staged_path])
     days = [r[0] for r in staged.select(date_col).distinct().collect()]
+    if not _exists(spark, target_path):
+        write_table(staged, target_path, date_col, cluster_by=keys, new_table=True,
+                    num_parts=_parts_for(spark, staged_bytes, len(days)))
+        return {"staged_rows": staged_rows, "days": len(days)}
     target = read_days(spark, target_path, days, date_col)
     staged = staged.select(*target.columns)
     merged = (replace_days(target, staged, date_col) if mode == "replace_days"
               else merge(target, staged, keys))
-    write_table(merged, target_path, date_col, cluster_by=keys)
+    # Size the layout from what is rewritten: the staged rows plus the
+    # target's days they touch (bounded probe, as in read_days).
+    touched = ([f"{target_path.rstrip('/')}/{date_col}={d}" for d in days]
+               if len(days) <= MAX_DAY_PROBES else [target_path])
+    write_table(merged, target_path, date_col, cluster_by=keys,
+                num_parts=_parts_for(spark, staged_bytes + _bytes(spark, touched), len(days)))
     return {"staged_rows": staged_rows, "days": len(days)}
 
 
