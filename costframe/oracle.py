@@ -87,7 +87,7 @@ FROM events
 
 VIEW_SQL["usage_results"] = """
 SELECT CAST(ts AS DATE) AS day, event_type, user_id % 2 AS parity,
-       count(*) AS n, sum(CAST(floor(value) AS BIGINT)) AS out_tokens,
+       count(*) AS n, CAST(sum(CAST(floor(value) AS BIGINT)) AS BIGINT) AS out_tokens,
        count(*) FILTER (WHERE value > 100) AS big
 FROM events GROUP BY 1, 2, 3
 """
@@ -209,7 +209,7 @@ ORDER BY "Subtotal" DESC NULLS LAST, "Service Description" {lim}
 def credit_rows_sql() -> str:
     return with_views(f"""
 SELECT service.id AS service_id, project.id AS project_id, usage_start_time, cost_type,
-       coalesce(len(credits), -1) AS n_credits,
+       CAST(coalesce(len(credits), -1) AS INTEGER) AS n_credits,
        CAST({CUD_SQL} AS DECIMAL(26,9)) AS cud_credits,
        CAST({OTHER_SQL} AS DECIMAL(26,9)) AS other_savings
 FROM bill""", "bill")
@@ -311,15 +311,15 @@ FROM (
 
 USAGE_TOTAL_INPUT_SQL = with_views("""
 SELECT usage_date, model,
-       sum(coalesce(uncached_input_tokens, 0) + coalesce(cache_read_input_tokens, 0)
+       CAST(sum(coalesce(uncached_input_tokens, 0) + coalesce(cache_read_input_tokens, 0)
            + coalesce(cache_creation_ephemeral_5m_input_tokens, 0)
-           + coalesce(cache_creation_ephemeral_1h_input_tokens, 0)) AS total_input_tokens,
-       sum(coalesce(output_tokens, 0)) AS output_tokens
+           + coalesce(cache_creation_ephemeral_1h_input_tokens, 0)) AS BIGINT) AS total_input_tokens,
+       CAST(sum(coalesce(output_tokens, 0)) AS BIGINT) AS output_tokens
 FROM usage_flat GROUP BY usage_date, model""", "usage_flat")
 
 USAGE_ROLLUP_SQL = """
 SELECT date_trunc('hour', ts) AS bucket_start, event_type, count(*) AS events,
-       sum(CAST(floor(value) AS BIGINT)) AS output_tokens,
+       CAST(sum(CAST(floor(value) AS BIGINT)) AS BIGINT) AS output_tokens,
        CAST(round(sum(CAST(value AS DECIMAL(26,9))), 2) AS DOUBLE) AS value
 FROM events GROUP BY 1, 2"""
 
