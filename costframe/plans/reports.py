@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.credits import cud_credits, other_savings
-from ..functions.dates import REPORT_TZ, date_in_month, instant_in_month, local_month, month_bounds
-from ..functions.numbers import finish, money, round_sum2, sum_money
+from ..functions.dates import REPORT_TZ, date_in_month, instant_in_month, month_bounds
+from ..functions.numbers import finish, round_sum2, sum_money
 
 # Cost types a report leaves out.
 EXCLUDED_COST_TYPES = ("tax", "adjustment")
@@ -225,12 +225,8 @@ def rollup(df: DataFrame, ts_col: str, width: str, dims: Sequence[str],
     return df.groupBy(bucket, *dims).agg(*[m.alias(k) for k, m in measures.items()])
 
 
-def month_of(df: DataFrame, ts_col: str, tz: str = REPORT_TZ) -> Column:
-    return local_month(ts_col, df.schema[ts_col].dataType, tz)
-
-
 __all__ = [
     "BREAKDOWN_COLUMNS", "cost_breakdown", "credit_columns", "credit_columns_lateral",
     "cur_cost_by_service", "cur_cost_by_environment", "cdr_cost_by_category",
-    "sources_side_by_side", "usage_input_by_day", "rollup", "money", "month_of",
+    "sources_side_by_side", "usage_input_by_day", "rollup",
 ]
