@@ -64,25 +64,27 @@ def scratch_root(spark: SparkSession) -> str:
     """The shared folder for intermediate tables.
 
     Order: ``spark.checkpoint.dir`` from the session conf, then the
-    SparkContext's checkpoint dir; only when both are unset (local tests) a
-    private temp folder is made and registered as the checkpoint dir.
+    SparkContext's conf and checkpoint dir; only when all are unset (local
+    tests) a private temp folder is made and registered as the checkpoint dir.
     """
-    conf_dir = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not conf_dir:
-        try:
-            conf_dir = spark.conf.get("spark.checkpoint.dir")
-        except Exception:  # noqa: BLE001 - unset conf raises on some versions
-            conf_dir = None
+    try:
+        conf_dir = spark.conf.get("spark.checkpoint.dir", None)
+    except Exception:  # noqa: BLE001 - unset conf raises on some versions
+        conf_dir = None
+    if conf_dir:
+        return conf_dir.rstrip("/")
+    sc = spark.sparkContext
+    conf_dir = sc.getConf().get("spark.checkpoint.dir", None)
     if conf_dir:
         return conf_dir.rstrip("/")
-    ctx_dir = spark.sparkContext.getCheckpointDir()
+    ctx_dir = sc.getCheckpointDir()
     if ctx_dir:
         return ctx_dir.rstrip("/")
-    key = id(spark.sparkContext)
+    key = id(sc)
     if key not in _LOCAL_FALLBACK:
         _LOCAL_FALLBACK[key] = tempfile.mkdtemp(prefix="costframe-ckpt-")
-        spark.sparkContext.setCheckpointDir(_LOCAL_FALLBACK[key])
-    return spark.sparkContext.getCheckpointDir().rstrip("/")
+        sc.setCheckpointDir(_LOCAL_FALLBACK[key])
+    return sc.getCheckpointDir().rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
