@@ -534,3 +534,18 @@ def invoice_month_overlap(spark, sf_dir):
     start = local_midnight_utc(LIVE_FROM).strftime("%Y-%m-%d %H:%M:%S")
     live = b.filter(F.col("usage_start_time") >= F.expr(f"TIMESTAMP_NTZ '{start}'"))
     return month_overlap(normalise_invoice(fx.invoice_raw(spark, sf_dir)), live)
+
+
+@register("usage_daily_by_model_workspace", orc.USAGE_DAILY_SQL)
+def usage_daily_by_model_workspace(spark, sf_dir):
+    """The usage table rolled up to 1d buckets by (model, workspace)."""
+    from pyspark.sql import functions as F
+
+    from .operators.usage import flatten_usage
+
+    usage = flatten_usage(fx.usage_buckets(spark, sf_dir))
+    return ntz(rp.rollup(usage, "bucket_start", "1d", ["model", "workspace_id"], {
+        "uncached_input_tokens": F.sum("uncached_input_tokens"),
+        "output_tokens": F.sum("output_tokens"),
+        "results": F.count(F.lit(1)),
+    }))

@@ -484,3 +484,11 @@ def month_overlap_sql(live_from: dt.date) -> str:
 SELECT DISTINCT month AS invoice_month FROM orders_monthly
 WHERE month IN (SELECT {LOCAL_MONTH} FROM bill WHERE usage_start_time >= {london_bound(live_from)})""",
                       "orders_monthly", "bill")
+
+
+USAGE_DAILY_SQL = with_views("""
+SELECT date_trunc('day', bucket_start) AS bucket_start, model, workspace_id,
+       CAST(sum(uncached_input_tokens) AS BIGINT) AS uncached_input_tokens,
+       CAST(sum(output_tokens) AS BIGINT) AS output_tokens,
+       count(*) AS results
+FROM usage_flat GROUP BY 1, 2, 3""", "usage_flat")
