@@ -150,3 +150,15 @@ def test_duplicate_in_older_load_fails(spark):
                                   SCHEMA + ", load_ordinal int")
     with pytest.raises(Exception, match="duplicate key"):
         collapse_loads(loads, KEYS, "load_ordinal").collect()
+
+
+def test_hot_day_is_split_across_tasks(spark, workdir):
+    # One day holds a third of the rows: the (day, key) range layout cuts it
+    # into several write tasks instead of one.
+    hot = [(D1, f"h{i:05d}", float(i), "x") for i in range(3000)]
+    cold = [(D2 + dt.timedelta(days=i % 20), f"c{i:05d}", float(i), "x") for i in range(6000)]
+    path = f"{workdir}/skew"
+    upsert_table(spark, path, spark.createDataFrame(hot + cold, SCHEMA), KEYS)
+    files = [f for f in spark.read.parquet(path).inputFiles() if "usage_date=2024-01-01" in f]
+    assert len(files) >= 2, files
+    assert spark.read.parquet(path).count() == 9000
