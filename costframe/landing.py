@@ -47,11 +47,13 @@ def land_cur(spark: SparkSession, raw: DataFrame, bucket_root: str, report: str,
     (staged.repartition(2, "_period", F.col("`identity/LineItemId`"))
            .write.mode("overwrite").option("header", True).option("compression", "gzip")
            .option("escape", '"').partitionBy("_period").csv(data_dir))
+    columns = [dict(zip(("category", "name"), c.split("/", 1))) if "/" in c else {"category": "", "name": c}
+               for c in raw.columns]
     periods = []
     for folder in files.glob(spark, f"{data_dir}/_period=*"):
         period = folder.rsplit("=", 1)[1]
         keys = [files.relative_to(p, bucket_root) for p in files.list_files(spark, folder, ".csv.gz")]
-        manifest = {"assemblyId": assembly, "reportKeys": keys}
+        manifest = {"assemblyId": assembly, "reportKeys": keys, "columns": columns}
         files.write_text(spark, manifest_path(bucket_root, report, period), json.dumps(manifest))
         periods.append(period)
     return periods

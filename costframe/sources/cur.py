@@ -13,10 +13,12 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import files
 
-MANIFEST_SCHEMA = "assemblyId string, reportKeys array<string>"
+MANIFEST_SCHEMA = ("assemblyId string, reportKeys array<string>, "
+                   "columns array<struct<category:string,name:string>>")
 
 
 def manifest_path(root: str, report: str, period: str) -> str:
@@ -31,23 +33,32 @@ def read_manifests(spark: SparkSession, root: str, report: str,
     else:
         paths = [p for period in periods for p in files.glob(spark, manifest_path(root, report, period))]
     if not paths:
-        return spark.createDataFrame([], "period string, assembly_id string, report_key string")
+        return spark.createDataFrame(
+            [], "period string, assembly_id string, header array<string>, report_key string")
     m = spark.read.schema(MANIFEST_SCHEMA).option("multiLine", True).json(paths)
+    header = F.transform("columns", lambda c: F.concat_ws("/", c["category"], c["name"]))
     return m.select(
         F.regexp_extract(F.col("_metadata.file_path"), r"/([0-9]{8}-[0-9]{8})/[^/]*$", 1).alias("period"),
         F.col("assemblyId").alias("assembly_id"),
+        header.alias("header"),
         F.explode("reportKeys").alias("report_key"))
 
 
-def csv_scan(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+def csv_scan(spark: SparkSession, paths: Sequence[str], header: Sequence[str] | None = None) -> DataFrame:
     """gzip CSV with header, every column text, quoted newlines allowed.
 
     gzip is not splittable, so each part is one task; parallelism comes from
-    the number of parts.  No schema inference: every column stays a string.
+    the number of parts.  No type inference: every column stays a string.
+    With ``header`` (the manifest's column list) the schema is declared, so
+    no job reads a header first, and every part's header is checked against
+    it (a part laid out differently fails instead of being read by position).
     """
-    return (spark.read.option("header", True).option("multiLine", True)
-            .option("escape", '"').option("encoding", "UTF-8")
-            .option("inferSchema", False).csv(list(paths)))
+    reader = (spark.read.option("header", True).option("multiLine", True)
+              .option("escape", '"').option("encoding", "UTF-8").option("inferSchema", False))
+    if header:
+        reader = reader.schema(T.StructType([T.StructField(h, T.StringType()) for h in header])) \
+                       .option("enforceSchema", False)
+    return reader.csv(list(paths))
 
 
 def cur_scan(spark: SparkSession, root: str, report: str, periods: Sequence[str] | None = None,
@@ -62,11 +73,13 @@ def cur_scan(spark: SparkSession, root: str, report: str, periods: Sequence[str]
     bucket = (bucket_root or root).rstrip("/")
     keys = read_manifests(spark, root, report, periods).collect()
     by_period: dict[tuple[str, str], list[str]] = {}
+    headers: dict[tuple[str, str], list[str] | None] = {}
     for r in keys:
         by_period.setdefault((r.period, r.assembly_id), []).append(f"{bucket}/{r.report_key}")
+        headers[(r.period, r.assembly_id)] = list(r.header) if r.header else None
     frames = []
     for (period, assembly), paths in sorted(by_period.items()):
-        frames.append(csv_scan(spark, paths).withColumns(
+        frames.append(csv_scan(spark, paths, headers[(period, assembly)]).withColumns(
             {"billing_period": F.lit(period), "assembly_id": F.lit(assembly)}))
     if not frames:
         return spark.createDataFrame([], "billing_period string, assembly_id string")
