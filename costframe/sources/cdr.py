@@ -38,33 +38,68 @@ _ROW_SCHEMA = ("product string, direction_requested string, request_start string
                "row_no long, raw_json string")
 
 
+def _open_path(path: str):
+    """A seekable file for a Spark file path (local, hdfs, s3/s3a, gs) via pyarrow."""
+    from pyarrow import fs as pafs
+
+    if path.startswith("file:"):
+        local = path[len("file:"):]
+        while local.startswith("//"):
+            local = local[1:]
+        return pafs.LocalFileSystem().open_input_file(local)
+    if path.startswith("s3a://"):
+        path = "s3://" + path[len("s3a://"):]
+    filesystem, inner = pafs.FileSystem.from_uri(path)
+    return filesystem.open_input_file(inner)
+
+
+def _zip_rows(zf: zipfile.ZipFile, meta: tuple, cols: list[str]) -> Iterator[pd.DataFrame]:
+    member = next((n for n in zf.namelist() if n.endswith(".csv")), None)
+    if member is None:
+        return
+    with zf.open(member) as fh:
+        reader = csv.DictReader(io.TextIOWrapper(fh, encoding="utf-8", newline=""))
+        buf = []
+        for n, row in enumerate(reader):
+            buf.append((*meta, n, json.dumps(row)))
+            if len(buf) >= _BATCH_ROWS:
+                yield pd.DataFrame(buf, columns=cols)
+                buf = []
+        if buf:
+            yield pd.DataFrame(buf, columns=cols)
+
+
+_COLS = ["product", "direction_requested", "request_start", "path", "row_no", "raw_json"]
+
+
 def _unzip_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    cols = ["product", "direction_requested", "request_start", "path", "row_no", "raw_json"]
+    """Zips whose bytes came with the row (binaryFile ``content``)."""
     for pdf in batches:
         for prod, direc, start, path, content in zip(pdf["product"], pdf["direction_requested"],
                                                      pdf["request_start"], pdf["path"], pdf["content"]):
             with zipfile.ZipFile(io.BytesIO(bytes(content))) as zf:
-                member = next((n for n in zf.namelist() if n.endswith(".csv")), None)
-                if member is None:
-                    continue
-                with zf.open(member) as fh:
-                    reader = csv.DictReader(io.TextIOWrapper(fh, encoding="utf-8", newline=""))
-                    buf = []
-                    for n, row in enumerate(reader):
-                        buf.append((prod, direc, start, path, n, json.dumps(row)))
-                        if len(buf) >= _BATCH_ROWS:
-                            yield pd.DataFrame(buf, columns=cols)
-                            buf = []
-                    if buf:
-                        yield pd.DataFrame(buf, columns=cols)
+                yield from _zip_rows(zf, (prod, direc, start, path), _COLS)
+
+
+def _unzip_paths(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Zips opened by path in the task: only the current batch is in memory."""
+    for pdf in batches:
+        for prod, direc, start, path in zip(pdf["product"], pdf["direction_requested"],
+                                            pdf["request_start"], pdf["path"]):
+            with _open_path(path) as fh, zipfile.ZipFile(fh) as zf:
+                yield from _zip_rows(zf, (prod, direc, start, path), _COLS)
 
 
 def zip_csv_scan(spark: SparkSession, root: str, products: Sequence[str] | None = None,
-                 since: dt.date | None = None, until: dt.date | None = None) -> DataFrame:
+                 since: dt.date | None = None, until: dt.date | None = None,
+                 read_content: bool = True) -> DataFrame:
     """Rows of every landed zip: landing columns + typed raw fields + raw_json.
 
     ``products`` and the request-day window [since, until) are partition
     filters, applied to the file listing before anything is unzipped.
+    ``read_content=False`` selects only the path (binaryFile then reads no
+    bytes) and each task streams its zip from the file system, for reports
+    too large to carry as one row.
     """
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(root)
     if products is not None:
@@ -78,8 +113,8 @@ def zip_csv_scan(spark: SparkSession, root: str, products: Sequence[str] | None
         F.col("direction").cast("string").alias("direction_requested"),
         F.concat(F.date_format(F.col("start").cast("date"), "yyyy-MM-dd"),
                  F.lit("T00:00:00Z")).alias("request_start"),
-        "path", "content")
-    rows = landed.mapInPandas(_unzip_rows, _ROW_SCHEMA)
+        "path", *(["content"] if read_content else []))
+    rows = landed.mapInPandas(_unzip_rows if read_content else _unzip_paths, _ROW_SCHEMA)
     schema = T.StructType([T.StructField(f, T.StringType()) for f in RAW_FIELDS])
     typed = rows.withColumn("r", F.from_json("raw_json", schema))
     return typed.select("product", "direction_requested", "request_start", "raw_json",

@@ -96,6 +96,8 @@ def test_zip_scan_and_normalise(spark, workdir):
     assert json.loads(out["m1"].raw)["message_id"] == "m1"
     only_sms = zip_csv_scan(spark, root, products=["SMS"])
     assert only_sms.count() == 2
+    streamed = {r.record_id: r for r in normalise_cdr(zip_csv_scan(spark, root, read_content=False)).collect()}
+    assert {k: tuple(v) for k, v in streamed.items()} == {k: tuple(v) for k, v in out.items()}
 
 
 def test_request_pairs():
