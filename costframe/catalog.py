@@ -276,21 +276,25 @@ CDR_KEYS = ["usage_date", "record_id"]
 LIVE_FROM = dt.date(1998, 1, 1)
 
 
-def _cdr_id():
+def _bump(df: DataFrame, by: float) -> DataFrame:
     from pyspark.sql import functions as F
 
-    return F.col("record_id").cast("bigint")
+    return df.withColumn("total_price", F.col("total_price") + F.lit(by))
 
 
-def _bump(df: DataFrame, by: float) -> DataFrame:
+def _products(df: DataFrame, *names: str) -> DataFrame:
     from pyspark.sql import functions as F
 
-    return df.withColumn("total_price", F.col("total_price") + F.lit(by))
+    return df.filter(F.col("product").isin(list(names)))
 
 
 def _upsert_parts(spark, sf_dir):
+    """Target: every record but VOICE-TTS.  Source: SMS (updates existing
+    keys) and VOICE-TTS (new keys), each price + 1."""
+    from pyspark.sql import functions as F
+
     c = fx.cdr(spark, sf_dir)
-    return c.filter(_cdr_id() % 3 != 0), _bump(c.filter(_cdr_id() % 2 == 0), 1.0)
+    return c.filter(F.col("product") != "VOICE-TTS"), _bump(_products(c, "SMS", "VOICE-TTS"), 1.0)
 
 
 @register("upsert_cdr", orc.UPSERT_SQL)
@@ -304,26 +308,33 @@ def upsert_cdr(spark, sf_dir):
 
 @register("upsert_last_wins", orc.LAST_WINS_SQL)
 def upsert_last_wins(spark, sf_dir):
-    """§1.4.11: two loads in one pass; for a key in both, the later load wins."""
+    """§1.4.11: two loads in one pass; VOICE-CALL is in both, the later load wins."""
     from pyspark.sql import functions as F
 
     from .operators.tables import collapse_loads, merge
 
     c = fx.cdr(spark, sf_dir)
-    loads = (_bump(c.filter(_cdr_id() % 2 == 0), 1.0).withColumn("load_ordinal", F.lit(1))
-             .unionByName(_bump(c.filter(_cdr_id() % 3 == 0), 2.0).withColumn("load_ordinal", F.lit(2))))
-    return merge(c.filter(_cdr_id() % 5 != 0), collapse_loads(loads, CDR_KEYS, "load_ordinal"), CDR_KEYS)
+    loads = (_bump(_products(c, "SMS", "VOICE-CALL"), 1.0).withColumn("load_ordinal", F.lit(1))
+             .unionByName(_bump(_products(c, "VOICE-CALL", "WEBSOCKET-CALL"), 2.0)
+                          .withColumn("load_ordinal", F.lit(2))))
+    target = c.filter(F.col("product") != "WEBSOCKET-CALL")
+    return merge(target, collapse_loads(loads, CDR_KEYS, "load_ordinal"), CDR_KEYS)
+
+
+RESTATED_DAYS = (dt.date(2024, 1, 14), dt.date(2024, 1, 17))
 
 
 @register("replace_days", orc.REPLACE_DAYS_SQL)
 def replace_days(spark, sf_dir):
-    """K6: the days a load carries are replaced whole."""
+    """K6: a restated window of days replaces those days whole (here by SMS rows only)."""
     from pyspark.sql import functions as F
 
     from .operators.tables import replace_days as replace
 
     c = fx.cdr(spark, sf_dir)
-    source = _bump(c.filter((_cdr_id() % 2 == 0) & (F.dayofmonth("usage_date") % 7 == 0)), 1.0)
+    lo, hi = RESTATED_DAYS
+    source = _bump(_products(c, "SMS").filter((F.col("usage_date") >= F.lit(lo)) & (F.col("usage_date") < F.lit(hi))),
+                   1.0)
     return replace(c, source, "usage_date")
 
 

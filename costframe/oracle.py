@@ -378,22 +378,21 @@ def _merge_sql(target: str, source: str) -> str:
             f"UNION ALL SELECT {CDR_COLS} FROM ({source})")
 
 
-ID = "CAST(record_id AS BIGINT)"
-UPSERT_TARGET = f"SELECT {CDR_COLS} FROM cdr WHERE {ID} % 3 <> 0"
-UPSERT_SOURCE = _cdr_split(f"{ID} % 2 = 0", 1)
+UPSERT_TARGET = f"SELECT {CDR_COLS} FROM cdr WHERE product <> 'VOICE-TTS'"
+UPSERT_SOURCE = _cdr_split("product IN ('SMS', 'VOICE-TTS')", 1)
 UPSERT_SQL = with_views(_merge_sql(UPSERT_TARGET, UPSERT_SOURCE), "cdr")
 
 LAST_WINS_SOURCE = f"""
 SELECT {CDR_COLS} FROM (
   SELECT *, row_number() OVER (PARTITION BY usage_date, record_id ORDER BY ord DESC) AS rn FROM (
-    SELECT *, 1 AS ord FROM ({_cdr_split(f"{ID} % 2 = 0", 1)})
+    SELECT *, 1 AS ord FROM ({_cdr_split("product IN ('SMS', 'VOICE-CALL')", 1)})
     UNION ALL
-    SELECT *, 2 AS ord FROM ({_cdr_split(f"{ID} % 3 = 0", 2)})))
+    SELECT *, 2 AS ord FROM ({_cdr_split("product IN ('VOICE-CALL', 'WEBSOCKET-CALL')", 2)})))
 WHERE rn = 1"""
-LAST_WINS_SQL = with_views(_merge_sql(f"SELECT {CDR_COLS} FROM cdr WHERE {ID} % 5 <> 0", LAST_WINS_SOURCE),
-                           "cdr")
+LAST_WINS_SQL = with_views(_merge_sql(f"SELECT {CDR_COLS} FROM cdr WHERE product <> 'WEBSOCKET-CALL'",
+                                      LAST_WINS_SOURCE), "cdr")
 
-REPLACE_SOURCE = _cdr_split(f"{ID} % 2 = 0 AND day(usage_date) % 7 = 0", 1)
+REPLACE_SOURCE = _cdr_split("product = 'SMS' AND usage_date >= DATE '2024-01-14' AND usage_date < DATE '2024-01-17'", 1)
 REPLACE_DAYS_SQL = with_views(f"""
 SELECT {CDR_COLS} FROM cdr WHERE usage_date NOT IN (SELECT usage_date FROM ({REPLACE_SOURCE}))
 UNION ALL SELECT {CDR_COLS} FROM ({REPLACE_SOURCE})""", "cdr")
