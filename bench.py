@@ -134,7 +134,7 @@ def main() -> None:
     # ------------------------------------------------------ registered views
     qs = cat.queries()
     for name in ["bill_all_services", "credit_sums", "upsert_last_wins", "invoice_reconcile",
-                 "month_source_union", "usage_rollup"]:
+                 "month_source_union", "usage_rollup", "stream_usage_upsert"]:
         timed(f"view_{name}", lambda n=name: run(qs[n](spark, sf_dir)))
 
     sf = re.search(r"sf([0-9.]+)", sf_dir)
