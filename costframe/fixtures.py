@@ -32,9 +32,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
     The driver's files are a single Parquet row group each, which Spark can
     only read as one task; a table that scans into fewer partitions than the
-    cluster has cores is spread once (round-robin, deterministic because
-    Spark sorts before it) so the derivations above it use every core.
-    Tables landed by Spark itself are multi-file and need no such step.
+    cluster has cores is spread once, hash-partitioned on its key (no sort
+    needed for determinism, unlike round-robin), so the derivations above it
+    use every core.  Tables landed by Spark itself are multi-file and need no
+    such step.
     """
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     if name not in SPREAD_TABLES:
@@ -42,14 +43,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     try:
         cores = spark.sparkContext.defaultParallelism
         if df.rdd.getNumPartitions() < cores:
-            df = df.repartition(cores)
+            df = df.repartition(cores, SPREAD_TABLES[name])
     except Exception:  # noqa: BLE001 - sessions without RDD access read as is
         pass
     return df
 
 
-# Driver tables large enough to be worth spreading over the cores.
-SPREAD_TABLES = ("lineitem", "orders", "events")
+# Driver tables large enough to be worth spreading over the cores, and the
+# key they are spread on.
+SPREAD_TABLES = {"lineitem": "l_orderkey", "orders": "o_orderkey", "events": "event_id"}
 
 
 def _lineitem_part(spark: SparkSession, sf_dir: str) -> DataFrame:

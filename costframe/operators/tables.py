@@ -163,10 +163,10 @@ def _bytes(spark: SparkSession, paths: Sequence[str]) -> int:
 
 def _parts_for(spark: SparkSession, nbytes: int, ndays: int) -> int:
     """Write tasks: one per WRITE_PART_BYTES of data, but at least one per day
-    up to the cluster's cores (each day is a file; files are written in
-    parallel)."""
+    up to four per core (each day is a file; files are written in parallel,
+    and several tasks per core let the scheduler even out uneven days)."""
     by_size = -(-nbytes // WRITE_PART_BYTES)
-    return max(1, by_size, min(ndays, spark.sparkContext.defaultParallelism))
+    return max(1, by_size, min(ndays, 4 * spark.sparkContext.defaultParallelism))
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
