@@ -12,7 +12,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,7 +25,7 @@ from ..operators.usage import USAGE_KEYS, flatten_cost, flatten_usage
 from ..schemas import CDR_SCHEMA, COST_SCHEMA, CUR_SCHEMA, INVOICE_SCHEMA, USAGE_SCHEMA, required
 from ..sources.buckets import COST_RESULT, USAGE_RESULT, bucket_scan
 from ..sources.cdr import zip_csv_scan
-from ..sources.cur import cur_scan
+from ..sources.cur import cur_scan, read_manifests
 from ..sources.invoices import invoice_scan
 
 # Default products pulled and days re-read per run.
@@ -57,8 +57,16 @@ def load_cur(spark: SparkSession, root: str, report: str, table_path: str,
     if "billing_period" not in raw.columns or not raw.columns[2:]:
         return {"staged_rows": 0, "days": 0}
     raw = raw.withColumn(ORDINAL, _ordinal([(F.col("billing_period") == p, i) for i, p in enumerate(labels)]))
+    # Rows per period, counted on the pass that loads them (K8).
+    obs = Observation("cur_periods")
+    raw = raw.observe(obs, *[F.count_if(F.col("billing_period") == p).alias(p) for p in labels])
     rows = normalise_cur(raw, extra=[ORDINAL])
-    return upsert_table(spark, table_path, _typed(rows, CUR_SCHEMA, [ORDINAL]), list(CUR_KEYS), ordinal=ORDINAL)
+    out = upsert_table(spark, table_path, _typed(rows, CUR_SCHEMA, [ORDINAL]), list(CUR_KEYS), ordinal=ORDINAL)
+    assemblies = {r.period: r.assembly_id for r in
+                  read_manifests(spark, root, report, labels).select("period", "assembly_id").distinct().collect()}
+    counts = obs.get
+    out["periods"] = {p: {"assembly_id": assemblies.get(p), "rows": counts.get(p, 0)} for p in labels}
+    return out
 
 
 def load_cdr(spark: SparkSession, root: str, table_path: str, as_of: dt.date | None = None,
@@ -76,8 +84,16 @@ def load_cdr(spark: SparkSession, root: str, table_path: str, as_of: dt.date | N
         same_dir = (F.col("direction_requested").isNull() if direc is None
                     else F.col("direction_requested") == direc)
         cases.append(((F.col("product") == prod) & same_dir, i))
-    rows = normalise_cdr(raw.withColumn(ORDINAL, _ordinal(cases)))
-    return upsert_table(spark, table_path, _typed(rows, CDR_SCHEMA, [ORDINAL]), list(CDR_KEYS), ordinal=ORDINAL)
+    raw = raw.withColumn(ORDINAL, _ordinal(cases))
+    # Rows per (product, direction) pull, counted on the loading pass (K8).
+    pairs = request_pairs(list(products))
+    obs = Observation("cdr_pairs")
+    raw = raw.observe(obs, *[F.count_if(F.col(ORDINAL) == i).alias(f"{p}/{d or 'n/a'}")
+                             for i, (p, d) in enumerate(pairs)])
+    rows = normalise_cdr(raw)
+    out = upsert_table(spark, table_path, _typed(rows, CDR_SCHEMA, [ORDINAL]), list(CDR_KEYS), ordinal=ORDINAL)
+    out["pairs"] = obs.get
+    return out
 
 
 def load_usage(spark: SparkSession, usage_pages: str, usage_table: str,

@@ -23,8 +23,10 @@ def test_load_cur_periods_to_check(spark, workdir):
     land_cur(spark, fx.cur_raw(spark, SF_SMALL), bucket, "costs")
     table = f"{workdir}/cur"
     # 5 August: the current and the previous billing period are read
-    load_cur(spark, bucket, "costs", table, as_of=dt.date(1998, 8, 5))
+    info = load_cur(spark, bucket, "costs", table, as_of=dt.date(1998, 8, 5))
     got = spark.read.parquet(table)
+    assert sum(v["rows"] for v in info["periods"].values()) == info["staged_rows"]
+    assert info["periods"]["19980801-19980901"]["assembly_id"] == "assembly-1"
     want = fx.cur(spark, SF_SMALL).filter(date_in_month("usage_date", dt.date(1998, 8, 5))
                                           | date_in_month("usage_date", dt.date(1998, 8, 5), -1))
     assert got.count() == want.count() > 0
@@ -40,8 +42,9 @@ def test_load_cdr_lookback_window(spark, workdir):
     land_cdr(spark, fx.cdr_raw(spark, SF_SMALL), root)
     table = f"{workdir}/cdr"
     as_of = dt.date(2024, 1, 19)
-    load_cdr(spark, root, table, as_of=as_of)
+    info = load_cdr(spark, root, table, as_of=as_of)
     got = spark.read.parquet(table)
+    assert sum(info["pairs"].values()) == info["staged_rows"] and "SMS/inbound" in info["pairs"]
     want = fx.cdr(spark, SF_SMALL).filter((F.col("usage_date") >= "2024-01-17") & (F.col("usage_date") < "2024-01-19"))
     assert got.count() == want.count() > 0
     assert sorted(r[0] for r in got.select("record_id").collect()) == sorted(
