@@ -10,7 +10,9 @@ Phase 2 (reports): the month reports and checks over those tables.
 Phase 3 (views): registered queries straight over the driver's tables.
 
 Prints ONE JSON line: {"metric", "value", "unit", "queries", "sf"}.
-Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8).
+Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
+BENCH_EVENT_LOG=1 to write Spark's event log (stage / task times) under the
+scratch folder (the UI stays off).
 """
 
 from __future__ import annotations
@@ -41,7 +43,13 @@ def main() -> None:
     from costframe.plans import reports as rp
     from costframe.session import get_session, scratch_path
 
-    spark = get_session(f"local[{cpus}]", app="costframe-bench", shuffle_partitions=2 * cpus)
+    extra = {}
+    if os.environ.get("BENCH_EVENT_LOG"):
+        import tempfile
+        root = os.environ.get("BENCH_EVENT_LOG_DIR") or tempfile.mkdtemp(prefix="run-eventlog-", dir="/tmp")
+        extra = {"spark.eventLog.enabled": "true", "spark.eventLog.dir": f"file://{root}"}
+        print(f"event log: {root}", file=sys.stderr)
+    spark = get_session(f"local[{cpus}]", app="costframe-bench", shuffle_partitions=2 * cpus, extra_conf=extra)
     spark.sparkContext.setLogLevel("ERROR")
     times: dict[str, float] = {}
     setup: dict[str, float] = {}

@@ -20,7 +20,7 @@ _LOCAL_FALLBACK: dict[int, str] = {}
 
 
 def get_session(master: str | None = None, app: str = "costframe",
-                shuffle_partitions: int | None = None) -> SparkSession:
+                shuffle_partitions: int | None = None, extra_conf: dict | None = None) -> SparkSession:
     """A session with the settings every job here assumes.
 
     AQE stays on (runtime coalescing of small shuffle partitions, skew-join
@@ -49,6 +49,8 @@ def get_session(master: str | None = None, app: str = "costframe",
                    .config("spark.hadoop.fs.file.impl.disable.cache", "true"))
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    for k, v in (extra_conf or {}).items():
+        builder = builder.config(k, v)
     spark = builder.getOrCreate()
     prepare(spark)
     return spark
