@@ -560,3 +560,12 @@ def usage_daily_by_model_workspace(spark, sf_dir):
         "output_tokens": F.sum("output_tokens"),
         "results": F.count(F.lit(1)),
     }))
+
+
+@register("coverage_by_service", orc.COVERAGE_BY_SQL)
+def coverage_by_service(spark, sf_dir):
+    """D2 per service: days each product / category has rows, out of its span."""
+    from .plans.checks import coverage_by
+
+    return coverage_by(fx.cur(spark, sf_dir), "cur", "product_name").unionByName(
+        coverage_by(fx.cdr(spark, sf_dir), "cdr", "category"))

@@ -491,3 +491,10 @@ SELECT date_trunc('day', bucket_start) AS bucket_start, model, workspace_id,
        CAST(sum(output_tokens) AS BIGINT) AS output_tokens,
        count(*) AS results
 FROM usage_flat GROUP BY 1, 2, 3""", "usage_flat")
+
+
+COVERAGE_BY_SQL = with_views(" UNION ALL ".join(
+    f"SELECT '{t}' AS \"table\", {g} AS \"group\", min(usage_date) AS first_date, max(usage_date) AS last_date, "
+    f"count(DISTINCT usage_date) AS days_present, "
+    f"CAST(max(usage_date) - min(usage_date) + 1 AS INTEGER) AS days_in_span FROM {t} GROUP BY {g}"
+    for t, g in (("cur", "product_name"), ("cdr", "category"))), "cdr", "cur")

@@ -38,6 +38,18 @@ def coverage(df: DataFrame, name: str, date_col: str = "usage_date") -> DataFram
                       (F.datediff("last_date", "first_date") + 1).alias("days_in_span"))
 
 
+def coverage_by(df: DataFrame, name: str, by: str, date_col: str = "usage_date") -> DataFrame:
+    """Coverage per group (e.g. per service): first and last day, days present
+    and days in the group's span (D2).  One partial aggregate per (group, day)
+    first, so a group holding a third of the rows adds one row per day per
+    task, not its rows."""
+    days = df.select(F.col(by).alias("group"), F.col(date_col).alias("day")).distinct()
+    agg = days.groupBy("group").agg(F.min("day").alias("first_date"), F.max("day").alias("last_date"),
+                                    F.count(F.lit(1)).alias("days_present"))
+    return agg.select(F.lit(name).alias("table"), "group", "first_date", "last_date", "days_present",
+                      (F.datediff("last_date", "first_date") + 1).alias("days_in_span"))
+
+
 def coverage_gaps(df: DataFrame, name: str, date_col: str = "usage_date") -> DataFrame:
     """Calendar days inside the span with no row at all.
 
