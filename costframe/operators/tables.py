@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import scratch_path
+from ..sources import files
 
 ORDINAL = "load_ordinal"
 
@@ -197,6 +198,7 @@ def upsert_table(spark: SparkSession, target_path: str, source: DataFrame, keys:
     source.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(staged_path)
     staged_rows = obs.get.get("rows", 0)
     if not staged_rows:
+        files.delete(spark, staged_path)
         return {"staged_rows": 0, "days": 0}
     staged = spark.read.parquet(staged_path)
     check_unique(staged, keys, ordinal)
@@ -207,6 +209,7 @@ def upsert_table(spark: SparkSession, target_path: str, source: DataFrame, keys:
     if not _exists(spark, target_path):
         write_table(staged, target_path, date_col, cluster_by=keys, new_table=True,
                     num_parts=_parts_for(spark, staged_bytes, len(days)))
+        files.delete(spark, staged_path)
         return {"staged_rows": staged_rows, "days": len(days)}
     target = read_days(spark, target_path, days, date_col)
     staged = staged.select(*target.columns)
@@ -218,6 +221,9 @@ def upsert_table(spark: SparkSession, target_path: str, source: DataFrame, keys:
                if len(days) <= MAX_DAY_PROBES else [target_path])
     write_table(merged, target_path, date_col, cluster_by=keys,
                 num_parts=_parts_for(spark, staged_bytes + _bytes(spark, touched), len(days)))
+    # The merged days are committed: the staging copy is no longer needed.
+    # (On failure it stays, and a re-run stages afresh.)
+    files.delete(spark, staged_path)
     return {"staged_rows": staged_rows, "days": len(days)}
 
 

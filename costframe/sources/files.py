@@ -58,3 +58,9 @@ def relative_to(path: str, root: str) -> str:
         return p
     p, r = strip(path), strip(root).rstrip("/")
     return p[len(r) + 1:] if p.startswith(r + "/") else p
+
+
+def delete(spark: SparkSession, path: str) -> bool:
+    """Remove a folder this library created (its own staging data)."""
+    fs, hpath = _fs(spark, path)
+    return bool(fs.delete(hpath, True)) if fs.exists(hpath) else False
