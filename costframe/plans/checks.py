@@ -57,7 +57,8 @@ def coverage_gaps(df: DataFrame, name: str, date_col: str = "usage_date") -> Dat
     side is reduced to its distinct days before the anti join.
     """
     present = df.select(F.col(date_col).alias("day")).distinct()
-    span = df.agg(F.min(date_col).alias("lo"), F.max(date_col).alias("hi"))
+    # The span comes from the distinct days too: one scan, the exchange reused.
+    span = present.agg(F.min("day").alias("lo"), F.max("day").alias("hi"))
     calendar = span.select(F.explode(F.sequence("lo", "hi")).alias("day"))
     return calendar.join(present, "day", "left_anti").select(F.lit(name).alias("table"), "day")
 
@@ -98,8 +99,12 @@ def distinct_values(df: DataFrame, column: str, name: str) -> DataFrame:
 
 def monthly_sources(invoice: DataFrame, bill: DataFrame, tz: str = REPORT_TZ) -> DataFrame:
     """Invoice summary for months the live export lacks, live export for the
-    months it has (D5, J4).  Both sides are reduced to one row per month
-    before the anti join, so the join is months x months."""
+    months it has (D5, J4).
+
+    Each source is aggregated once to one row per month; the two summaries
+    are unioned with a preference rank and the preferred row per month is
+    kept (``min_by``), so the large export is read in a single pass (an anti
+    join would read it twice: once for its months, once for its sums)."""
     live = (bill.groupBy(local_month("usage_start_time", bill.schema["usage_start_time"].dataType, tz)
                          .alias("month"))
                 .agg(round_sum2("cost_at_list").alias("list_cost"), round_sum2("cost").alias("cost"))
@@ -107,8 +112,11 @@ def monthly_sources(invoice: DataFrame, bill: DataFrame, tz: str = REPORT_TZ) ->
     inv = (invoice.groupBy(F.col("invoice_month").alias("month"))
                   .agg(round_sum2("list_cost").alias("list_cost"), round_sum2("subtotal").alias("cost"))
                   .withColumn("source", F.lit("invoice")))
-    only_invoice = inv.join(live.select("month"), "month", "left_anti")
-    return only_invoice.unionByName(live).select("month", "source", "list_cost", "cost")
+    both = (live.withColumn("_pref", F.lit(0))
+                .unionByName(inv.withColumn("_pref", F.lit(1))))
+    picked = both.groupBy("month").agg(
+        F.min_by(F.struct("source", "list_cost", "cost"), F.col("_pref")).alias("r"))
+    return picked.select("month", "r.source", "r.list_cost", "r.cost")
 
 
 def month_overlap(invoice: DataFrame, bill: DataFrame, tz: str = REPORT_TZ) -> DataFrame:
