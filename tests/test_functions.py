@@ -107,3 +107,24 @@ def test_lookback_excludes_today(spark):
     df = spark.createDataFrame([(x,) for x in days], "d date")
     got = sorted(r[0] for r in df.filter(d.lookback("d", dt.date(2024, 1, 19), 2)).collect())
     assert got == [dt.date(2024, 1, 17), dt.date(2024, 1, 18)]
+
+
+def test_tolerant_double_matches_python_float(spark):
+    import re
+
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    alphabet = st.sampled_from(list("0123456789+-.eE ,_dxn"))
+
+    @settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+    @given(st.lists(st.text(alphabet, min_size=0, max_size=8), min_size=50, max_size=50))
+    def check(texts):
+        df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+        got = {r.i: r.v for r in df.select("i", n.tolerant_double("t").alias("v")).collect()}
+        for i, t in enumerate(texts):
+            s = t.strip()
+            want = float(s) if re.fullmatch(n.NUMERIC_TEXT, s) else None
+            assert got[i] == want, (t, got[i], want)
+
+    check()
