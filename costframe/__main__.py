@@ -44,6 +44,8 @@ def main(argv: list[str] | None = None) -> int:
     c.add_argument("--cost-pages")
     c.add_argument("--cost-table")
     c.add_argument("--json-lines", action="store_true", help="one page object per line")
+    c.add_argument("--as-of", type=_date, help="load only the lookback window before this day")
+    c.add_argument("--lookback-days", type=int, default=4)
 
     c = sub.add_parser("load-invoices", help="invoice CSVs -> monthly summary table")
     c.add_argument("--path", required=True)
@@ -73,7 +75,7 @@ def main(argv: list[str] | None = None) -> int:
         out = loads.load_cdr(spark, a.root, a.table, as_of=a.as_of, lookback_days=a.lookback_days, **kw)
     elif a.cmd == "load-usage":
         out = loads.load_usage(spark, a.usage_pages, a.usage_table, a.cost_pages, a.cost_table,
-                               multi_line=not a.json_lines)
+                               multi_line=not a.json_lines, as_of=a.as_of, lookback_days=a.lookback_days)
     elif a.cmd == "load-invoices":
         out = loads.load_invoices(spark, a.path, a.table)
     else:

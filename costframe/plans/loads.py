@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.dates import period_labels_to_check, today_in
+from ..functions.dates import lookback, period_labels_to_check, today_in
 from ..operators.cdr import CDR_KEYS, normalise_cdr, request_pairs
 from ..operators.cur import CUR_KEYS, normalise_cur
 from ..operators.invoice import INVOICE_KEYS, normalise_invoice
@@ -98,12 +98,20 @@ def load_cdr(spark: SparkSession, root: str, table_path: str, as_of: dt.date | N
 
 def load_usage(spark: SparkSession, usage_pages: str, usage_table: str,
                cost_pages: str | None = None, cost_table: str | None = None,
-               multi_line: bool = True) -> dict:
-    """Usage buckets, then cost buckets, each into its own table."""
-    usage = flatten_usage(bucket_scan(spark, usage_pages, USAGE_RESULT, multi_line))
+               multi_line: bool = True, as_of: dt.date | None = None,
+               lookback_days: int = USAGE_LOOKBACK_DAYS) -> dict:
+    """Usage buckets, then cost buckets, each into its own table.
+
+    With ``as_of`` only buckets of [as_of - lookback_days, as_of) are loaded,
+    the window the pull asks for (the current, partial day excluded).
+    """
+    def window(df: DataFrame) -> DataFrame:
+        return df if as_of is None else df.filter(lookback("usage_date", as_of, lookback_days))
+
+    usage = window(flatten_usage(bucket_scan(spark, usage_pages, USAGE_RESULT, multi_line)))
     out = {"usage": upsert_table(spark, usage_table, _typed(usage, USAGE_SCHEMA), list(USAGE_KEYS))}
     if cost_pages and cost_table:
-        cost = flatten_cost(bucket_scan(spark, cost_pages, COST_RESULT, multi_line))
+        cost = window(flatten_cost(bucket_scan(spark, cost_pages, COST_RESULT, multi_line)))
         out["cost"] = upsert_table(spark, cost_table, _typed(cost, COST_SCHEMA), list(USAGE_KEYS))
     return out
 

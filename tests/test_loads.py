@@ -92,3 +92,11 @@ def test_load_invoices(spark, workdir):
     raw = fx.invoice_raw(spark, SF_SMALL)
     assert got.count() == raw.filter(F.col("`Service ID`") != "").count()
     assert dict(got.dtypes)["percent_change_vs_previous"] == "string"
+
+
+def test_load_usage_lookback(spark, workdir):
+    up = f"{workdir}/usage-pages"
+    land_pages(spark, fx.usage_buckets(spark, SF_SMALL), up)
+    out = load_usage(spark, up, f"{workdir}/usage", multi_line=False, as_of=dt.date(2024, 1, 19))
+    days = sorted({r.usage_date for r in spark.read.parquet(f"{workdir}/usage").collect()})
+    assert days == [dt.date(2024, 1, d) for d in (15, 16, 17, 18)] and out["usage"]["staged_rows"] > 0
