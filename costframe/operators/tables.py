@@ -138,15 +138,17 @@ def write_table(df: DataFrame, path: str, date_col: str = "usage_date",
        .parquet(path))
 
 
-def read_days(spark: SparkSession, path: str, days: Sequence, date_col: str = "usage_date") -> DataFrame:
+def read_days(spark: SparkSession, path: str, days: Sequence,
+              date_col: str = "usage_date") -> DataFrame | None:
     """Only the given day folders of a day-partitioned table: the rest of the
-    table is never listed, so a restatement costs the days it touches."""
+    table is never listed, so a restatement costs the days it touches.
+    ``None`` when none of the days exists yet."""
     if len(days) > MAX_DAY_PROBES:
         return spark.read.parquet(path).filter(F.col(date_col).isin(list(days)))
     folders = [f"{path.rstrip('/')}/{date_col}={d}" for d in days]
     present = [f for f in folders if _exists(spark, f)]
     if not present:
-        return spark.read.parquet(path).limit(0)
+        return None
     return spark.read.option("basePath", path).parquet(*present)
 
 
@@ -212,9 +214,13 @@ def upsert_table(spark: SparkSession, target_path: str, source: DataFrame, keys:
         files.delete(spark, staged_path)
         return {"staged_rows": staged_rows, "days": len(days)}
     target = read_days(spark, target_path, days, date_col)
-    staged = staged.select(*target.columns)
-    merged = (replace_days(target, staged, date_col) if mode == "replace_days"
-              else merge(target, staged, keys))
+    if target is None:
+        # Only new days: nothing to merge with, the staged rows are the days.
+        merged = staged
+    else:
+        staged = staged.select(*target.columns)
+        merged = (replace_days(target, staged, date_col) if mode == "replace_days"
+                  else merge(target, staged, keys))
     # Size the layout from what is rewritten: the staged rows plus the
     # target's days they touch (bounded probe, as in read_days).
     touched = ([f"{target_path.rstrip('/')}/{date_col}={d}" for d in days]

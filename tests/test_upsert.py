@@ -162,3 +162,11 @@ def test_hot_day_is_split_across_tasks(spark, workdir):
     files = [f for f in spark.read.parquet(path).inputFiles() if "usage_date=2024-01-01" in f]
     assert len(files) >= 2, files
     assert spark.read.parquet(path).count() == 9000
+
+
+def test_upsert_table_only_new_days(spark, workdir):
+    path = f"{workdir}/t"
+    write_table(spark.createDataFrame([(D1, "a", 1.0, "ok")], SCHEMA), path)
+    info = upsert_table(spark, path, spark.createDataFrame([(D2, "b", 2.0, "new")], SCHEMA), KEYS)
+    assert info == {"staged_rows": 1, "days": 1}
+    assert rows(spark.read.parquet(path)) == [(D1, "a", 1.0, "ok"), (D2, "b", 2.0, "new")]
