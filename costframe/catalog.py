@@ -569,3 +569,11 @@ def coverage_by_service(spark, sf_dir):
 
     return coverage_by(fx.cur(spark, sf_dir), "cur", "product_name").unionByName(
         coverage_by(fx.cdr(spark, sf_dir), "cdr", "category"))
+
+
+@register("bill_api_arrears", orc.breakdown_sql(AS_OF_SUMMER, offset=-1, projects=API_PROJECTS,
+                                                services=API_SERVICES, limit=None))
+def bill_api_arrears(spark, sf_dir):
+    """Q7 for the API scope: two projects, two services, previous month, no limit."""
+    return rp.cost_breakdown(fx.bill(spark, sf_dir), AS_OF_SUMMER, month_offset=-1,
+                             projects=API_PROJECTS, services=API_SERVICES, limit=None)
