@@ -577,3 +577,11 @@ def bill_api_arrears(spark, sf_dir):
     """Q7 for the API scope: two projects, two services, previous month, no limit."""
     return rp.cost_breakdown(fx.bill(spark, sf_dir), AS_OF_SUMMER, month_offset=-1,
                              projects=API_PROJECTS, services=API_SERVICES, limit=None)
+
+
+@register("environment_count", orc.ENVIRONMENT_COUNT_SQL)
+def environment_count(spark, sf_dir):
+    """How many environment tags the cost-and-usage table carries."""
+    from .plans.checks import distinct_values
+
+    return distinct_values(fx.cur(spark, sf_dir), "resource_tags_environment", "resource_tags_environment")

@@ -498,3 +498,8 @@ COVERAGE_BY_SQL = with_views(" UNION ALL ".join(
     f"count(DISTINCT usage_date) AS days_present, "
     f"CAST(max(usage_date) - min(usage_date) + 1 AS INTEGER) AS days_in_span FROM {t} GROUP BY {g}"
     for t, g in (("cur", "product_name"), ("cdr", "category"))), "cdr", "cur")
+
+
+ENVIRONMENT_COUNT_SQL = with_views("""
+SELECT 'resource_tags_environment' AS "column", count(DISTINCT resource_tags_environment) AS distinct_values
+FROM cur""", "cur")
