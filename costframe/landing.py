@@ -24,15 +24,8 @@ from .sources.cur import manifest_path
 
 
 def _open_output(path: str):
-    from pyarrow import fs as pafs
-
-    if path.startswith("file:"):
-        path = path[len("file:"):]
-        while path.startswith("//"):
-            path = path[1:]
-    filesystem, inner = pafs.FileSystem.from_uri(path) if "://" in path else (pafs.LocalFileSystem(), path)
-    parent = inner.rsplit("/", 1)[0]
-    filesystem.create_dir(parent, recursive=True)
+    filesystem, inner = files.arrow_fs(path)
+    filesystem.create_dir(inner.rsplit("/", 1)[0], recursive=True)
     return filesystem.open_output_stream(inner)
 
 

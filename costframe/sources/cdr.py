@@ -39,17 +39,10 @@ _ROW_SCHEMA = ("product string, direction_requested string, request_start string
 
 
 def _open_path(path: str):
-    """A seekable file for a Spark file path (local, hdfs, s3/s3a, gs) via pyarrow."""
-    from pyarrow import fs as pafs
-
-    if path.startswith("file:"):
-        local = path[len("file:"):]
-        while local.startswith("//"):
-            local = local[1:]
-        return pafs.LocalFileSystem().open_input_file(local)
-    if path.startswith("s3a://"):
-        path = "s3://" + path[len("s3a://"):]
-    filesystem, inner = pafs.FileSystem.from_uri(path)
+    """A seekable file for a Spark file path, opened in the task."""
+    from .files import arrow_fs
+
+    filesystem, inner = arrow_fs(path)
     return filesystem.open_input_file(inner)
 
 

@@ -64,3 +64,21 @@ def delete(spark: SparkSession, path: str) -> bool:
     """Remove a folder this library created (its own staging data)."""
     fs, hpath = _fs(spark, path)
     return bool(fs.delete(hpath, True)) if fs.exists(hpath) else False
+
+
+def arrow_fs(path: str):
+    """(pyarrow file system, path inside it) for a Spark file path, so Python
+    code in tasks reads and writes the same shared folders as Spark
+    (local ``file:`` paths, hdfs, s3/s3a, gs)."""
+    from pyarrow import fs as pafs
+
+    if path.startswith("file:"):
+        local = path[len("file:"):]
+        while local.startswith("//"):
+            local = local[1:]
+        return pafs.LocalFileSystem(), local
+    if "://" not in path:
+        return pafs.LocalFileSystem(), path
+    if path.startswith("s3a://"):
+        path = "s3://" + path[len("s3a://"):]
+    return pafs.FileSystem.from_uri(path)
