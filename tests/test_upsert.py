@@ -170,3 +170,16 @@ def test_upsert_table_only_new_days(spark, workdir):
     info = upsert_table(spark, path, spark.createDataFrame([(D2, "b", 2.0, "new")], SCHEMA), KEYS)
     assert info == {"staged_rows": 1, "days": 1}
     assert rows(spark.read.parquet(path)) == [(D1, "a", 1.0, "ok"), (D2, "b", 2.0, "new")]
+
+
+def test_upsert_table_many_days_lists_once(spark, workdir, monkeypatch):
+    # Beyond the probe cap a backfill lists the table once and filters on the
+    # partition column; the result is the same.
+    from costframe.operators import tables as tb
+
+    monkeypatch.setattr(tb, "MAX_DAY_PROBES", 1)
+    path = f"{workdir}/t"
+    write_table(spark.createDataFrame([(D1, "a", 1.0, "ok"), (D2, "b", 2.0, "ok")], SCHEMA), path)
+    source = spark.createDataFrame([(D1, "a", 5.0, "new"), (D2, "c", 6.0, "new")], SCHEMA)
+    assert upsert_table(spark, path, source, KEYS)["days"] == 2
+    assert rows(spark.read.parquet(path)) == [(D1, "a", 5.0, "new"), (D2, "b", 2.0, "ok"), (D2, "c", 6.0, "new")]
