@@ -58,3 +58,17 @@ def test_scope_audit_filter_reaches_scan(spark):
 
     df = scope_audit(spark, fx.bill(spark, SF_SMALL), "service", ["Brand#11"], ["service.id"])
     assert "CartesianProduct" not in plan(df)
+
+
+def test_breakdown_never_explodes_credits(spark):
+    p = plan(rp.cost_breakdown(fx.bill(spark, SF_SMALL), cat.AS_OF_SUMMER))
+    assert "Generate" not in p          # credit sums stay inside the row (HOFs)
+
+
+def test_coverage_by_combines_before_shuffle(spark):
+    from costframe.plans.checks import coverage_by
+
+    lines = plan(coverage_by(fx.cur(spark, SF_SMALL), "cur", "product_name")).splitlines()
+    # (group, day) pairs are made distinct map-side, right below their exchange
+    at = next(i for i, ln in enumerate(lines) if "Exchange hashpartitioning(group" in ln and "day" in ln)
+    assert "HashAggregate(keys=[group" in lines[at + 1], "\n".join(lines)
