@@ -30,6 +30,20 @@ def freshness(df: DataFrame, name: str, as_of: dt.date, date_col: str = "usage_d
                       lag.alias("lag_days"), (lag <= max_lag_days).alias("fresh"))
 
 
+def freshness_from_folders(spark: SparkSession, path: str, name: str, as_of: dt.date,
+                           date_col: str = "usage_date", max_lag_days: int = MAX_LAG_DAYS) -> DataFrame:
+    """Freshness of a day-partitioned table from its day folder names alone
+    (D1): no data file is opened.  The folder list is file-system metadata,
+    bounded by the calendar.  A day folder exists only when rows were written
+    for that day, so the answer equals :func:`freshness` on the table."""
+    from ..sources import files
+
+    days = [dt.date.fromisoformat(p.rsplit("=", 1)[1])
+            for p in files.glob(spark, f"{path.rstrip('/')}/{date_col}=*")]
+    df = spark.createDataFrame([(d,) for d in days], f"{date_col} date")
+    return freshness(df, name, as_of, date_col, max_lag_days)
+
+
 def coverage(df: DataFrame, name: str, date_col: str = "usage_date") -> DataFrame:
     """Days present out of the span from the first to the last date."""
     agg = df.agg(F.min(date_col).alias("first_date"), F.max(date_col).alias("last_date"),

@@ -72,3 +72,17 @@ def test_coverage_by_combines_before_shuffle(spark):
     # (group, day) pairs are made distinct map-side, right below their exchange
     at = next(i for i, ln in enumerate(lines) if "Exchange hashpartitioning(group" in ln and "day" in ln)
     assert "HashAggregate(keys=[group" in lines[at + 1], "\n".join(lines)
+
+
+
+def test_freshness_from_folders_equals_scan(spark, workdir):
+    from pyspark.sql import functions as F
+
+    from costframe.plans.checks import freshness, freshness_from_folders
+
+    path = f"{workdir}/cur-fresh"
+    write_table(fx.cur(spark, SF_SMALL).filter(F.year("usage_date") == 2001), path)
+    as_of = dt.date(2001, 11, 10)
+    a = freshness(spark.read.parquet(path), "cur", as_of).collect()
+    b = freshness_from_folders(spark, path, "cur", as_of).collect()
+    assert a == b and a[0].lag_days == 6 and a[0].fresh is False
