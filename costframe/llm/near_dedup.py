@@ -41,7 +41,7 @@ MATCHES = 14
 #: Similarity as a fraction of integers, so that the border is exact.
 PERCENT = 80
 #: Members of one list that are compared with one other block at once.
-BLOCK = 512
+BLOCK = 256
 #: Seeds of the hash functions.
 _RNG = np.random.default_rng(20240229)
 MULTIPLIERS = _RNG.integers(0, 1 << 63, COORDS, dtype=np.uint64) * U(2) + U(1)
@@ -143,6 +143,7 @@ def hub_pairs(posted: DataFrame, classes: DataFrame, turn: int) -> DataFrame:
     hubs = posted.groupBy("key").agg(F.min(order).getField("node").alias("hub"), F.min("comp").alias("least"),
                                      F.max("comp").alias("most")).where("least != most").select("key", "hub")
     met = (posted.join(hubs, "key").where("node != hub").groupBy("node", "hub").agg(F.count(F.lit(1)).alias("lists")))
+    classes = classes.select("node", "n", "comp", "sig")
     met = (met.join(classes, "node").join(_other("node", "hub", classes), "hub")
            .where((F.col("comp") != F.col("comp_hub")) & within_size("n", "n_hub"))
            .withColumn("same", matches("sig", "sig_hub")).where(F.col("same") >= MATCHES))
@@ -150,16 +151,28 @@ def hub_pairs(posted: DataFrame, classes: DataFrame, turn: int) -> DataFrame:
     return best.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
 
 
-def _compared(sides: pa.RecordBatch) -> tuple[list, list]:
-    """Candidate pairs among the rows of one (key, i, j) group."""
-    node = sides.column("node").to_pylist()
+def _padded(lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Lists of longs as one matrix, and where it holds their values."""
+    size = np.diff(lists.offsets.to_numpy())
+    there = np.arange(max(1, size.max())) < size[:, None]
+    out = np.zeros(there.shape, np.int64)
+    out[there] = lists.flatten().to_numpy()
+    return out, there
+
+
+def _compared(sides: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """Candidate pairs (two arrays of row numbers) in one (key, i, j) group.
+
+    A pair that shares several lists is taken in the one with the least key.
+    """
+    key, i, j = (sides.column(c)[0].as_py() for c in ("key", "i", "j"))
     sub, n = sides.column("sub").to_numpy(), sides.column("n").to_numpy()
     comp = np.unique(np.array(sides.column("comp").to_pylist(), dtype=object), return_inverse=True)[1]
-    sig = np.frombuffer(b"".join(sides.column("sig").to_pylist()), np.uint32).reshape(len(node), COORDS)
-    fine = np.frombuffer(b"".join(sides.column("sketch").to_pylist()), np.uint8).reshape(len(node), SKETCH)
-    i, j = sides.column("i")[0].as_py(), sides.column("j")[0].as_py()
+    sig = np.frombuffer(b"".join(sides.column("sig").to_pylist()), np.uint32).reshape(len(n), COORDS)
+    fine = np.frombuffer(b"".join(sides.column("sketch").to_pylist()), np.uint8).reshape(len(n), SKETCH)
+    keys, there = _padded(sides.column("keys"))
     left, right = np.flatnonzero(sub == i), np.flatnonzero(sub == j)
-    a_out, b_out = [], []
+    found: list[tuple[np.ndarray, np.ndarray]] = []
     for lo in range(0, len(left), BLOCK):
         x = left[lo:lo + BLOCK]
         for ro in range(0, len(right), BLOCK):
@@ -175,47 +188,93 @@ def _compared(sides: pa.RecordBatch) -> tuple[list, list]:
             p, q = x[p], y[q]
             if i == j:
                 p, q = p[p < q], q[p < q]
-            for at in range(0, len(p), 8192):
-                u, v = p[at:at + 8192], q[at:at + 8192]
+            for at in range(0, len(p), 4096):
+                u, v = p[at:at + 4096], q[at:at + 4096]
                 near = (fine[u] == fine[v]).sum(1) >= SKETCH_MATCHES
-                for u, v in zip(u[near], v[near]):
-                    a_out.append(min(node[u], node[v]))
-                    b_out.append(max(node[u], node[v]))
-    return a_out, b_out
-
-
-def merged_pairs(posted: DataFrame, classes: DataFrame) -> DataFrame:
-    """(a, b): all candidate pairs across components, from lists compared block by block."""
+                u, v = u[near], v[near]
+                shared = ((keys[u][:, :, None] == keys[v][:, None, :]) & there[v][:, None, :]).any(2) & there[u]
+                first = np.where(shared, keys[u], np.iinfo(np.int64).max).min(1, initial=np.iinfo(np.int64).max) == key
+                found.append((u[first], v[first]))
+    if not found:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
+
+
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The runs of rows with equal (key, i, j), one batch each, from sorted rows."""
+    held, mark = [], None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        ids = np.column_stack([batch.column(c).to_numpy() for c in ("key", "i", "j")])
+        cuts = np.concatenate([[0], np.flatnonzero((ids[1:] != ids[:-1]).any(1)) + 1, [len(ids)]])
+        for lo, hi in zip(cuts[:-1], cuts[1:]):
+            if held and mark != tuple(ids[lo]):
+                yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+                held = []
+            held.append(batch.slice(lo, hi - lo))
+            mark = tuple(ids[lo])
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
+def merged_links(posted: DataFrame, classes: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b): all confirmed links across components, from lists compared block by block.
+
+    Candidates stay packed, one row for each pair of blocks that has any; the
+    sets of their members come to that row, so no row is made for a mere candidate.
+    """
+    group = ["key", "i", "j"]
     lists = (posted.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.min("comp").alias("least"), F.max("comp").alias("most"))
              .where("least != most").select("key", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks")))
-    rows = (posted.join(lists, "key").withColumn("sub", F.pmod(F.xxhash64("node", F.lit(1)), "blocks").cast("int"))
+    rows = (posted.select("key", "node").join(lists, "key")
+            .withColumn("sub", F.pmod(F.xxhash64("node", F.lit(1)), "blocks").cast("int"))
             .select("key", "node", "sub", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("t"))
             .select("key", "node", "sub", F.least("sub", "t").alias("i"), F.greatest("sub", "t").alias("j"))
-            .join(classes.select("node", "n", "comp", "sig", "sketch"), "node"))
-    rows = (rows.select("key", "i", "j", "node", "sub", "n", "comp", "sig", "sketch").repartition("key", "i", "j")
-            .sortWithinPartitions("key", "i", "j", "node"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def out(group: pa.Table) -> pa.RecordBatch:
-            a, b = _compared(group.combine_chunks().to_batches()[0])
-            return pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"])
-
-        held, mark = [], None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            ids = np.column_stack([batch.column(c).to_numpy() for c in ("key", "i", "j")])
-            cuts = np.concatenate([[0], np.flatnonzero((ids[1:] != ids[:-1]).any(1)) + 1, [len(ids)]])
-            for lo, hi in zip(cuts[:-1], cuts[1:]):
-                if mark is not None and mark != tuple(ids[lo]):
-                    yield out(pa.Table.from_batches(held))
-                    held = []
-                held.append(batch.slice(lo, hi - lo))
-                mark = tuple(ids[lo])
-        if held:
-            yield out(pa.Table.from_batches(held))
-
-    return rows.mapInArrow(run, "a binary, b binary").distinct()
+            .join(classes.select("node", "n", "comp", "sig", "sketch", "keys"), "node"))
+    rows = (rows.select(*group, "node", "sub", "n", "comp", "sig", "sketch", "keys").repartition(*group)
+            .sortWithinPartitions(*group, "node"))
+
+    def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for g in _groups(batches):
+            a, b = _compared(g)
+            if len(a):
+                used, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+                at = at.astype(np.int32)
+                nodes = g.column("node").take(pa.array(used)).to_pylist()
+                yield pa.RecordBatch.from_arrays(
+                    [g.column(c).slice(0, 1) for c in group] + [pa.array([nodes], pa.list_(pa.binary())), pa.array(
+                        [at[:len(a)].tobytes()], pa.binary()), pa.array([at[len(a):].tobytes()], pa.binary())],
+                    names=[*group, "nodes", "left", "right"])
+
+    packs = saved(rows.mapInArrow(candidates, "key long, i int, j int, nodes array<binary>, left binary, right binary"), "candidates")
+    members = (packs.select(*group, F.posexplode("nodes").alias("pos", "node"))
+               .join(sets.select("node", "shingles"), "node")
+               .select(*group, "pos", "node", "shingles", F.lit(None).cast("binary").alias("other")))
+    both = (members.unionByName(packs.select(*group, F.lit(-1).alias("pos"), F.lit(None).cast("binary").alias("node"),
+                                             F.col("left").alias("shingles"), F.col("right").alias("other")))
+            .repartition(*group).sortWithinPartitions(*group, "pos"))
+
+    def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for g in _groups(batches):
+            a = np.frombuffer(g.column("shingles")[0].as_buffer(), np.int32)
+            b = np.frombuffer(g.column("other")[0].as_buffer(), np.int32)
+            each = [np.frombuffer(x.as_buffer(), U) for x in g.column("shingles")[1:]]
+            size = np.array([len(x) for x in each])
+            ids = np.unique(np.concatenate(each), return_inverse=True)[1]
+            at = np.concatenate([[0], np.cumsum(size)])
+            mark, now, keep = np.zeros(at[-1] + 1, bool), -1, np.zeros(len(a), bool)
+            for k in np.argsort(a, kind="stable"):
+                if a[k] != now:
+                    mark[:] = False
+                    now = a[k]
+                    mark[ids[at[now]:at[now + 1]]] = True
+                both = int(np.count_nonzero(mark[ids[at[b[k]]:at[b[k] + 1]]]))
+                keep[k] = 100 * both >= PERCENT * (size[a[k]] + size[b[k]] - both)
+            nodes = g.column("node").slice(1)
+            yield pa.RecordBatch.from_arrays([nodes.take(pa.array(a[keep])), nodes.take(pa.array(b[keep]))], names=["a", "b"])
+
+    return both.mapInArrow(confirm, "a binary, b binary")
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
@@ -295,11 +354,13 @@ def linked(docs: DataFrame, words: int = WORDS, hub_rounds: int = 6) -> tuple[Da
     posted = saved(posted.select("key", "node").join(weight, "node"), "lists")
     some = saved(classes.join(posted.select("node").distinct(), "node", "left_semi").withColumn("comp", F.col("node")), "posted-classes")
     sets = saved(full_sets(docs, some, words), "sets")
-    some = saved(some.join(sets.select("node", "sketch"), "node"), "sketched-classes")
+    keys = posted.groupBy("node").agg(F.array_sort(F.collect_list("key")).alias("keys"))
+    some = saved(some.join(sets.select("node", "sketch"), "node").join(keys, "node"), "sketched-classes")
     links, members, turn, last = None, some.count(), 0, False
     while True:
         lists = posted.join(some.select("node", "comp"), "node")
-        found = saved(confirmed(merged_pairs(lists, some) if last else hub_pairs(lists, some, turn), sets), f"links-{turn}")
+        found = merged_links(lists, some, sets) if last else confirmed(hub_pairs(lists, some, turn), sets)
+        found = saved(found, f"links-{turn}")
         links = found if links is None else links.union(found)
         some = saved(_labelled(some, links), f"labels-{turn}")
         if last:
