@@ -116,9 +116,12 @@ def exact_dedup(docs: DataFrame, block_bytes: int = BLOCK_BYTES, buckets: int =
     ids = ids.select(F.col("doc_id").alias("d"), F.col("text_sha256").alias("s"), *same)
     rows = saved(times.join(ids, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_sha256") == F.col("s")))
                  .select(*KEY, "times", *same), "identities")
-    groups = rows.groupBy(*same).agg(F.min("doc_id").alias("keep_id"), F.sum("times").alias("group_size"))
-    return (rows.join(groups, same)
-            .select("doc_id", "keep_id", "group_size", "text_sha256",
+    groups = (rows.groupBy(*same).agg(F.min("doc_id").alias("least"), F.sum("times").alias("size"))
+              .where("size > 1"))
+    # written, so that both sides of the join are plain exchanges: a hot group's rows can then be split
+    return (rows.join(saved(groups, "groups"), same, "left")
+            .withColumn("keep_id", F.when(F.col("size").isNull(), F.col("doc_id")).otherwise(F.col("least")))
+            .select("doc_id", "keep_id", F.coalesce("size", F.lit(1)).cast("long").alias("group_size"), "text_sha256",
                     F.explode(F.sequence(F.lit(1), F.col("times"))).alias("copy"))
             .select("doc_id", "keep_id", "group_size",
                     (F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("copy") == 1)).alias("kept"),
