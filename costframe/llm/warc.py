@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from costframe.llm.common import scratch_path, table
+from costframe.llm.common import saved, scratch_path, table
 
 VERSION = "WARC/1.1\r\n"
 END = "\r\n\r\n"
@@ -74,9 +74,11 @@ def captures_to_write(pages: DataFrame, min_payload: int = MIN_PAYLOAD) -> DataF
     key = ["pid", "digest"]
     marks = (pages.select("page_id", *key, "url", F.octet_length("html").alias("bytes"))
              .groupBy("page_id", *key, "bytes").agg(F.count(F.lit(1)).alias("times"), F.min("url").alias("url")))
-    first = (marks.groupBy("digest").agg(F.min(F.struct(F.col("page_id").isNull(), "page_id", "pid")).getField("pid").alias("first"))
-             .select("digest", "first"))
-    rows = marks.join(first, "digest").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("times"))))
+    first = (marks.groupBy("digest").agg(F.min(F.struct(F.col("page_id").isNull(), "page_id", "pid")).getField("pid").alias("least"),
+                                         F.sum("times").alias("size")).where("size > 1").select("digest", "least"))
+    # written, so that both sides of the join are plain exchanges: a hot payload's rows can then be split
+    rows = (marks.join(saved(first, "equal-payloads"), "digest", "left").withColumn("first", F.coalesce("least", "pid"))
+            .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("times")))))
     rows = rows.withColumn("revisit", (F.col("bytes") >= min_payload) & ((F.col("pid") != F.col("first")) | (F.col("copy") > 1)))
     payload = pages.groupBy(*key).agg(F.first("html").alias("html"))
     answers = rows.where("not revisit").join(payload, key)
