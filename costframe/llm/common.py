@@ -155,3 +155,21 @@ def sums_by(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """Sums of ``values`` between successive ``bounds`` (n + 1 of them), 0 for an empty run."""
     run = np.concatenate([np.zeros(1, values.dtype), np.cumsum(values)])
     return run[bounds[1:]] - run[bounds[:-1]]
+
+
+def bitmap_of(hashes: DataFrame, bits: int) -> np.ndarray:
+    """Bitmap of a column of long hashes modulo ``bits``, in pieces of 4 KB that Spark puts together.
+
+    It takes ``bits`` / 8 bytes, however many hashes there are; a full one passes everything.
+    """
+    at = F.pmod(F.col(hashes.columns[0]), F.lit(bits))
+    pieces = (hashes.select(F.floor(at / 32768).cast("int").alias("piece"), (at % 32768).alias("bit"))
+              .groupBy("piece").agg(F.bitmap_construct_agg("bit").alias("map")).collect())
+    out = np.zeros((-(-bits // 32768), 4096), np.uint8)
+    for r in pieces:
+        out[r.piece] = np.frombuffer(bytes(r.map), np.uint8)
+    return out.ravel()
+
+
+def in_bitmap(bitmap: np.ndarray, at: np.ndarray) -> np.ndarray:
+    return (bitmap[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from costframe.llm.common import U, gram_hashes, hash_spans, lower_ascii, saved, table, text_slices, word_spans
+from costframe.llm.common import U, bitmap_of, gram_hashes, hash_spans, in_bitmap, lower_ascii, saved, table, text_slices, word_spans
 
 SEED_WORDS = 4
 #: Bits of the seed bitmap: fixed, whatever the benchmark's size; it only spares work.
@@ -75,21 +75,6 @@ def items_of(benchmark: DataFrame, seed_words: int) -> DataFrame:
             .where("size(seeds) > 0").distinct())
 
 
-def seed_bitmap(seeds: DataFrame, bits: int) -> np.ndarray:
-    """Bitmap of the seeds' hashes modulo ``bits``, in pieces of 4 KB that Spark puts together: ``bits`` / 8 bytes in all."""
-    at = F.pmod("seed", F.lit(bits))
-    pieces = (seeds.select(F.floor(at / 32768).cast("int").alias("piece"), (at % 32768).alias("bit"))
-              .groupBy("piece").agg(F.bitmap_construct_agg("bit").alias("map")).collect())
-    out = np.zeros((-(-bits // 32768), 4096), np.uint8)
-    for r in pieces:
-        out[r.piece] = np.frombuffer(bytes(r.map), np.uint8)
-    return out.ravel()
-
-
-def in_bitmap(bitmap: np.ndarray, at: np.ndarray) -> np.ndarray:
-    return (bitmap[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0
-
-
 def passages(docs: DataFrame, bitmap: np.ndarray, bits: int, seed_words: int, margin: int) -> DataFrame:
     """(doc_id, passage, seeds): runs of words around the n-grams that pass the bitmap."""
     told = docs.sparkSession.sparkContext.broadcast(bitmap)
@@ -126,7 +111,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, least: float = LEAST, span: int
     """
     items = saved(items_of(benchmark, seed_words), "items")
     seeds = items.select("item_id", "item", F.explode("seeds").alias("seed"))
-    found = passages(docs, seed_bitmap(seeds, bits), bits, seed_words, margin)
+    found = passages(docs, bitmap_of(seeds.select("seed"), bits), bits, seed_words, margin)
     found = saved(found.withColumn("run", F.xxhash64("doc_id", "passage")), "passages")
     hits = found.select("run", F.explode("seeds").alias("seed"))
     rarity = hits.join(seeds.select("seed").distinct(), "seed", "left_semi").groupBy("seed").agg(F.count(F.lit(1)).alias("passages"))

@@ -9,13 +9,12 @@
    (rare first, one order for all), so only those are posted: values that
    nobody shares use up the prefix first, which keeps texts that merely contain
    a widespread passage out of its long list.
-3. Lists are merged in blocks that are compared with each other by whole
-   columns of signatures; blocks whose sizes can't reach the similarity are
-   skipped, and so are pairs already in one component.
-4. Candidates are confirmed on the full shingle sets.  A first round compares
-   each class with one hub of its lists, so that large families fall into one
-   component at the cost of one comparison a member; the second round compares
-   what is left across components.
+3. Of lists with the same members one is kept.  Lists are merged in blocks that
+   are compared with each other by whole columns of signatures, skipping pairs
+   whose sizes can't reach the similarity and pairs that an earlier list holds.
+4. Candidates are confirmed on the full shingle sets where the sets of a pair of
+   blocks have come together; pairs that links have already united are skipped,
+   so a large family costs about one comparison a member if it is close.
 5. Components come from alternating large-star and small-star rounds.
 
 The block comparison also asks a finer 256-byte sketch of the posted classes.
@@ -32,8 +31,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from costframe.llm.common import (U, gram_hashes, hash_spans, lower_ascii, mix, saved, table, text_slices,
-                                  word_spans)
+from costframe.llm.common import (U, bitmap_of, gram_hashes, hash_spans, in_bitmap, lower_ascii, mix, saved, table,
+                                  text_slices, word_spans)
 
 WORDS = 4
 COORDS = 32
@@ -41,7 +40,9 @@ MATCHES = 14
 #: Similarity as a fraction of integers, so that the border is exact.
 PERCENT = 80
 #: Members of one list that are compared with one other block at once.
-BLOCK = 256
+BLOCK = 512
+#: Bits of the bitmap of posted documents: fixed, and only sparing work.
+BITS = 1 << 25
 #: Seeds of the hash functions.
 _RNG = np.random.default_rng(20240229)
 MULTIPLIERS = _RNG.integers(0, 1 << 63, COORDS, dtype=np.uint64) * U(2) + U(1)
@@ -66,6 +67,10 @@ def shingle_sets(buf: np.ndarray, off: np.ndarray, words: int = WORDS) -> Iterat
             yield h[:0]
 
 
+def digest(shingles: np.ndarray) -> bytes:
+    return np.array([shingles.sum(dtype=U), mix(shingles ^ OFFSETS[0]).sum(dtype=U)], U).tobytes()
+
+
 def signature(shingles: np.ndarray) -> np.ndarray:
     out = np.full(COORDS, 0xFFFFFFFF, np.uint32)
     for lo in range(0, len(shingles), 4096):
@@ -90,7 +95,7 @@ def profiles(docs: DataFrame, words: int = WORDS) -> DataFrame:
                 n, node, sig = [], [], []
                 for s in shingle_sets(buf, off, words):
                     n.append(len(s))
-                    node.append(np.array([s.sum(dtype=U), mix(s ^ OFFSETS[0]).sum(dtype=U)], U).tobytes())
+                    node.append(digest(s))
                     sig.append(signature(s).tobytes())
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(lo, hi - lo), pa.array(n, pa.int64()), pa.array(node, pa.binary()),
@@ -114,41 +119,15 @@ def postings(classes: DataFrame) -> DataFrame:
     return ranked.select("node", F.explode(F.expr(f"slice(c, 1, size(c) - {MATCHES - 1})")).alias("c")).select("c.key", "node")
 
 
-def _other(col: str, than: str, classes: DataFrame) -> DataFrame:
-    """Classes with their columns renamed ``<col>_<than>``, to join pairs with."""
-    return classes.select(*[F.col(c).alias(than if c == "node" else f"{c}_{than}") for c in classes.columns])
-
-
-def within_size(a: str, b: str) -> Column:
-    """Sets of these sizes can reach the similarity."""
-    return F.least(a, b) * 100 >= F.greatest(a, b) * PERCENT
-
-
-def matches(a: str, b: str) -> Column:
-    """Coordinates in which two signatures agree."""
-    return F.aggregate(F.sequence(F.lit(0), F.lit(COORDS - 1)), F.lit(0), lambda n, k: n + F.when(
-        F.substring(F.col(a), k * 4 + 1, F.lit(4)) == F.substring(F.col(b), k * 4 + 1, F.lit(4)), 1).otherwise(0))
-
+def distinct_lists(posted: DataFrame) -> DataFrame:
+    """(key, node, m) of the lists with m > 1 members, one list for each set of members.
 
-def hub_pairs(posted: DataFrame, classes: DataFrame, turn: int) -> DataFrame:
-    """(a, b): each class with the likest of its lists' hubs that are in other components.
-
-    At first a list's hub is its most central member, the one whose lists are
-    longest (the original of a family of edited copies); later, a random one.
+    Copies share most of their coordinates, hence lists with the same members;
+    whatever pair one of them holds, the kept one holds too.
     """
-    if turn:
-        order = F.struct(F.xxhash64(F.lit(turn), "key", "node").alias("r"), "node")
-    else:
-        order = F.struct((-F.col("weight")).alias("r"), "node")
-    hubs = posted.groupBy("key").agg(F.min(order).getField("node").alias("hub"), F.min("comp").alias("least"),
-                                     F.max("comp").alias("most")).where("least != most").select("key", "hub")
-    met = (posted.join(hubs, "key").where("node != hub").groupBy("node", "hub").agg(F.count(F.lit(1)).alias("lists")))
-    classes = classes.select("node", "n", "comp", "sig")
-    met = (met.join(classes, "node").join(_other("node", "hub", classes), "hub")
-           .where((F.col("comp") != F.col("comp_hub")) & within_size("n", "n_hub"))
-           .withColumn("same", matches("sig", "sig_hub")).where(F.col("same") >= MATCHES))
-    best = met.groupBy("node").agg(F.max(F.struct("same", "lists", "hub")).getField("hub").alias("hub"))
-    return best.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
+    lists = posted.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.bit_xor(F.xxhash64("node")).alias("x"),
+                                      F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y")).where("m > 1")
+    return posted.join(lists.groupBy("m", "x", "y").agg(F.min("key").alias("key")).select("key", "m"), "key")
 
 
 def _padded(lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -161,24 +140,22 @@ def _padded(lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _compared(sides: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
-    """Candidate pairs (two arrays of row numbers) in one (key, i, j) group.
+    """Candidate pairs (two arrays of row numbers) in one (key, i, j) group, the likest first.
 
     A pair that shares several lists is taken in the one with the least key.
     """
     key, i, j = (sides.column(c)[0].as_py() for c in ("key", "i", "j"))
     sub, n = sides.column("sub").to_numpy(), sides.column("n").to_numpy()
-    comp = np.unique(np.array(sides.column("comp").to_pylist(), dtype=object), return_inverse=True)[1]
     sig = np.frombuffer(b"".join(sides.column("sig").to_pylist()), np.uint32).reshape(len(n), COORDS)
     fine = np.frombuffer(b"".join(sides.column("sketch").to_pylist()), np.uint8).reshape(len(n), SKETCH)
     keys, there = _padded(sides.column("keys"))
     left, right = np.flatnonzero(sub == i), np.flatnonzero(sub == j)
-    found: list[tuple[np.ndarray, np.ndarray]] = []
+    found: list[tuple[np.ndarray, ...]] = []
     for lo in range(0, len(left), BLOCK):
         x = left[lo:lo + BLOCK]
         for ro in range(0, len(right), BLOCK):
             y = right[ro:ro + BLOCK]
             fits = np.minimum(n[x][:, None], n[y]) * 100 >= np.maximum(n[x][:, None], n[y]) * PERCENT
-            fits &= comp[x][:, None] != comp[y]
             if not fits.any():
                 continue
             same = np.zeros(fits.shape, np.int16)
@@ -190,14 +167,17 @@ def _compared(sides: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
                 p, q = p[p < q], q[p < q]
             for at in range(0, len(p), 4096):
                 u, v = p[at:at + 4096], q[at:at + 4096]
-                near = (fine[u] == fine[v]).sum(1) >= SKETCH_MATCHES
-                u, v = u[near], v[near]
+                like = (fine[u] == fine[v]).sum(1)
+                near = like >= SKETCH_MATCHES
+                u, v, like = u[near], v[near], like[near]
                 shared = ((keys[u][:, :, None] == keys[v][:, None, :]) & there[v][:, None, :]).any(2) & there[u]
                 first = np.where(shared, keys[u], np.iinfo(np.int64).max).min(1, initial=np.iinfo(np.int64).max) == key
-                found.append((u[first], v[first]))
+                found.append((u[first], v[first], like[first]))
     if not found:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
+    u, v, like = (np.concatenate(f) for f in zip(*found))
+    order = np.argsort(-like, kind="stable")
+    return u[order], v[order]
 
 
 def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -218,21 +198,60 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
 
 
-def merged_links(posted: DataFrame, classes: DataFrame, sets: DataFrame) -> DataFrame:
-    """(a, b): all confirmed links across components, from lists compared block by block.
+def _united(a: np.ndarray, b: np.ndarray, sets: list[np.ndarray]) -> np.ndarray:
+    """The least member of each member's component under the candidates that are links.
+
+    Candidates come likest first.  First each member tries its likest partner;
+    then the rest is compared, save pairs that have already been united.
+    """
+    size = np.array([len(x) for x in sets])
+    ids = np.unique(np.concatenate(sets), return_inverse=True)[1]
+    at = np.concatenate([[0], np.cumsum(size)])
+    root = np.arange(len(sets))
+
+    def top(x: int) -> int:
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    best = np.zeros(len(a), bool)
+    best[np.unique(a, return_index=True)[1]] = True
+    best[np.unique(b, return_index=True)[1]] = True
+    mark = np.zeros(int(at[-1]), bool)
+    for turn in (np.flatnonzero(best), np.flatnonzero(~best)):
+        now = -1
+        for k in turn[np.argsort(a[turn], kind="stable")]:
+            p, q = top(a[k]), top(b[k])
+            if p == q:
+                continue
+            if a[k] != now:
+                if now >= 0:
+                    mark[ids[at[now]:at[now + 1]]] = False
+                now = a[k]
+                mark[ids[at[now]:at[now + 1]]] = True
+            both = int(np.count_nonzero(mark[ids[at[b[k]]:at[b[k] + 1]]]))
+            if 100 * both >= PERCENT * (size[a[k]] + size[b[k]] - both):
+                root[max(p, q)] = min(p, q)
+        if now >= 0:
+            mark[ids[at[now]:at[now + 1]]] = False
+    return np.array([top(x) for x in range(len(sets))])
+
+
+def linked_groups(posted: DataFrame, classes: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b): edges that connect what confirmed links connect, from lists compared block by block.
 
     Candidates stay packed, one row for each pair of blocks that has any; the
-    sets of their members come to that row, so no row is made for a mere candidate.
+    sets of their members come to that row, so no row is made for a mere
+    candidate, and one edge a member says what the links of a group unite.
     """
     group = ["key", "i", "j"]
-    lists = (posted.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.min("comp").alias("least"), F.max("comp").alias("most"))
-             .where("least != most").select("key", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks")))
-    rows = (posted.select("key", "node").join(lists, "key")
+    rows = (posted.withColumn("blocks", F.ceil(F.col("m") / BLOCK).cast("int"))
             .withColumn("sub", F.pmod(F.xxhash64("node", F.lit(1)), "blocks").cast("int"))
             .select("key", "node", "sub", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("t"))
             .select("key", "node", "sub", F.least("sub", "t").alias("i"), F.greatest("sub", "t").alias("j"))
-            .join(classes.select("node", "n", "comp", "sig", "sketch", "keys"), "node"))
-    rows = (rows.select(*group, "node", "sub", "n", "comp", "sig", "sketch", "keys").repartition(*group)
+            .join(classes.select("node", "n", "sig", "keys").join(sets.select("node", "sketch"), "node"), "node"))
+    rows = (rows.select(*group, "node", "sub", "n", "sig", "sketch", "keys").repartition(*group)
             .sortWithinPartitions(*group, "node"))
 
     def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -259,59 +278,35 @@ def merged_links(posted: DataFrame, classes: DataFrame, sets: DataFrame) -> Data
         for g in _groups(batches):
             a = np.frombuffer(g.column("shingles")[0].as_buffer(), np.int32)
             b = np.frombuffer(g.column("other")[0].as_buffer(), np.int32)
-            each = [np.frombuffer(x.as_buffer(), U) for x in g.column("shingles")[1:]]
-            size = np.array([len(x) for x in each])
-            ids = np.unique(np.concatenate(each), return_inverse=True)[1]
-            at = np.concatenate([[0], np.cumsum(size)])
-            mark, now, keep = np.zeros(at[-1] + 1, bool), -1, np.zeros(len(a), bool)
-            for k in np.argsort(a, kind="stable"):
-                if a[k] != now:
-                    mark[:] = False
-                    now = a[k]
-                    mark[ids[at[now]:at[now + 1]]] = True
-                both = int(np.count_nonzero(mark[ids[at[b[k]]:at[b[k] + 1]]]))
-                keep[k] = 100 * both >= PERCENT * (size[a[k]] + size[b[k]] - both)
-            nodes = g.column("node").slice(1)
-            yield pa.RecordBatch.from_arrays([nodes.take(pa.array(a[keep])), nodes.take(pa.array(b[keep]))], names=["a", "b"])
+            root = _united(a, b, [np.frombuffer(x.as_buffer(), U) for x in g.column("shingles")[1:]])
+            nodes, other = g.column("node").slice(1), np.flatnonzero(root != np.arange(len(root)))
+            yield pa.RecordBatch.from_arrays([nodes.take(pa.array(root[other])), nodes.take(pa.array(other))], names=["a", "b"])
 
     return both.mapInArrow(confirm, "a binary, b binary")
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """(node, shingles, sketch): the sets of the wanted classes, from the text of one document of each."""
-    rows = (docs.select(F.col("doc_id").alias("doc"), F.coalesce("text", F.lit("")).alias("text"))
-            .join(wanted.select("doc"), "doc", "left_semi").select("text"))
+    """(node, shingles, sketch): the sets of the wanted classes, from the text of one document of each.
+
+    A bitmap of fixed size spares most other documents the work and the shuffle;
+    the join decides.
+    """
+    told = docs.sparkSession.sparkContext.broadcast(bitmap_of(wanted.select(F.xxhash64("doc")), BITS))
+    rows = docs.select(F.pmod(F.xxhash64("doc_id"), F.lit(BITS)).alias("at"), "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, _, buf, off in text_slices(batch.column(0)):
+            texts = batch.column(1).filter(pa.array(in_bitmap(told.value, batch.column(0).to_numpy())))
+            for _, _, buf, off in text_slices(texts):
                 sets = [s for s in shingle_sets(buf, off, words) if len(s)]
-                nodes = [np.array([s.sum(dtype=U), mix(s ^ OFFSETS[0]).sum(dtype=U)], U).tobytes() for s in sets]
-                yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary()),
-                                                  pa.array([sketch(s).tobytes() for s in sets], pa.binary())],
-                                                 names=["node", "shingles", "sketch"])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([digest(s) for s in sets], pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary()),
+                     pa.array([sketch(s).tobytes() for s in sets], pa.binary())], names=["node", "shingles", "sketch"])
 
     found = rows.mapInArrow(run, "node binary, shingles binary, sketch binary")
     return found.join(wanted.select("node"), "node", "left_semi").dropDuplicates(["node"])
 
 
-def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs whose full sets reach the similarity."""
-    joined = (pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a")
-              .join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb")), "b").select("a", "b", "sa", "sb"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = []
-            for x, y in zip(batch.column(2), batch.column(3)):
-                p, q = np.frombuffer(x.as_buffer(), U), np.frombuffer(y.as_buffer(), U)
-                both = len(np.intersect1d(p, q, assume_unique=True))
-                keep.append(100 * both >= PERCENT * (len(p) + len(q) - both))
-            yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
-
-    return joined.mapInArrow(run, "a binary, b binary")
-
-
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) of the connected components of (a, b): alternating large-star and small-star."""
     now = saved(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
@@ -331,43 +326,17 @@ def components(edges: DataFrame) -> DataFrame:
         now = then
 
 
-def _labelled(classes: DataFrame, links: DataFrame) -> DataFrame:
-    roots = components(links)
-    return (classes.drop("comp").join(roots, "node", "left")
-            .withColumn("comp", F.coalesce("root", "node")).drop("root"))
-
-
-def linked(docs: DataFrame, words: int = WORDS, hub_rounds: int = 6) -> tuple[DataFrame, DataFrame]:
-    """(profiles, classes with their component ``comp``) of ``docs``.
-
-    Hub rounds (``hub_rounds`` at most, at least one) go on while they still find
-    many links; the last round compares all that is left, so their number bears
-    on the time alone.
-    """
+def linked(docs: DataFrame, words: int = WORDS) -> tuple[DataFrame, DataFrame]:
+    """(profiles, classes with their component ``comp``) of ``docs``."""
     prof = saved(profiles(docs, words), "profiles")
     classes = saved(prof.where("n_shingles > 0").groupBy("node").agg(
         F.min("doc_id").alias("doc"), F.max("n_shingles").alias("n"), F.max("sig").alias("sig")), "classes")
-    posted = saved(postings(classes), "postings")
-    shared = posted.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
-    posted = posted.join(shared, "key")
-    weight = posted.groupBy("node").agg(F.sum("m").alias("weight"))
-    posted = saved(posted.select("key", "node").join(weight, "node"), "lists")
-    some = saved(classes.join(posted.select("node").distinct(), "node", "left_semi").withColumn("comp", F.col("node")), "posted-classes")
+    lists = saved(distinct_lists(saved(postings(classes), "postings")), "lists")
+    keys = lists.groupBy("node").agg(F.array_sort(F.collect_list("key")).alias("keys"))
+    some = saved(classes.join(keys, "node"), "posted-classes")
     sets = saved(full_sets(docs, some, words), "sets")
-    keys = posted.groupBy("node").agg(F.array_sort(F.collect_list("key")).alias("keys"))
-    some = saved(some.join(sets.select("node", "sketch"), "node").join(keys, "node"), "sketched-classes")
-    links, members, turn, last = None, some.count(), 0, False
-    while True:
-        lists = posted.join(some.select("node", "comp"), "node")
-        found = merged_links(lists, some, sets) if last else confirmed(hub_pairs(lists, some, turn), sets)
-        found = saved(found, f"links-{turn}")
-        links = found if links is None else links.union(found)
-        some = saved(_labelled(some, links), f"labels-{turn}")
-        if last:
-            break
-        turn += 1
-        last = turn >= hub_rounds or found.count() * 100 < members
-    return prof, classes.join(some.select("node", "comp"), "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    roots = components(saved(linked_groups(lists, some, sets), "links"))
+    return prof, classes.join(roots, "node", "left").select("node", "doc", F.coalesce("root", "node").alias("comp"))
 
 
 def near_dedup(docs: DataFrame, words: int = WORDS) -> DataFrame:
