@@ -198,7 +198,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, bits: int =
     join = lambda col, kind: np.frombuffer(b"".join(bytes(r[col]) for r in got), kind)
     bounds = np.concatenate([[0], np.cumsum([len(r["bucket"]) // 4 for r in got])]).astype(np.int64)
     f = Features(bounds, join("bucket", np.int32).astype(np.int64), join("value", np.float64),
-                 join("stats", np.float64).reshape(len(got), -1))
+                 join("stats", np.float64).reshape(len(got), len(STATISTICS)))
     return fit(f, np.array([r.quality for r in got], float), bits)
 
 
