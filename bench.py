@@ -113,14 +113,14 @@ def main() -> None:
     # ---------------------------------------------------------------- reports
     A, W, C = cat.AS_OF_SUMMER, cat.AS_OF_WINTER, cat.CDR_AS_OF
     reports = {
-        "q1_all_services": lambda: rp.cost_breakdown(bill, A),
-        "q2_platform_top10": lambda: rp.cost_breakdown(bill, A, projects=cat.PLATFORM_PROJECTS,
+        "q1_all_services": lambda: rp.cost_breakdown(bill, A, usage_day_col="usage_date"),
+        "q2_platform_top10": lambda: rp.cost_breakdown(bill, A, usage_day_col="usage_date", projects=cat.PLATFORM_PROJECTS,
                                                        services=cat.PLATFORM_SERVICES),
-        "q3_api_all": lambda: rp.cost_breakdown(bill, A, projects=cat.API_PROJECTS,
+        "q3_api_all": lambda: rp.cost_breakdown(bill, A, usage_day_col="usage_date", projects=cat.API_PROJECTS,
                                                 services=cat.API_SERVICES, limit=None),
-        "q7_arrears": lambda: rp.cost_breakdown(bill, A, month_offset=-1, projects=cat.PLATFORM_PROJECTS,
+        "q7_arrears": lambda: rp.cost_breakdown(bill, A, usage_day_col="usage_date", month_offset=-1, projects=cat.PLATFORM_PROJECTS,
                                                 services=cat.PLATFORM_SERVICES),
-        "d12_cud_fee": lambda: rp.cost_breakdown(bill, A, fee_skus=cat.FEE_SKUS),
+        "d12_cud_fee": lambda: rp.cost_breakdown(bill, A, usage_day_col="usage_date", fee_skus=cat.FEE_SKUS),
         "q4_cur_services": lambda: rp.cur_cost_by_service(cur, A),
         "q5_cur_monthly": lambda: rp.cur_cost_by_service(cur, W, month_offset=-1, label="Service"),
         "d6_cur_effective": lambda: rp.cur_cost_by_service(cur, A, effective=True),

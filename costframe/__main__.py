@@ -55,7 +55,7 @@ def main(argv: list[str] | None = None) -> int:
     c.add_argument("name", choices=["all-services", "scoped", "aws-services", "aws-monthly", "cdr-services"])
     c.add_argument("--table", required=True)
     c.add_argument("--as-of", type=_date)
-    c.add_argument("--month-offset", type=int, default=0)
+    c.add_argument("--month-offset", type=int, default=None, help="0: this month; default -1 for aws-monthly, else 0")
     c.add_argument("--projects", type=_csv)
     c.add_argument("--services", type=_csv)
     c.add_argument("--no-limit", action="store_true")
@@ -83,14 +83,14 @@ def main(argv: list[str] | None = None) -> int:
         t = table_scan(spark, a.table)
         limit = None if a.no_limit else rp.TOP_N
         if a.name in ("all-services", "scoped"):
-            df = rp.cost_breakdown(t, as_of, month_offset=a.month_offset, projects=a.projects,
+            df = rp.cost_breakdown(t, as_of, month_offset=a.month_offset or 0, projects=a.projects,
                                    services=a.services, limit=limit)
         elif a.name == "aws-services":
-            df = rp.cur_cost_by_service(t, as_of, month_offset=a.month_offset, limit=limit)
+            df = rp.cur_cost_by_service(t, as_of, month_offset=a.month_offset or 0, limit=limit)
         elif a.name == "aws-monthly":
-            df = rp.cur_cost_by_service(t, as_of, month_offset=-1, label="Service", limit=limit)
+            df = rp.cur_cost_by_service(t, as_of, month_offset=-1 if a.month_offset is None else a.month_offset, label="Service", limit=limit)
         else:
-            df = rp.cdr_cost_by_category(t, as_of, month_offset=a.month_offset)
+            df = rp.cdr_cost_by_category(t, as_of, month_offset=a.month_offset or 0)
         # A report is at most one row per service: bounded, safe to print.
         for row in df.toJSON().collect():
             print(row)

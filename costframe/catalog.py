@@ -494,6 +494,37 @@ def invoice_csv_roundtrip(spark, sf_dir):
     return normalise_invoice(invoice_scan(spark, root))
 
 
+def _overlapping_pulls(spark, buckets, result, kind):
+    """Three landed pulls with shared days, loaded twice by the job; the table."""
+    from pyspark.sql import functions as F
+
+    from .landing import land_pages
+    from .plans.loads import load_usage
+    from .session import scratch_path
+
+    root, table = scratch_path(spark, f"{kind}-pulls"), scratch_path(spark, f"{kind}-pulled")
+    day = F.dayofmonth(F.substring("starting_at", 1, 10).cast("date"))
+    for n, part in enumerate([buckets.filter(day <= 15), buckets.filter((day >= 10) & (day <= 20)), buckets.filter(day >= 18)]):
+        land_pages(spark, part, f"{root}/pull={n}")
+    none = scratch_path(spark, "unused")
+    for _ in range(2):
+        if kind == "usage":
+            load_usage(spark, root, table, multi_line=False)
+        else:
+            load_usage(spark, root, none + "-usage", root, table, multi_line=False)
+    return spark.read.parquet(table)
+
+
+@register("usage_overlapping_pulls", orc.USAGE_FLAT_SQL)
+def usage_overlapping_pulls(spark, sf_dir):
+    """Overlapping pulls of usage pages through the load job, twice."""
+    from .operators.usage import flatten_usage
+    from .sources.buckets import USAGE_RESULT
+
+    buckets = fx.usage_buckets(spark, sf_dir)
+    return ntz(_overlapping_pulls(spark, buckets, USAGE_RESULT, "usage").select(*flatten_usage(buckets.limit(0)).columns))
+
+
 @register("stream_usage_upsert", orc.USAGE_FLAT_SQL)
 def stream_usage_upsert(spark, sf_dir):
     """Two overlapping pulls land as pages; a file stream upserts each new
@@ -503,6 +534,7 @@ def stream_usage_upsert(spark, sf_dir):
     from .landing import land_pages
     from .operators.usage import USAGE_KEYS, flatten_usage
     from .session import scratch_path
+    from .operators.tables import ORDINAL
     from .sources.buckets import USAGE_RESULT, page_schema
     from .streaming.incremental import stream_upsert
 
@@ -513,12 +545,14 @@ def stream_usage_upsert(spark, sf_dir):
     ckpt = scratch_path(spark, "usage-stream-ckpt")
 
     def transform(pages):
-        return flatten_usage(pages.select(F.explode("data").alias("b")).select("b.*"))
+        return flatten_usage(pages.select(F.explode("data").alias("b"), ORDINAL).select("b.*", ORDINAL), extra=[ORDINAL])
 
-    for n, part in enumerate([buckets.filter(day <= 20), buckets.filter(day >= 10)]):
+    # two overlapping pulls land before one run, a third before the next
+    parts = [buckets.filter(day <= 15), buckets.filter((day >= 10) & (day <= 20)), buckets.filter(day >= 18)]
+    for n, part in enumerate(parts):
         land_pages(spark, part, f"{landing}/pull={n}")
-        stream_upsert(spark, f"{landing}/pull={n}", page_schema(USAGE_RESULT), transform, target,
-                      list(USAGE_KEYS), f"{ckpt}/pull={n}")
+        if n:
+            stream_upsert(spark, landing, page_schema(USAGE_RESULT), transform, target, list(USAGE_KEYS), ckpt)
     return ntz(spark.read.parquet(target).select(*flatten_usage(buckets.limit(0)).columns))
 
 

@@ -22,6 +22,10 @@ RESULT_DECIMAL = T.DecimalType(38, 9)
 NUMERIC_TEXT = r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"
 
 
+# One row of a sum that is rounded to cents at its end.
+SUM_DECIMAL = T.DecimalType(28, 15)
+
+
 def _c(col: Column | str) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
@@ -61,6 +65,7 @@ def round_sum2(col: Column | str) -> Column:
     """ROUND(SUM(double), 2) computed exactly: decimal sum, round, back to DOUBLE.
 
     Rounding the decimal removes summation-order noise, so the value is the
-    same whatever the partitioning.
+    same whatever the partitioning.  Fifteen decimals a row keep what many tiny
+    amounts add up to.
     """
-    return F.round(F.sum(money(col)), 2).cast(T.DoubleType())
+    return F.round(F.sum(_c(col).cast(SUM_DECIMAL)), 2).cast(T.DoubleType())

@@ -88,26 +88,31 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], ordinal: str) -> DataFram
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn", ordinal)
 
 
+def aligned(source: DataFrame, target: DataFrame) -> DataFrame:
+    """``source`` in the target's column order; columns that the target lacks fail the load."""
+    extra = [c for c in source.columns if c not in target.columns]
+    if extra:
+        raise ValueError(f"the target table has no column {', '.join(extra)}")
+    return source.select(*target.columns)
+
+
 def merge(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """MERGE: matched keys take every non-key column from the source (NULLs
     included), unmatched source keys are inserted, target-only keys stay (K2)."""
     keys = list(keys)
     kept = target.join(source.select(*keys), on=keys, how="left_anti")
-    return kept.unionByName(source.select(*target.columns))
+    return kept.unionByName(aligned(source, target))
 
 
 def replace_days(target: DataFrame, source: DataFrame, date_col: str = "usage_date") -> DataFrame:
     """Whole days in the source replace the same days in the target (K6)."""
     days = source.select(date_col).distinct()
     kept = target.join(days, on=date_col, how="left_anti")
-    return kept.unionByName(source.select(*target.columns))
+    return kept.unionByName(aligned(source, target))
 
 
 # Target bytes of Parquet per write task (and so per file).
 WRITE_PART_BYTES = 256 << 20
-# Above this many days a restatement lists the table once instead of probing
-# each day folder.
-MAX_DAY_PROBES = 366
 
 
 def write_table(df: DataFrame, path: str, date_col: str = "usage_date",
@@ -143,15 +148,21 @@ def read_days(spark: SparkSession, path: str, days: Sequence,
     """Only the given day folders of a day-partitioned table: the rest of the
     table is never listed, so a restatement costs the days it touches.
     ``None`` when none of the days exists yet."""
-    if len(days) > MAX_DAY_PROBES:
-        return spark.read.parquet(path).filter(F.col(date_col).isin(list(days)))
-    folders = [f"{path.rstrip('/')}/{date_col}={d}" for d in days]
-    present = [f for f in folders if _exists(spark, f)]
+    present = day_folders(spark, path, days, date_col)
     if not present:
         return None
     return spark.read.option("basePath", path).parquet(*present)
 
 
+def day_folders(spark: SparkSession, path: str, days: Sequence, date_col: str = "usage_date") -> list[str]:
+    """The folders of those of ``days`` that the table has: one listing of its day folders, for any number of days."""
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    wanted = {f"{date_col}={d}" for d in days}
+    names = (s.getPath().getName() for s in fs.listStatus(hpath)) if fs.exists(hpath) else ()
+    return [f"{path.rstrip('/')}/{n}" for n in sorted(wanted.intersection(names))]
+
+
 def _bytes(spark: SparkSession, paths: Sequence[str]) -> int:
     """Bytes under the given paths (file-system metadata only)."""
     jvm = spark.sparkContext._jvm
@@ -218,13 +229,12 @@ def upsert_table(spark: SparkSession, target_path: str, source: DataFrame, keys:
         # Only new days: nothing to merge with, the staged rows are the days.
         merged = staged
     else:
-        staged = staged.select(*target.columns)
+        staged = aligned(staged, target)
         merged = (replace_days(target, staged, date_col) if mode == "replace_days"
                   else merge(target, staged, keys))
     # Size the layout from what is rewritten: the staged rows plus the
-    # target's days they touch (bounded probe, as in read_days).
-    touched = ([f"{target_path.rstrip('/')}/{date_col}={d}" for d in days]
-               if len(days) <= MAX_DAY_PROBES else [target_path])
+    # target's days they touch.
+    touched = day_folders(spark, target_path, days, date_col)
     write_table(merged, target_path, date_col, cluster_by=keys,
                 num_parts=_parts_for(spark, staged_bytes + _bytes(spark, touched), len(days)))
     # The merged days are committed: the staging copy is no longer needed.

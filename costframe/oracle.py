@@ -216,7 +216,7 @@ FROM bill""", "bill")
 
 
 def round2(expr: str) -> str:
-    return f"CAST(round(sum(CAST({expr} AS DECIMAL(26,9))), 2) AS DOUBLE)"
+    return f"CAST(round(sum(CAST({expr} AS DECIMAL(28,15))), 2) AS DOUBLE)"
 
 
 def cur_by_service_sql(as_of: dt.date, *, offset: int = 0, label: str = "Service Description",
@@ -434,7 +434,7 @@ def scope_audit_sql(projects, services) -> str:
         arr = ", ".join(cols)
         return (f"SELECT '{scope}' AS scope, c.configured_id, coalesce(h.rows, 0) AS rows, "
                 f"h.rows IS NOT NULL AS matched FROM (VALUES {vals}) c(configured_id) LEFT JOIN "
-                f"(SELECT x AS configured_id, count(*) AS rows FROM (SELECT unnest([{arr}]) AS x FROM bill) "
+                f"(SELECT x AS configured_id, count(*) AS rows FROM (SELECT unnest(list_distinct([{arr}])) AS x FROM bill) "
                 f"WHERE x IN ({sql_list(ids)}) GROUP BY x) h ON c.configured_id = h.configured_id")
     return with_views(one("project", projects, ["project.id", "project.number"]) + " UNION ALL "
                       + one("service", services, ["service.id"]), "bill")

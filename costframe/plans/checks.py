@@ -85,7 +85,7 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def scope_audit(spark: SparkSession, df: DataFrame, scope: str, configured: Sequence[str],
                 columns: Sequence[str]) -> DataFrame:
-    """Rows matched by each configured id in any of ``columns``.
+    """Rows matched by each configured id in any of ``columns`` (D4, J3); a row counts once for an id.
 
     0 means the id matches nothing (wrong id, stray prefix).  The data side is
     filtered to the configured ids (pushed into the scan) and counted per id
@@ -95,7 +95,7 @@ def scope_audit(spark: SparkSession, df: DataFrame, scope: str, configured: Sequ
     ids = list(dict.fromkeys(configured))
     any_match = reduce(lambda a, b: a | b, [F.col(c).isin(ids) for c in columns])
     hits = (df.filter(any_match)
-              .select(F.explode(F.array(*[F.col(c) for c in columns])).alias("configured_id"))
+              .select(F.explode(F.array_distinct(F.array(*[F.col(c) for c in columns]))).alias("configured_id"))
               .filter(F.col("configured_id").isin(ids))
               .groupBy("configured_id").agg(F.count(F.lit(1)).alias("rows")))
     conf = spark.createDataFrame([(i,) for i in ids], "configured_id string")

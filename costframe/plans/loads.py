@@ -72,8 +72,8 @@ def load_cur(spark: SparkSession, root: str, report: str, table_path: str,
 def load_cdr(spark: SparkSession, root: str, table_path: str, as_of: dt.date | None = None,
              products: Sequence[str] = tuple(CDR_PRODUCTS),
              lookback_days: int = CDR_LOOKBACK_DAYS) -> dict:
-    """Call records: the landed pulls of the lookback window; a later
-    (product, direction) pair wins when an id appears in two pairs."""
+    """Call records: the landed pulls of the lookback window.  When an id appears
+    in two pulls the later request window wins, then the later (product, direction) pair."""
     as_of = as_of or today_in("UTC")
     # The landed request day is a folder name: only the window's folders are
     # listed and unzipped.
@@ -84,11 +84,14 @@ def load_cdr(spark: SparkSession, root: str, table_path: str, as_of: dt.date | N
         same_dir = (F.col("direction_requested").isNull() if direc is None
                     else F.col("direction_requested") == direc)
         cases.append(((F.col("product") == prod) & same_dir, i))
-    raw = raw.withColumn(ORDINAL, _ordinal(cases))
+    # A later request window wins over an earlier one, then a later pair of it;
+    # pairs that weren't asked for come last.
+    pair = F.coalesce(_ordinal(cases), F.lit(len(cases)))
+    raw = raw.withColumn(ORDINAL, F.struct(F.coalesce("request_start", F.lit("")).alias("start"), pair.alias("pair")))
     # Rows per (product, direction) pull, counted on the loading pass (K8).
     pairs = request_pairs(list(products))
     obs = Observation("cdr_pairs")
-    raw = raw.observe(obs, *[F.count_if(F.col(ORDINAL) == i).alias(f"{p}/{d or 'n/a'}")
+    raw = raw.observe(obs, *[F.count_if(F.col(f"{ORDINAL}.pair") == i).alias(f"{p}/{d or 'n/a'}")
                              for i, (p, d) in enumerate(pairs)])
     rows = normalise_cdr(raw)
     out = upsert_table(spark, table_path, _typed(rows, CDR_SCHEMA, [ORDINAL]), list(CDR_KEYS), ordinal=ORDINAL)
@@ -100,7 +103,8 @@ def load_usage(spark: SparkSession, usage_pages: str, usage_table: str,
                cost_pages: str | None = None, cost_table: str | None = None,
                multi_line: bool = True, as_of: dt.date | None = None,
                lookback_days: int = USAGE_LOOKBACK_DAYS) -> dict:
-    """Usage buckets, then cost buckets, each into its own table.
+    """Usage buckets, then cost buckets, each into its own table.  Landed pulls
+    may overlap: the later one (by ``pull=`` folder, else by file name) wins.
 
     With ``as_of`` only buckets of [as_of - lookback_days, as_of) are loaded,
     the window the pull asks for (the current, partial day excluded).
@@ -108,19 +112,20 @@ def load_usage(spark: SparkSession, usage_pages: str, usage_table: str,
     def window(df: DataFrame) -> DataFrame:
         return df if as_of is None else df.filter(lookback("usage_date", as_of, lookback_days))
 
-    usage = window(flatten_usage(bucket_scan(spark, usage_pages, USAGE_RESULT, multi_line)))
-    out = {"usage": upsert_table(spark, usage_table, _typed(usage, USAGE_SCHEMA), list(USAGE_KEYS))}
+    def load(pages: str, result: T.StructType, flatten, schema: T.StructType, table: str) -> dict:
+        rows = window(flatten(bucket_scan(spark, pages, result, multi_line, pull=ORDINAL), extra=[ORDINAL]))
+        return upsert_table(spark, table, _typed(rows, schema, [ORDINAL]), list(USAGE_KEYS), ordinal=ORDINAL)
+
+    out = {"usage": load(usage_pages, USAGE_RESULT, flatten_usage, USAGE_SCHEMA, usage_table)}
     if cost_pages and cost_table:
-        cost = window(flatten_cost(bucket_scan(spark, cost_pages, COST_RESULT, multi_line)))
-        out["cost"] = upsert_table(spark, cost_table, _typed(cost, COST_SCHEMA), list(USAGE_KEYS))
+        out["cost"] = load(cost_pages, COST_RESULT, flatten_cost, COST_SCHEMA, cost_table)
     return out
 
 
 def load_invoices(spark: SparkSession, path_or_glob: str, table_path: str) -> dict:
     """Invoice CSVs into the month-partitioned summary; for the same month a
-    later-written file wins (its modification time is the load ordinal)."""
-    raw = invoice_scan(spark, path_or_glob).withColumn(
-        ORDINAL, F.unix_micros(F.col("_metadata.file_modification_time")))
+    file later in the order of paths wins."""
+    raw = invoice_scan(spark, path_or_glob).withColumn(ORDINAL, F.col("_metadata.file_path"))
     rows = normalise_invoice(raw, extra=[ORDINAL])
     return upsert_table(spark, table_path, _typed(rows, INVOICE_SCHEMA, [ORDINAL]), list(INVOICE_KEYS),
                         date_col="invoice_month", ordinal=ORDINAL)

@@ -32,14 +32,15 @@ BREAKDOWN_COLUMNS = ["Service Description", "Cost", "Negotiated savings",
 def _top(df: DataFrame, value: str, key: str, limit: int | None) -> DataFrame:
     # Ties on the value are broken by the group key so the top-k is stable.
     ordered = df.orderBy(F.col(f"`{value}`").desc_nulls_last(), F.col(f"`{key}`").asc_nulls_last())
-    return ordered.limit(limit) if limit else ordered
+    return ordered if limit is None else ordered.limit(limit)
 
 
 def cost_breakdown(bill: DataFrame, as_of: dt.date, *, month_offset: int = 0,
                    projects: Sequence[str] | None = None,
                    services: Sequence[str] | None = None,
                    fee_skus: Sequence[str] | None = None,
-                   tz: str = REPORT_TZ, limit: int | None = TOP_N) -> DataFrame:
+                   tz: str = REPORT_TZ, limit: int | None = TOP_N,
+                   usage_day_col: str | None = None) -> DataFrame:
     """Cost / savings / subtotal per service for one local calendar month.
 
     * Q1: defaults (all services, current month, top 10).
@@ -48,17 +49,21 @@ def cost_breakdown(bill: DataFrame, as_of: dt.date, *, month_offset: int = 0,
     * Q7: ``month_offset=-1`` (a month in arrears).
     * D12: ``fee_skus`` moves the cost of those SKUs out of Cost into
       Savings programmes (the commitment fee); without it the fee is 0.
+
+    ``usage_day_col`` names a column that holds the UTC day of
+    ``usage_start_time``, if the table is partitioned by it.  Never name an
+    export or ingestion day: rows arrive days late, and would be left out.
     """
     ts_type = bill.schema["usage_start_time"].dataType
     pred = ((F.col("cost_type") != EXCLUDED_COST_TYPES[0])
             & (F.col("cost_type") != EXCLUDED_COST_TYPES[1])
             & instant_in_month("usage_start_time", ts_type, as_of, month_offset, tz))
-    if "usage_date" in bill.columns:
+    if usage_day_col is not None:
         # Day-partitioned table: the UTC days that can hold instants of the
         # local month, as a partition filter (prunes whole day folders).
         lo, hi = month_bounds(as_of, month_offset)
-        pred = pred & (F.col("usage_date") >= F.lit(lo - dt.timedelta(days=1))) & (
-            F.col("usage_date") <= F.lit(hi))
+        pred = pred & (F.col(usage_day_col) >= F.lit(lo - dt.timedelta(days=1))) & (
+            F.col(usage_day_col) <= F.lit(hi))
     if projects is not None:
         ids = list(projects)
         pred = pred & (F.col("project.id").isin(ids) | F.col("project.number").isin(ids))

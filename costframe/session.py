@@ -83,6 +83,8 @@ def scratch_root(spark: SparkSession) -> str:
     if ctx_dir:
         return ctx_dir.rstrip("/")
     key = id(sc)
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise ValueError("spark.checkpoint.dir is not set: intermediate tables need a folder that all executors share")
     if key not in _LOCAL_FALLBACK:
         _LOCAL_FALLBACK[key] = tempfile.mkdtemp(prefix="costframe-ckpt-")
         sc.setCheckpointDir(_LOCAL_FALLBACK[key])

@@ -7,7 +7,7 @@ inference) and exploded.  Page order does not matter: rows are keyed.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -39,7 +39,18 @@ def page_schema(result: T.StructType) -> T.StructType:
 
 
 def bucket_scan(spark: SparkSession, path: str, result: T.StructType = USAGE_RESULT,
-                multi_line: bool = True) -> DataFrame:
-    """All buckets of all pages (``multi_line=False`` for one page per line)."""
+                multi_line: bool = True, pull: str | None = None) -> DataFrame:
+    """All buckets of all pages (``multi_line=False`` for one page per line).
+
+    ``pull`` names a column for the pull that a page belongs to (see ``pull_of``).
+    """
     pages = spark.read.schema(page_schema(result)).option("multiLine", multi_line).json(path)
-    return pages.select(F.explode("data").alias("b")).select("b.*")
+    more = [pull_of(F.col("_metadata.file_path")).alias(pull)] if pull else []
+    return pages.select(F.explode("data").alias("b"), *more).select("b.*", *([pull] if pull else []))
+
+
+def pull_of(path: Column) -> Column:
+    """The pull of a landed page, in an order in which later pulls come last: the
+    name of its ``pull=`` folder, or of its file where pulls are single files."""
+    folder = F.regexp_extract(path, "/pull=([^/]+)/", 1)
+    return F.when(folder != "", folder).otherwise(F.element_at(F.split(path, "/"), -1))

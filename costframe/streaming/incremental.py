@@ -13,9 +13,11 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.tables import upsert_table
+from ..operators.tables import ORDINAL, upsert_table
+from ..sources.buckets import pull_of
 
 
 def stream_upsert(spark: SparkSession, source_dir: str, schema: T.StructType,
@@ -23,16 +25,23 @@ def stream_upsert(spark: SparkSession, source_dir: str, schema: T.StructType,
                   keys: Sequence[str], checkpoint: str, date_col: str = "usage_date",
                   fmt: str = "json", options: dict | None = None,
                   max_files_per_trigger: int | None = None) -> None:
-    """Run one ``availableNow`` pass over newly landed files."""
+    """Run one ``availableNow`` pass over newly landed files.
+
+    Pages carry their pull (``pull_of``) in the column ``load_ordinal``.  If
+    ``transform`` hands it on, pulls of one batch may overlap and the later wins.
+    """
     reader = spark.readStream.schema(schema).format(fmt)
     for k, v in (options or {}).items():
         reader = reader.option(k, v)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.load(source_dir)
+    stream = stream.withColumn(ORDINAL, pull_of(F.col("_metadata.file_path")))
 
     def load_batch(batch: DataFrame, epoch_id: int) -> None:
-        upsert_table(batch.sparkSession, target_path, transform(batch), keys, date_col)
+        rows = transform(batch)
+        upsert_table(batch.sparkSession, target_path, rows, keys, date_col,
+                     ordinal=ORDINAL if ORDINAL in rows.columns else None)
 
     q = (stream.writeStream.foreachBatch(load_batch)
          .option("checkpointLocation", checkpoint)

@@ -45,9 +45,9 @@ def main() -> None:
     days = [r[0] for r in restate.select("usage_date").distinct().collect()]
 
     cases = {
-        "Q1 all services over the day-partitioned export": rp.cost_breakdown(bill, A),
+        "Q1 all services over the day-partitioned export": rp.cost_breakdown(bill, A, usage_day_col="usage_date"),
         "Q2 scoped top 10 (project id OR number, service ids)":
-            rp.cost_breakdown(bill, A, projects=cat.PLATFORM_PROJECTS, services=cat.PLATFORM_SERVICES),
+            rp.cost_breakdown(bill, A, usage_day_col="usage_date", projects=cat.PLATFORM_PROJECTS, services=cat.PLATFORM_SERVICES),
         "Q4 cost-and-usage by service (DATE partitions)": rp.cur_cost_by_service(cur, A),
         "Q1 over the fixture view (lineitem x part)": rp.cost_breakdown(fx.bill(spark, sf_dir), A),
         "Upsert merge of a restatement (only its day folders)":

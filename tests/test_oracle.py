@@ -7,6 +7,7 @@ import sys
 
 import pytest
 
+from costframe import catalog
 from conftest import ROOT, SF_SMALL
 
 sys.path.insert(0, os.path.join(ROOT, "scripts"))
@@ -22,9 +23,7 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_oracle():
-    import __spark_entry__ as ent
-
-    missing = set(ent.queries()) - set(ent.oracle_sql())
+    missing = set(catalog.queries()) - set(catalog.oracles())
     assert not missing, missing
 
 

@@ -30,7 +30,7 @@ def test_breakdown_prunes_day_partitions(spark, workdir):
     b = fx.bill(spark, SF_SMALL).withColumn("usage_date", F.to_date("usage_start_time"))
     write_table(b.filter(F.year("usage_date") == 1998), f"{workdir}/bill")
     table = spark.read.parquet(f"{workdir}/bill")
-    p = plan(rp.cost_breakdown(table, dt.date(1998, 8, 19), projects=["3"], services=["Brand#11"]))
+    p = plan(rp.cost_breakdown(table, dt.date(1998, 8, 19), projects=["3"], services=["Brand#11"], usage_day_col="usage_date"))
     assert "PartitionFilters: [isnotnull(usage_date" in p
     assert "PushedFilters: [" in p and "usage_start_time" in p
     # only the month's day folders (plus the edge days) are scanned
