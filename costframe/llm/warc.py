@@ -212,7 +212,9 @@ def archived(pages: DataFrame, path: str, min_payload: int = MIN_PAYLOAD) -> Dat
     rows = captures(read_warc(spark, path, with_payload=False).drop("payload"))
     note = F.map_from_entries(F.coalesce(F.try_element_at("metadata", F.lit(1)).getField("fields"), F.array()))
     rows = rows.select(F.try_element_at(note, F.lit("page-id")).cast(kind).alias("page_id"), "record_id", "main.payload_bytes",
-                       "main.payload_digest", F.col("main.type").alias("record_type"), F.col("main.refers_to").alias("to"))
+                       "main.payload_digest", F.col("main.type").alias("record_type"),
+                       # a key of its own that nothing has, so that responses don't meet under null
+                       F.coalesce("main.refers_to", F.concat(F.lit("none "), "record_id")).alias("to"))
     named = rows.where("record_type = 'response'").select(F.col("record_id").alias("to"), F.col("page_id").alias("refers_to"))
     return rows.join(named, "to", "left").select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
