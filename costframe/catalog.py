@@ -494,35 +494,101 @@ def invoice_csv_roundtrip(spark, sf_dir):
     return normalise_invoice(invoice_scan(spark, root))
 
 
-def _overlapping_pulls(spark, buckets, result, kind):
+def _overlapping_pulls(spark, buckets, result, flatten, schema, kind):
     """Three landed pulls with shared days, loaded twice by the job; the table."""
     from pyspark.sql import functions as F
 
     from .landing import land_pages
-    from .plans.loads import load_usage
+    from .plans.loads import load_buckets
     from .session import scratch_path
 
     root, table = scratch_path(spark, f"{kind}-pulls"), scratch_path(spark, f"{kind}-pulled")
     day = F.dayofmonth(F.substring("starting_at", 1, 10).cast("date"))
     for n, part in enumerate([buckets.filter(day <= 15), buckets.filter((day >= 10) & (day <= 20)), buckets.filter(day >= 18)]):
         land_pages(spark, part, f"{root}/pull={n}")
-    none = scratch_path(spark, "unused")
     for _ in range(2):
-        if kind == "usage":
-            load_usage(spark, root, table, multi_line=False)
-        else:
-            load_usage(spark, root, none + "-usage", root, table, multi_line=False)
-    return spark.read.parquet(table)
+        load_buckets(spark, root, table, result, flatten, schema, multi_line=False)
+    return ntz(spark.read.parquet(table).select(*flatten(buckets.limit(0)).columns))
 
 
 @register("usage_overlapping_pulls", orc.USAGE_FLAT_SQL)
 def usage_overlapping_pulls(spark, sf_dir):
     """Overlapping pulls of usage pages through the load job, twice."""
     from .operators.usage import flatten_usage
+    from .schemas import USAGE_SCHEMA
     from .sources.buckets import USAGE_RESULT
 
-    buckets = fx.usage_buckets(spark, sf_dir)
-    return ntz(_overlapping_pulls(spark, buckets, USAGE_RESULT, "usage").select(*flatten_usage(buckets.limit(0)).columns))
+    return _overlapping_pulls(spark, fx.usage_buckets(spark, sf_dir), USAGE_RESULT, flatten_usage, USAGE_SCHEMA, "usage")
+
+
+@register("cost_overlapping_pulls", orc.COST_FLAT_SQL)
+def cost_overlapping_pulls(spark, sf_dir):
+    """Overlapping pulls of cost pages through the load job, twice."""
+    from .operators.usage import flatten_cost
+    from .schemas import COST_SCHEMA
+    from .sources.buckets import COST_RESULT
+
+    return _overlapping_pulls(spark, fx.cost_buckets(spark, sf_dir), COST_RESULT, flatten_cost, COST_SCHEMA, "cost")
+
+
+@register("cdr_overlapping_windows", orc.CDR_TABLE_SQL)
+def cdr_overlapping_windows(spark, sf_dir):
+    """Each SMS record also in the request window of the day before,
+    with another price; the load job runs twice and the later window wins."""
+    from pyspark.sql import functions as F
+
+    from .landing import land_cdr
+    from .plans.loads import load_cdr
+    from .session import scratch_path
+
+    root, table = scratch_path(spark, "cdr-windows"), scratch_path(spark, "cdr-windowed")
+    raw = fx.cdr_raw(spark, sf_dir)
+    before = F.date_format(F.date_sub(F.to_date(F.substring("request_start", 1, 10)), 1), "yyyy-MM-dd'T'00:00:00'Z'")
+    early = _products(raw, "SMS").withColumns({"request_start": before, "total_price": F.lit("0.5")})
+    land_cdr(spark, raw.unionByName(early), root)
+    last = fx.cdr(spark, sf_dir).agg(F.max("usage_date")).first()[0]
+    for _ in range(2):
+        load_cdr(spark, root, table, as_of=last + dt.timedelta(days=1), lookback_days=36500)
+    return spark.read.parquet(table).select(*fx.cdr(spark, sf_dir).drop("raw").columns)
+
+
+@register("cdr_fallback_ids", orc.CDR_FALLBACK_SQL)
+def cdr_fallback_ids(spark, sf_dir):
+    """Reports without an id column whose rows differ only in a column that
+    the scan doesn't type; every row keeps an id of its own."""
+    from pyspark.sql import functions as F
+
+    from .landing import land_cdr
+    from .operators.cdr import RECORD_ID_FIELDS, normalise_cdr
+    from .session import scratch_path
+    from .sources.cdr import zip_csv_scan
+
+    root = scratch_path(spark, "cdr-without-ids")
+    raw = fx.cdr_raw(spark, sf_dir)
+    ref = F.concat_ws("", *RECORD_ID_FIELDS)
+    land_cdr(spark, raw.select("product", "direction_requested", "request_start", "country", ref.alias("vendor_ref")), root)
+    rows = normalise_cdr(zip_csv_scan(spark, root))
+    return rows.groupBy("product").agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("record_id").alias("ids"))
+
+
+@register("invoice_mixed_headers", orc.INVOICE_MIXED_SQL)
+def invoice_mixed_headers(spark, sf_dir):
+    """Months with another order of columns and one column less, through the load job, twice."""
+    from pyspark.sql import functions as F
+
+    from .landing import land_invoices
+    from .plans.loads import load_invoices
+    from .schemas import INVOICE_SCHEMA
+    from .session import scratch_path
+
+    root, table = scratch_path(spark, "invoices-mixed"), scratch_path(spark, "invoice-table")
+    raw = fx.invoice_raw(spark, sf_dir)
+    odd = F.regexp_extract("file_name", "-([0-9]{2})-", 1).cast("int") % 2 == 1
+    land_invoices(spark, raw.where(~odd), root)
+    land_invoices(spark, raw.where(odd).select(*[f"`{c}`" for c in reversed(raw.columns)]).drop("Other savings ($)"), root)
+    for _ in range(2):
+        load_invoices(spark, root, table)
+    return spark.read.parquet(table).select(*INVOICE_SCHEMA.names)
 
 
 @register("stream_usage_upsert", orc.USAGE_FLAT_SQL)

@@ -53,7 +53,9 @@ def normalise_cdr(raw: DataFrame, raw_columns: list[str] | None = None) -> DataF
     ids = _present(raw, RECORD_ID_FIELDS)
     dates = _present(raw, DATE_FIELDS)
     rid = first_present(ids) if ids else F.lit(None).cast("string")
-    record_id = F.coalesce(rid, row_hash(row_cols))
+    # Without an id the whole row is one: as landed, columns that the scan doesn't type included.
+    whole = F.sha2("raw_json", 256) if "raw_json" in raw.columns else row_hash(row_cols)
+    record_id = F.coalesce(rid, whole)
     day_text = F.coalesce(first_present(dates), F.col("request_start")) if dates else F.col("request_start")
     requested = F.col("direction_requested")
     row_dir = F.col("direction") if "direction" in raw.columns else F.lit(None).cast("string")

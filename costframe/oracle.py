@@ -273,6 +273,9 @@ CDR_TABLE_SQL = with_views("""
 SELECT usage_date, record_id, product, direction, category, total_price, currency, network,
        country, status FROM cdr""", "cdr")
 
+CDR_FALLBACK_SQL = with_views(
+    "SELECT product, count(*) AS rows, count(*) AS ids FROM cdr GROUP BY product", "cdr")
+
 CDR_PROMOTED_SQL = with_views("""
 SELECT record_id, status AS raw_status, CAST(json_extract(raw, '$.k') AS BIGINT) AS client_k
 FROM cdr""", "cdr")
@@ -336,6 +339,11 @@ SELECT month AS invoice_month, 'Priority ' || sid AS service_description, sid AS
 FROM (SELECT *, lag(sub_c) OVER (PARTITION BY sid ORDER BY month) AS prev FROM orders_monthly)""",
                                "orders_monthly")
 
+# Odd months' files lack the column.
+INVOICE_MIXED_SQL = f"""
+SELECT * REPLACE (CASE WHEN month(invoice_month) % 2 = 0 THEN other_savings END AS other_savings)
+FROM ({INVOICE_TABLE_SQL})"""
+
 INVOICE_RECONCILE_SQL = with_views("""
 SELECT month AS invoice_month, count(*) AS services,
        CAST(round(sum(CAST(CAST(sub_c AS DOUBLE) / 100 AS DECIMAL(26,9))), 2) AS DOUBLE) AS services_subtotal,

@@ -10,7 +10,7 @@ key in a single pass.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -109,23 +109,27 @@ def load_usage(spark: SparkSession, usage_pages: str, usage_table: str,
     With ``as_of`` only buckets of [as_of - lookback_days, as_of) are loaded,
     the window the pull asks for (the current, partial day excluded).
     """
-    def window(df: DataFrame) -> DataFrame:
-        return df if as_of is None else df.filter(lookback("usage_date", as_of, lookback_days))
-
-    def load(pages: str, result: T.StructType, flatten, schema: T.StructType, table: str) -> dict:
-        rows = window(flatten(bucket_scan(spark, pages, result, multi_line, pull=ORDINAL), extra=[ORDINAL]))
-        return upsert_table(spark, table, _typed(rows, schema, [ORDINAL]), list(USAGE_KEYS), ordinal=ORDINAL)
-
-    out = {"usage": load(usage_pages, USAGE_RESULT, flatten_usage, USAGE_SCHEMA, usage_table)}
+    how = (multi_line, as_of, lookback_days)
+    out = {"usage": load_buckets(spark, usage_pages, usage_table, USAGE_RESULT, flatten_usage, USAGE_SCHEMA, *how)}
     if cost_pages and cost_table:
-        out["cost"] = load(cost_pages, COST_RESULT, flatten_cost, COST_SCHEMA, cost_table)
+        out["cost"] = load_buckets(spark, cost_pages, cost_table, COST_RESULT, flatten_cost, COST_SCHEMA, *how)
     return out
 
 
+def load_buckets(spark: SparkSession, pages: str, table: str, result: T.StructType,
+                 flatten: Callable[..., DataFrame], schema: T.StructType, multi_line: bool = True,
+                 as_of: dt.date | None = None, lookback_days: int = USAGE_LOOKBACK_DAYS) -> dict:
+    """One kind of landed pages into its table; see ``load_usage``."""
+    rows = flatten(bucket_scan(spark, pages, result, multi_line, pull=ORDINAL), extra=[ORDINAL])
+    if as_of is not None:
+        rows = rows.filter(lookback("usage_date", as_of, lookback_days))
+    return upsert_table(spark, table, _typed(rows, schema, [ORDINAL]), list(USAGE_KEYS), ordinal=ORDINAL)
+
+
 def load_invoices(spark: SparkSession, path_or_glob: str, table_path: str) -> dict:
     """Invoice CSVs into the month-partitioned summary; for the same month a
     file later in the order of paths wins."""
-    raw = invoice_scan(spark, path_or_glob).withColumn(ORDINAL, F.col("_metadata.file_path"))
+    raw = invoice_scan(spark, path_or_glob).withColumn(ORDINAL, F.col("file_path"))
     rows = normalise_invoice(raw, extra=[ORDINAL])
     return upsert_table(spark, table_path, _typed(rows, INVOICE_SCHEMA, [ORDINAL]), list(INVOICE_KEYS),
                         date_col="invoice_month", ordinal=ORDINAL)

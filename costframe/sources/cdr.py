@@ -51,10 +51,11 @@ def _zip_rows(zf: zipfile.ZipFile, meta: tuple, cols: list[str]) -> Iterator[pd.
     if member is None:
         return
     with zf.open(member) as fh:
-        reader = csv.DictReader(io.TextIOWrapper(fh, encoding="utf-8", newline=""))
+        reader = csv.DictReader(io.TextIOWrapper(fh, encoding="utf-8", newline=""), restkey="null")
         buf = []
         for n, row in enumerate(reader):
-            buf.append((*meta, n, json.dumps(row)))
+            # keys in order, so that the text identifies the row whatever the columns' order
+            buf.append((*meta, n, json.dumps(row, sort_keys=True)))
             if len(buf) >= _BATCH_ROWS:
                 yield pd.DataFrame(buf, columns=cols)
                 buf = []

@@ -2,16 +2,41 @@
 
 from __future__ import annotations
 
+import csv
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+# Characters that Hadoop's globbing gives a meaning, escaped in listed paths.
+GLOB_MARKS = r"([\\\[\]{}*?])"
 
 
 def invoice_scan(spark: SparkSession, path_or_glob: str) -> DataFrame:
-    """All rows as text plus ``file_name`` (decoded) for the month lookup.
+    """All rows as text plus ``file_name`` (decoded, for the month lookup) and ``file_path``.
 
-    ``inferSchema`` stays off, so a month whose percent column is all numeric
-    still reads it as text.
+    Columns go by each file's own header: files with the same header line share a
+    scan, the scans are joined by column name, and a column that a file lacks reads
+    as NULL.  Only header lines and paths (one a file) come to the driver.
+    Every column is text, also a percent column that is all numeric in one month.
+    A folder without invoices gives no rows.
     """
-    df = (spark.read.option("header", True).option("multiLine", True).option("escape", '"')
-          .option("inferSchema", False).option("pathGlobFilter", "*.csv").csv(path_or_glob))
-    return df.withColumn("file_name", F.url_decode(F.col("_metadata.file_name")))
+    landed = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(path_or_glob)
+    header = F.rtrim(F.substring_index(F.col("content").cast("string"), "\n", 1), F.lit("\r"))
+    groups = (landed.select(header.alias("header"), F.regexp_replace("path", GLOB_MARKS, r"\\$1").alias("path"))
+              .where("header <> ''").groupBy("header").agg(F.sort_array(F.collect_list("path")).alias("paths"))
+              .orderBy("header").collect())
+    scans = [_scan(spark, g.header, list(g.paths)) for g in groups]
+    if not scans:
+        return spark.createDataFrame([], "file_name string, file_path string")
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans)
+
+
+def _scan(spark: SparkSession, header: str, paths: list[str]) -> DataFrame:
+    """Files that share a header line (a byte order mark and blank names aside)."""
+    names = next(csv.reader([header.removeprefix("\ufeff")]))
+    schema = T.StructType([T.StructField(name or f"_c{i}", T.StringType()) for i, name in enumerate(names)])
+    df = spark.read.schema(schema).option("header", True).option("multiLine", True).option("escape", '"').csv(paths)
+    return df.withColumns({"file_name": F.url_decode(F.col("_metadata.file_name")),
+                           "file_path": F.col("_metadata.file_path")})

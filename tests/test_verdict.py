@@ -13,11 +13,14 @@ from pyspark.sql import functions as F
 from costframe import catalog as cat
 from costframe import fixtures as fx
 from costframe.functions.numbers import round_sum2
+from costframe.operators.cdr import normalise_cdr
+from costframe.operators.invoice import normalise_invoice
 from costframe.operators.tables import day_folders, merge, read_days, upsert_table, write_table
 from costframe.plans import reports as rp
 from costframe.plans.checks import scope_audit
 from costframe.plans.loads import load_usage
 from costframe.session import as_local_path, scratch_root
+from costframe.sources.invoices import invoice_scan
 
 from conftest import SF_SMALL
 
@@ -86,3 +89,28 @@ def test_a_cluster_needs_a_shared_folder():
 
 def test_limit_zero_is_no_row(spark):
     assert rp.cost_breakdown(fx.bill(spark, SF_SMALL), cat.AS_OF_SUMMER, limit=0).count() == 0
+
+
+def test_invoice_columns_go_by_each_files_header(spark, workdir):
+    root = as_local_path(f"{workdir}/inv")
+    os.makedirs(root)
+    files = {"a [1] 2026-01-31.csv": "Service ID,Subtotal ($),Service description\r\ns1,1.5,One\r\n",
+             "b 2026-02-28.csv": "Service description,Service ID,List cost ($),Subtotal ($)\nOne,s1,9,2.5\n",
+             "c 2026-03-31.csv": ""}
+    for name, text in files.items():
+        with open(f"{root}/{name}", "w", newline="") as f:
+            f.write(text)
+    got = normalise_invoice(invoice_scan(spark, f"{workdir}/inv")).orderBy("invoice_month").collect()
+    assert [(r.service_id, r.service_description, r.list_cost, r.subtotal) for r in got] == [
+        ("s1", "One", None, 1.5), ("s1", "One", 9.0, 2.5)]
+
+
+def test_a_folder_without_invoices_is_an_empty_load(spark, workdir):
+    os.makedirs(as_local_path(f"{workdir}/none"))
+    assert normalise_invoice(invoice_scan(spark, f"{workdir}/none")).count() == 0
+
+
+def test_rows_without_an_id_are_told_apart_by_any_column(spark):
+    rows = spark.createDataFrame([("SMS", None, "2026-05-01T00:00:00Z", text) for text in ('{"x": "1"}', '{"x": "2"}')],
+                                 "product string, direction_requested string, request_start string, raw_json string")
+    assert normalise_cdr(rows).select("record_id").distinct().count() == 2
