@@ -47,15 +47,18 @@ def _ranked(values: DataFrame, hashed: Column, order: list[str], buckets: int) -
             .drop("bucket"))
 
 
-def _gathered(rows: DataFrame) -> DataFrame:
-    """The names of each document in order; rows repeated in the input fall together."""
-    return (rows.groupBy(*KEY).agg(F.array_sort(F.collect_set(F.struct("idx", "name"))).alias("n"))
-            .select(*KEY, F.col("n.name").alias("names")))
+def _gathered(rows: DataFrame, times: Column) -> DataFrame:
+    """The names of each document in order; rows repeated in the input fall together, ``times`` counts them."""
+    return (rows.groupBy(*KEY).agg(F.array_sort(F.collect_set(F.struct("idx", "name"))).alias("n"), times.alias("times"))
+            .select(*KEY, "times", F.col("n.name").alias("names")))
 
 
 def block_identities(docs: DataFrame, block_bytes: int = BLOCK_BYTES, buckets: int = BUCKETS,
                      hash_of=F.xxhash64) -> DataFrame:
-    """(doc_id, text_sha256, level, name): the collision-free identity of each distinct (doc_id, text)."""
+    """(doc_id, text_sha256, times, level, name): the collision-free identity of each distinct (doc_id, text).
+
+    ``times`` is the number of its rows: each has one block with index 0.
+    """
     cut = docs.select("doc_id", normalised(F.col("text")).cast("binary").alias("body"))
     cut = cut.select("doc_id", F.sha2("body", 256).alias("text_sha256"), _blocks(block_bytes).alias("blocks"))
 
@@ -78,21 +81,21 @@ def block_identities(docs: DataFrame, block_bytes: int = BLOCK_BYTES, buckets: i
         met = (met.join(told, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_sha256") == F.col("s"))
                         & (F.col("idx") == F.col("i")), "left")
                .select(*KEY, "idx", "h", F.coalesce("pos", F.lit(0)).alias("pos")))
-    level = saved(_gathered(met.join(names, ["h", "pos"]).select(*KEY, "idx", "name")), "names-0")
+    level = saved(_gathered(met.join(names, ["h", "pos"]).select(*KEY, "idx", "name"), F.count_if(F.col("idx") == 0)), "names-0")
 
     done, k = [], 0
     while True:
         done.append(level.where(F.size("names") == 1)
-                    .select(*KEY, F.lit(k).alias("level"), F.col("names")[0].alias("name")))
+                    .select(*KEY, "times", F.lit(k).alias("level"), F.col("names")[0].alias("name")))
         rest = level.where(F.size("names") > 1)
         if rest.isEmpty():
             break
         k += 1
         halves = F.transform(F.sequence(F.lit(0), F.expr("(size(names) - 1) div 2").cast("int")), lambda i: F.struct(
             F.get(F.col("names"), i * 2).alias("l"), F.coalesce(F.get(F.col("names"), i * 2 + 1), F.lit(-1)).alias("r")))
-        pairs = rest.select(*KEY, F.posexplode(halves).alias("idx", "p")).select(*KEY, "idx", "p.l", "p.r")
+        pairs = rest.select(*KEY, "times", F.posexplode(halves).alias("idx", "p")).select(*KEY, "times", "idx", "p.l", "p.r")
         named = _ranked(pairs.select("l", "r").distinct(), F.xxhash64("l", "r"), ["l", "r"], buckets)
-        level = saved(_gathered(pairs.join(named, ["l", "r"]).select(*KEY, "idx", "name")), f"names-{k}")
+        level = saved(_gathered(pairs.join(named, ["l", "r"]).select(*KEY, "times", "idx", "name"), F.max("times")), f"names-{k}")
     out = done[0]
     for d in done[1:]:
         out = out.union(d)
@@ -110,12 +113,8 @@ def exact_dedup(docs: DataFrame, block_bytes: int = BLOCK_BYTES, buckets: int =
     empty table gives an empty result.
     """
     same = ["level", "name"]
-    ids = block_identities(docs, block_bytes, buckets, hash_of)
-    times = (docs.select("doc_id", F.sha2(normalised(F.col("text")).cast("binary"), 256).alias("text_sha256"))
-             .groupBy(*KEY).agg(F.count(F.lit(1)).alias("times")))
-    ids = ids.select(F.col("doc_id").alias("d"), F.col("text_sha256").alias("s"), *same)
-    rows = saved(times.join(ids, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_sha256") == F.col("s")))
-                 .select(*KEY, "times", *same), "identities")
+    # the levels are written tables, so both uses read those
+    rows = block_identities(docs, block_bytes, buckets, hash_of)
     groups = (rows.groupBy(*same).agg(F.min("doc_id").alias("least"), F.sum("times").alias("size"))
               .where("size > 1"))
     # written, so that both sides of the join are plain exchanges: a hot group's rows can then be split
