@@ -73,6 +73,12 @@ CREDIT_TYPE = T.ArrayType(T.StructType([
 ]))
 
 
+# An unlisted credit type and the ten listed ones.
+CREDIT_NAMES = ["OTHER_UNLISTED", "COMMITTED_USAGE_DISCOUNT", "COMMITTED_USAGE_DISCOUNT_DOLLAR_BASE",
+                "FEE_UTILIZATION_OFFSET", "CREDIT_TYPE_UNSPECIFIED", "PROMOTION", "SUSTAINED_USAGE_DISCOUNT",
+                "DISCOUNT", "FREE_TIER", "SUBSCRIPTION_BENEFIT", "RESELLER_MARGIN"]
+
+
 def bill(spark: SparkSession, sf_dir: str) -> DataFrame:
     j = _lineitem_part(spark, sf_dir)
     price, disc, tax, qty = (F.col("l_extendedprice"), F.col("l_discount"),
@@ -82,8 +88,10 @@ def bill(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(flag == "A", F.array(
             F.struct(F.lit("COMMITTED_USAGE_DISCOUNT").alias("type"), (-tax * qty).alias("amount")),
             F.struct(F.lit("PROMOTION").alias("type"), (-disc * qty).alias("amount"))))
-        .when(flag == "R", F.array(
-            F.struct(F.lit("OTHER_UNLISTED").alias("type"), F.lit(-1.0).alias("amount"))))
+        .when((flag == "R") & (F.col("l_linenumber") == 6), F.array().cast(CREDIT_TYPE))
+        .when(flag == "R", F.array(F.struct(
+            F.get(F.array(*[F.lit(t) for t in CREDIT_NAMES]), (F.col("l_orderkey") % len(CREDIT_NAMES)).cast("int")).alias("type"),
+            F.when(F.col("l_linenumber") != 5, -disc * qty).alias("amount"))))
         .otherwise(F.lit(None).cast(CREDIT_TYPE))
     )
     line = F.col("l_linenumber")

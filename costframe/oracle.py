@@ -8,8 +8,11 @@ from __future__ import annotations
 
 import datetime as dt
 
-from .functions.credits import CUD_CREDIT_TYPES, OTHER_CREDIT_TYPES
-from .functions.dates import REPORT_TZ, month_bounds
+# Fixed values, stated here apart from the library's, so that a wrong one there shows.
+REPORT_ZONE = "Europe/London"
+COMMITMENT_CREDITS = ["COMMITTED_USAGE_DISCOUNT", "COMMITTED_USAGE_DISCOUNT_DOLLAR_BASE", "FEE_UTILIZATION_OFFSET"]
+OTHER_CREDITS = ["CREDIT_TYPE_UNSPECIFIED", "PROMOTION", "SUSTAINED_USAGE_DISCOUNT", "DISCOUNT", "FREE_TIER",
+                 "SUBSCRIPTION_BENEFIT", "RESELLER_MARGIN"]
 
 VIEW_SQL: dict[str, str] = {}
 
@@ -28,7 +31,11 @@ SELECT
   CASE l.l_returnflag
     WHEN 'A' THEN [{'type': 'COMMITTED_USAGE_DISCOUNT', 'amount': -l.l_tax * l.l_quantity},
                    {'type': 'PROMOTION', 'amount': -l.l_discount * l.l_quantity}]
-    WHEN 'R' THEN [{'type': 'OTHER_UNLISTED', 'amount': CAST(-1.0 AS DOUBLE)}]
+    WHEN 'R' THEN CASE WHEN l.l_linenumber = 6 THEN [] ELSE [
+      {'type': ['OTHER_UNLISTED', 'COMMITTED_USAGE_DISCOUNT', 'COMMITTED_USAGE_DISCOUNT_DOLLAR_BASE',
+                'FEE_UTILIZATION_OFFSET', 'CREDIT_TYPE_UNSPECIFIED', 'PROMOTION', 'SUSTAINED_USAGE_DISCOUNT',
+                'DISCOUNT', 'FREE_TIER', 'SUBSCRIPTION_BENEFIT', 'RESELLER_MARGIN'][l.l_orderkey % 11 + 1],
+       'amount': CASE WHEN l.l_linenumber <> 5 THEN -l.l_discount * l.l_quantity END}] END
   END AS credits,
   'USD' AS currency
 FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey
@@ -148,13 +155,17 @@ def sql_list(values) -> str:
     return ", ".join("'" + str(v).replace("'", "''") + "'" for v in values)
 
 
-def london_bound(day: dt.date, tz: str = REPORT_TZ) -> str:
-    return f"((CAST(DATE '{day.isoformat()}' AS TIMESTAMP) AT TIME ZONE '{tz}') AT TIME ZONE 'UTC')"
+def month_start(as_of: dt.date, offset: int = 0) -> str:
+    return f"CAST(date_trunc('month', DATE '{as_of.isoformat()}') + INTERVAL ({offset}) MONTH AS DATE)"
+
+
+def london_bound(day: str) -> str:
+    """The UTC time at which the day that an SQL expression gives begins in the reports' zone."""
+    return f"((CAST({day} AS TIMESTAMP) AT TIME ZONE '{REPORT_ZONE}') AT TIME ZONE 'UTC')"
 
 
 def month_literals(as_of: dt.date, offset: int = 0) -> tuple[str, str]:
-    lo, hi = month_bounds(as_of, offset)
-    return f"DATE '{lo.isoformat()}'", f"DATE '{hi.isoformat()}'"
+    return month_start(as_of, offset), month_start(as_of, offset + 1)
 
 
 def credit_sum_sql(types) -> str:
@@ -162,48 +173,49 @@ def credit_sum_sql(types) -> str:
             f"AND c.amount IS NOT NULL), lambda c: CAST(c.amount AS DECIMAL(26,9)))), 0)")
 
 
-CUD_SQL = credit_sum_sql(CUD_CREDIT_TYPES)
-OTHER_SQL = credit_sum_sql(OTHER_CREDIT_TYPES)
+CUD_SQL = credit_sum_sql(COMMITMENT_CREDITS)
+OTHER_SQL = credit_sum_sql(OTHER_CREDITS)
 
 
 def breakdown_sql(as_of: dt.date, *, offset: int = 0, projects=None, services=None,
                   fee_skus=None, limit: int | None = 10) -> str:
-    lo, hi = month_bounds(as_of, offset)
-    scope = ""
+    """The month report from a ledger: one entry per amount (list, net and effective price,
+    fee, each credit on its own), summed by kind."""
+    lo, hi = month_literals(as_of, offset)
+    wanted = [f"usage_start_time BETWEEN {london_bound(lo)} AND {london_bound(hi)} - INTERVAL 1 MICROSECOND",
+              "cost_type NOT IN ('tax', 'adjustment')"]
     if projects is not None:
-        scope += f" AND (project.id IN ({sql_list(projects)}) OR project.number IN ({sql_list(projects)}))"
+        wanted.append(f"list_has_any([project.id, project.number], [{sql_list(projects)}])")
     if services is not None:
-        scope += f" AND service.id IN ({sql_list(services)})"
-    fee = (f"CASE WHEN sku.id IN ({sql_list(fee_skus)}) THEN cost ELSE 0 END" if fee_skus else "0")
-    lim = f"LIMIT {limit}" if limit else ""
-    body = f"""
-, cost_data AS (
-  SELECT *,
-    {fee} AS spend_cud_fee_cost,
-    cost - coalesce(cost_at_effective_price_default, cost) AS spend_cud_savings,
-    coalesce(cost_at_effective_price_default, cost) - cost_at_list AS negotiated_savings,
-    {CUD_SQL} AS cud_credits,
-    {OTHER_SQL} AS other_savings
-  FROM bill
-  WHERE cost_type != 'tax' AND cost_type != 'adjustment'
-    AND usage_start_time >= {london_bound(lo)} AND usage_start_time < {london_bound(hi)}
-    {scope}
-)
-SELECT
-  service.description AS "Service Description",
-  CAST(sum(CAST(cost_at_list AS DECIMAL(26,9))) - sum(CAST(spend_cud_fee_cost AS DECIMAL(26,9))) AS DECIMAL(38,9)) AS "Cost",
-  CAST(sum(CAST(negotiated_savings AS DECIMAL(26,9))) AS DECIMAL(38,9)) AS "Negotiated savings",
-  CAST(sum(CAST(spend_cud_fee_cost AS DECIMAL(26,9))) + sum(CAST(spend_cud_savings AS DECIMAL(26,9)))
-       + sum(CAST(cud_credits AS DECIMAL(26,9))) AS DECIMAL(38,9)) AS "Savings programmes",
-  CAST(sum(CAST(other_savings AS DECIMAL(26,9))) AS DECIMAL(38,9)) AS "Other savings",
-  CAST(sum(CAST(cost AS DECIMAL(26,9))) + sum(CAST(cud_credits AS DECIMAL(26,9)))
-       + sum(CAST(other_savings AS DECIMAL(26,9))) AS DECIMAL(38,9)) AS "Subtotal"
-FROM cost_data
-GROUP BY service.description
-ORDER BY "Subtotal" DESC NULLS LAST, "Service Description" {lim}
-"""
-    # The body starts with ", cost_data AS" so it can follow the view CTEs.
-    return with_views("", "bill") + body.replace("\n, cost_data", ", cost_data", 1)
+        wanted.append(f"list_contains([{sql_list(services)}], service.id)")
+    fee = f"sku.id IN ({sql_list(fee_skus)})" if fee_skus else "false"
+
+    def total(kind: str) -> str:
+        return f"coalesce(sum(amount) FILTER (WHERE kind = '{kind}'), 0)"
+
+    def money(sums: str, name: str) -> str:
+        return f'CAST({sums} AS DECIMAL(38,9)) AS "{name}"'
+
+    return with_views(f""", month_rows AS (
+  SELECT service.description AS name, * FROM bill WHERE {" AND ".join(wanted)}),
+entries AS (
+  SELECT name, 'list' AS kind, cost_at_list AS x FROM month_rows
+  UNION ALL SELECT name, 'net', cost FROM month_rows
+  UNION ALL SELECT name, 'effective', coalesce(cost_at_effective_price_default, cost) FROM month_rows
+  UNION ALL SELECT name, 'fee', cost FROM month_rows WHERE {fee}
+  UNION ALL SELECT name, CASE WHEN c.type IN ({sql_list(COMMITMENT_CREDITS)}) THEN 'commitment'
+                              WHEN c.type IN ({sql_list(OTHER_CREDITS)}) THEN 'other' ELSE 'unlisted' END, c.amount
+            FROM (SELECT name, unnest(credits) AS c FROM month_rows)),
+ledger AS (SELECT name, kind, CAST(x AS DECIMAL(26,9)) AS amount FROM entries)
+SELECT name AS "Service Description",
+       {money(f"{total('list')} - {total('fee')}", "Cost")},
+       {money(f"{total('effective')} - {total('list')}", "Negotiated savings")},
+       {money(f"{total('fee')} + {total('net')} - {total('effective')} + {total('commitment')}", "Savings programmes")},
+       {money(total('other'), "Other savings")},
+       {money(f"{total('net')} + {total('commitment')} + {total('other')}", "Subtotal")}
+FROM ledger GROUP BY name
+ORDER BY "Subtotal" DESC NULLS LAST, "Service Description" {f"LIMIT {limit}" if limit else ""}
+""", "bill")
 
 
 def credit_rows_sql() -> str:
@@ -461,7 +473,7 @@ live AS (
   SELECT {LOCAL_MONTH} AS month, 'live' AS source,
          CAST(round(sum(CAST(cost_at_list AS DECIMAL(26,9))), 2) AS DOUBLE) AS list_cost,
          CAST(round(sum(CAST(cost AS DECIMAL(26,9))), 2) AS DOUBLE) AS cost
-  FROM bill WHERE usage_start_time >= {london_bound(live_from)} GROUP BY 1),
+  FROM bill WHERE usage_start_time >= {london_bound(f"DATE '{live_from}'")} GROUP BY 1),
 inv AS (
   SELECT invoice_month AS month, 'invoice' AS source,
          CAST(round(sum(CAST(list_cost AS DECIMAL(26,9))), 2) AS DOUBLE) AS list_cost,
@@ -489,7 +501,7 @@ SELECT 'project.id', count(DISTINCT project.id) FROM bill""", "bill")
 def month_overlap_sql(live_from: dt.date) -> str:
     return with_views(f"""
 SELECT DISTINCT month AS invoice_month FROM orders_monthly
-WHERE month IN (SELECT {LOCAL_MONTH} FROM bill WHERE usage_start_time >= {london_bound(live_from)})""",
+WHERE month IN (SELECT {LOCAL_MONTH} FROM bill WHERE usage_start_time >= {london_bound(f"DATE '{live_from}'")})""",
                       "orders_monthly", "bill")
 
 

@@ -11,7 +11,7 @@ import datetime as dt
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.dates import REPORT_TZ, local_month
@@ -67,14 +67,15 @@ def coverage_by(df: DataFrame, name: str, by: str, date_col: str = "usage_date")
 def coverage_gaps(df: DataFrame, name: str, date_col: str = "usage_date") -> DataFrame:
     """Calendar days inside the span with no row at all.
 
-    The calendar is generated from the one-row min/max aggregate; the data
-    side is reduced to its distinct days before the anti join.
+    One scan: the data is reduced to its distinct days, and each day's gap up
+    to the next one is spelt out.  The window without a partition holds the
+    distinct days, whose number the calendar bounds.
     """
-    present = df.select(F.col(date_col).alias("day")).distinct()
-    # The span comes from the distinct days too: one scan, the exchange reused.
-    span = present.agg(F.min("day").alias("lo"), F.max("day").alias("hi"))
-    calendar = span.select(F.explode(F.sequence("lo", "hi")).alias("day"))
-    return calendar.join(present, "day", "left_anti").select(F.lit(name).alias("table"), "day")
+    present = df.select(F.col(date_col).alias("day")).where(F.col("day").isNotNull()).distinct()
+    following = F.lead("day").over(Window.orderBy("day"))
+    return (present.withColumn("following", following).where(F.datediff("following", "day") > 1)
+                   .select(F.lit(name).alias("table"),
+                           F.explode(F.sequence(F.date_add("day", 1), F.date_sub("following", 1))).alias("day")))
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -61,14 +61,29 @@ def csv_scan(spark: SparkSession, paths: Sequence[str], header: Sequence[str] |
     return reader.csv(list(paths))
 
 
+def csv_by_name(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """Parts whose manifest declares no columns: each goes by its own header.
+
+    Parts with the same header share a scan, the scans are joined by column
+    name, and a column that a part lacks reads as NULL.  Only the header lines
+    (one a part) come to the driver.
+    """
+    alike: dict[tuple[str, ...], list[str]] = {}
+    for path in paths:
+        alike.setdefault(tuple(csv_scan(spark, [path]).columns), []).append(path)
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True),
+                  [csv_scan(spark, group) for group in alike.values()])
+
+
 def cur_scan(spark: SparkSession, root: str, report: str, periods: Sequence[str] | None = None,
              bucket_root: str | None = None) -> DataFrame:
     """All rows of the parts the manifests name, with their period and assembly.
 
-    Parts of one manifest share a header; different periods may not, so each
-    period is read on its own and the periods are unioned by column name.
-    The manifest list is metadata (one row per part file), collected to plan
-    the reads; rows never pass through the driver.
+    Parts of one manifest share the header it declares (without one, each part
+    goes by its own); different periods may not, so each period is read on its
+    own and the periods are unioned by column name.  The manifest list is
+    metadata (one row per part file), collected to plan the reads; rows never
+    pass through the driver.
     """
     bucket = (bucket_root or root).rstrip("/")
     keys = read_manifests(spark, root, report, periods).collect()
@@ -79,8 +94,9 @@ def cur_scan(spark: SparkSession, root: str, report: str, periods: Sequence[str]
         headers[(r.period, r.assembly_id)] = list(r.header) if r.header else None
     frames = []
     for (period, assembly), paths in sorted(by_period.items()):
-        frames.append(csv_scan(spark, paths, headers[(period, assembly)]).withColumns(
-            {"billing_period": F.lit(period), "assembly_id": F.lit(assembly)}))
+        header = headers[(period, assembly)]
+        rows = csv_scan(spark, paths, header) if header else csv_by_name(spark, paths)
+        frames.append(rows.withColumns({"billing_period": F.lit(period), "assembly_id": F.lit(assembly)}))
     if not frames:
         return spark.createDataFrame([], "billing_period string, assembly_id string")
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)

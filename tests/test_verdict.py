@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import gzip
 import json
 import os
 from types import SimpleNamespace
@@ -17,9 +18,10 @@ from costframe.operators.cdr import normalise_cdr
 from costframe.operators.invoice import normalise_invoice
 from costframe.operators.tables import day_folders, merge, read_days, upsert_table, write_table
 from costframe.plans import reports as rp
-from costframe.plans.checks import scope_audit
+from costframe.plans.checks import coverage_gaps, scope_audit
 from costframe.plans.loads import load_usage
 from costframe.session import as_local_path, scratch_root
+from costframe.sources.cur import cur_scan
 from costframe.sources.invoices import invoice_scan
 
 from conftest import SF_SMALL
@@ -114,3 +116,25 @@ def test_rows_without_an_id_are_told_apart_by_any_column(spark):
     rows = spark.createDataFrame([("SMS", None, "2026-05-01T00:00:00Z", text) for text in ('{"x": "1"}', '{"x": "2"}')],
                                  "product string, direction_requested string, request_start string, raw_json string")
     assert normalise_cdr(rows).select("record_id").distinct().count() == 2
+
+
+def test_report_parts_go_by_their_own_header_if_the_manifest_has_none(spark, workdir):
+    period, keys = "20240101-20240201", []
+    texts = ("id,name,cost\r\na,One,1\r\n", "name,id\nTwo,b\n", "id,name,cost\nc,Three,3\n")
+    for k, text in enumerate(texts):
+        keys.append(f"r/{period}/asm/r-{k}.csv.gz")
+        path = as_local_path(f"{workdir}/{keys[-1]}")
+        os.makedirs(os.path.dirname(path), exist_ok=True)
+        with gzip.open(path, "wb") as f:
+            f.write(text.encode())
+    with open(as_local_path(f"{workdir}/r/{period}/r-Manifest.json"), "w") as f:
+        json.dump({"assemblyId": "asm", "reportKeys": keys}, f)
+    got = cur_scan(spark, workdir, "r", [period]).orderBy("id").collect()
+    assert [(r.id, r.name, r.cost) for r in got] == [("a", "One", "1"), ("b", "Two", None), ("c", "Three", "3")]
+
+
+def test_gaps_are_the_days_between_days(spark):
+    days = [dt.date(2026, 1, d) for d in (1, 1, 2, 5, 6, 8)] + [None]
+    df = spark.createDataFrame([(d,) for d in days], "usage_date date")
+    assert [r.day.day for r in coverage_gaps(df, "t").orderBy("day").collect()] == [3, 4, 7]
+    assert coverage_gaps(df.where("false"), "t").count() == 0
