@@ -321,7 +321,8 @@ def components(edges: DataFrame) -> DataFrame:
         then = saved(small, "stars")
         # done when each node has one edge, to a root that has none: two partial counts, no comparison of edge sets
         loose = then.join(then.select(F.col("u").alias("v")).distinct(), "v", "left_semi")
-        if loose.isEmpty():
+        torn = then.groupBy("u").agg(F.count(F.lit(1)).alias("many")).where("many > 1")
+        if loose.isEmpty() and torn.isEmpty():
             return then.select(F.col("u").alias("node"), F.col("v").alias("root"))
         now = then
 

@@ -167,6 +167,13 @@ def test_near_dedup_nulls(odd):
     assert sum(r.kept for r in got if r.doc_id is None) == 1  # the null text; the copy of 1 goes
 
 
+def test_components_of_paths(spark):
+    for path in ([1, 5, 4, 3, 2], [3, 7, 1, 9, 2, 8, 5, 6, 4], [10, 1, 9, 2, 8, 3, 7, 4, 6, 5, 12, 11]):
+        edges = spark.createDataFrame([(bytes([a]), bytes([b])) for a, b in zip(path, path[1:])], "a binary, b binary")
+        got = [(r.node[0], r.root[0]) for r in near_dedup.components(edges).collect()]
+        assert sorted(got) == [(n, 1) for n in sorted(path) if n > 1]
+
+
 def test_jump_hash_moves_rows_only_into_the_new_shard():
     keys = np.random.default_rng(1).integers(0, 1 << 63, 20000, dtype=np.uint64)
     now = sharding.jump_numpy(keys, 1)
