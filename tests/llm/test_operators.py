@@ -265,6 +265,36 @@ def test_leaks_finds_edited_copies_only(spark):
     assert decontaminate.leaks(docs.limit(0), bench).count() == 0 and decontaminate.leaks(docs, bench.limit(0)).count() == 0
 
 
+def test_leaks_equals_all_pairs(spark):
+    rng = np.random.default_rng(11)
+    items, docs = [], []
+    for k, n in enumerate((12, 12, 16, 16, 28, 38, 59, 75, 150, 9)):
+        item = [f"i{k}_{j}" if rng.random() < 0.7 else f"c{rng.integers(6)}" for j in range(n)]
+        items.append((k, " ".join(item)))
+        copies = [[x for j, w in enumerate(item) for x in ([w, "new"] if j % 3 == 2 else [w])],
+                  [w if j % 4 != 3 else "new" for j, w in enumerate(item)], [w for j, w in enumerate(item) if j % 4 != 3]]
+        for share in (0.15, 0.25, 0.35) * 4:
+            copy = []
+            for w in item:
+                edit = rng.integers(3) if rng.random() < share else 3
+                copy += [[], [f"e{rng.integers(99)}"], [w, f"e{rng.integers(99)}"], [w]][edit]
+            copies.append(copy)
+        for copy in copies:
+            noise = [[f"c{x}" if x < 6 else f"n{x}" for x in rng.integers(0, 40, rng.integers(0, 400))] for _ in range(2)]
+            docs.append((len(docs), " ".join(noise[0] + copy + noise[1])))
+    got = {(r.doc_id, r.item_id): r.score for r in decontaminate.leaks(
+        spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    code, want = {}, {}
+    for d, text in docs:
+        for i, item in items:
+            a, b = (np.array([code.setdefault(w, len(code)) for w in t.split()], np.uint64) for t in (item, text))
+            score = decontaminate.smith_waterman(a, b)
+            if score >= decontaminate.needed(len(a)):
+                want[d, i] = score / min(len(a), 60)
+    assert {(15 * k + j, k) for k in range(2, 9) for j in (0, 1)} <= set(want)
+    assert got == want
+
+
 def brute_targets(sizes):
     names = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
     weight = {s: (5, 2, 1)[k % 3] for k, s in enumerate(names)}
