@@ -14,7 +14,8 @@
    words keeps most of its score.
 
 A document is contaminated by an item if the score is at least half of the
-item's words (of ``SPAN`` words for longer items: a long passage of it is enough).
+item's words (of ``SPAN`` words for longer items: a long passage of it is enough)
+and at least ``WHOLE``; an item of fewer words must be there word for word.
 """
 
 from __future__ import annotations
@@ -27,11 +28,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from costframe.llm.common import U, bitmap_of, gram_hashes, hash_spans, in_bitmap, lower_ascii, saved, table, text_slices, word_spans
+from costframe.llm.common import U, bitmap_of, gram_hashes, hash_spans, in_bitmap, lower_ascii, mix, saved, table, text_slices, word_spans
 
 SEED_WORDS = 2
-#: Items of fewer words are not looked for.
-LEAST_WORDS = 4
+#: So many words of an item must be found, all of a shorter one: a phrase in common is no leak.
+WHOLE = 8
 #: Bits of the seed bitmap: fixed, whatever the benchmark's size; it only spares work.
 BITS = 1 << 25
 LEAST = 0.5
@@ -55,7 +56,7 @@ def smith_waterman(a: np.ndarray, b: np.ndarray) -> int:
 
 
 def needed(words: int, least: float = LEAST, span: int = SPAN) -> float:
-    return least * min(words, span)
+    return max(least * min(words, span), min(words, WHOLE))
 
 
 def _words(col: pa.Array) -> Iterator[np.ndarray]:
@@ -75,23 +76,38 @@ def shared_seeds(words: int, least: float = LEAST, span: int = SPAN) -> int:
     return max(1, ceil(needed(words, least, span)) - 1)
 
 
+def seeds_of(words: np.ndarray) -> np.ndarray:
+    """The seed hashes of an item, in order; the seed of a single word is that word."""
+    return gram_hashes(words, SEED_WORDS) if len(words) != 1 else mix(words + U(1))
+
+
+def seeds_in(words: np.ndarray, single: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the possible seeds in a text, of single words too if there are such items, and their positions."""
+    pairs = gram_hashes(words, SEED_WORDS)
+    if not single:
+        return pairs, np.arange(len(pairs))
+    at = np.concatenate([np.arange(len(words)), np.arange(len(pairs))])
+    order = np.argsort(at, kind="stable")
+    return np.concatenate([mix(words + U(1)), pairs])[order], at[order]
+
+
 def items_of(benchmark: DataFrame, least: float = LEAST, span: int = SPAN) -> DataFrame:
-    """(item_id, item, words, shared, seeds): the word hashes of each item of ``LEAST_WORDS`` or more, and its seed hashes in order."""
+    """(item_id, item, words, shared, seeds): the word hashes of each item with words, and its seed hashes in order."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             words = list(_words(batch.column(1)))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([w.tobytes() for w in words], pa.binary()), pa.array([len(w) for w in words], pa.int64()),
                  pa.array([shared_seeds(len(w), least, span) for w in words], pa.int64()),
-                 pa.array([gram_hashes(w, SEED_WORDS).view(np.int64) for w in words], pa.list_(pa.int64()))],
+                 pa.array([seeds_of(w).view(np.int64) for w in words], pa.list_(pa.int64()))],
                 names=["item_id", "item", "words", "shared", "seeds"])
 
     kind = benchmark.schema["item_id"].dataType.simpleString()
     return (benchmark.select("item_id", "text").mapInArrow(run, f"item_id {kind}, item binary, words long, shared long, seeds array<long>")
-            .where(F.col("words") >= LEAST_WORDS).distinct())
+            .where("words > 0").distinct())
 
 
-def seed_counts(docs: DataFrame, bitmap: np.ndarray, bits: int) -> DataFrame:
+def seed_counts(docs: DataFrame, bitmap: np.ndarray, bits: int, single: bool) -> DataFrame:
     """(seed, times): how often each seed that passes the bitmap occurs, counted beside the scan first."""
     told = docs.sparkSession.sparkContext.broadcast(bitmap)
 
@@ -99,7 +115,7 @@ def seed_counts(docs: DataFrame, bitmap: np.ndarray, bits: int) -> DataFrame:
         for batch in batches:
             found = [np.zeros(0, U)]
             for w in _words(batch.column(0)):
-                g = gram_hashes(w, SEED_WORDS)
+                g, _ = seeds_in(w, single)
                 found.append(g[in_bitmap(told.value, g.view(np.int64) % bits)])
             seed, times = np.unique(np.concatenate(found), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(seed.view(np.int64)), pa.array(times, pa.int64())], names=["seed", "times"])
@@ -117,7 +133,8 @@ def rare_seeds(items: DataFrame, counts: DataFrame) -> DataFrame:
             .select("item_id", "item", "shared", "seed"))
 
 
-def passages(docs: DataFrame, every: np.ndarray, rare: np.ndarray, bits: int, least: int, reach: int, margin: int) -> DataFrame:
+def passages(docs: DataFrame, every: np.ndarray, rare: np.ndarray, bits: int, least: int, reach: int, margin: int,
+             single: bool) -> DataFrame:
     """(doc_id, passage, seeds): runs of words around the rare seeds that have ``least`` seeds of any kind within ``reach`` words."""
     told = docs.sparkSession.sparkContext.broadcast((every, rare))
 
@@ -125,20 +142,20 @@ def passages(docs: DataFrame, every: np.ndarray, rare: np.ndarray, bits: int, le
         for batch in batches:
             rows, runs, seeds = [], [], []
             for row, w in enumerate(_words(batch.column(1))):
-                g = gram_hashes(w, SEED_WORDS)
-                at = g.view(np.int64) % bits
-                hits = np.flatnonzero(in_bitmap(told.value[0], at))
+                g, at = seeds_in(w, single)
+                bit = g.view(np.int64) % bits
+                hits = np.flatnonzero(in_bitmap(told.value[0], bit))
                 if len(hits) < least:
                     continue
-                first = np.flatnonzero(hits[least - 1:] - hits[:len(hits) - least + 1] <= reach)
+                first = np.flatnonzero(at[hits[least - 1:]] - at[hits[:len(hits) - least + 1]] <= reach)
                 edge = np.zeros(len(hits) + 1, np.int64)
                 edge[first] += 1
                 edge[first + least] -= 1
                 hits = hits[np.cumsum(edge[:-1]) > 0]
-                hits = hits[in_bitmap(told.value[1], at[hits])]
-                for part in np.split(hits, np.flatnonzero(np.diff(hits) > 2 * margin) + 1) if len(hits) else []:
+                hits = hits[in_bitmap(told.value[1], bit[hits])]
+                for part in np.split(hits, np.flatnonzero(np.diff(at[hits]) > 2 * margin) + 1) if len(hits) else []:
                     rows.append(row)
-                    runs.append(w[max(0, part[0] - margin):part[-1] + SEED_WORDS + margin].tobytes())
+                    runs.append(w[max(0, at[part[0]] - margin):at[part[-1]] + SEED_WORDS + margin].tobytes())
                     seeds.append(np.unique(g[part]).view(np.int64))
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows, pa.int64())), pa.array(runs, pa.binary()),
                                               pa.array(seeds, pa.list_(pa.int64()))], names=["doc_id", "passage", "seeds"])
@@ -153,16 +170,15 @@ def leaks(docs: DataFrame, benchmark: DataFrame, least: float = LEAST, span: int
     score is the best alignment over ``min(words of the item, span)``;
     seed_passages is the number of passages of the pair's rarest seed.  Words are
     runs without ASCII white space, A-Z lower-cased.  Null and empty texts contain
-    nothing; items of fewer than ``LEAST_WORDS`` words are not looked for; a null
-    doc_id or item_id stands like any other; repeated rows give one row; other
+    nothing; items without words are not looked for; a null doc_id or item_id stands like any other; repeated rows give one row; other
     columns are ignored; an empty table on either side gives an empty result.
     """
     items = saved(items_of(benchmark, least, span), "items")
-    size = items.agg(F.min("shared"), F.max("words")).first()
-    fewest, reach = size[0] or 1, 2 * (size[1] or 0)
+    size = items.agg(F.min("shared"), F.max("words"), F.min("words")).first()
+    fewest, reach, single = size[0] or 1, 2 * (size[1] or 0), size[2] == 1
     every = bitmap_of(items.select(F.explode("seeds").alias("seed")), bits)
-    seeds = saved(rare_seeds(items, seed_counts(docs, every, bits)), "seeds")
-    found = passages(docs, every, bitmap_of(seeds.select("seed"), bits), bits, fewest, reach, max(margin, reach))
+    seeds = saved(rare_seeds(items, seed_counts(docs, every, bits, single)), "seeds")
+    found = passages(docs, every, bitmap_of(seeds.select("seed"), bits), bits, fewest, reach, max(margin, reach), single)
     found = saved(found.withColumn("run", F.xxhash64("doc_id", "passage")), "passages")
     hits = found.select("run", F.explode("seeds").alias("seed"))
     rarity = hits.join(seeds.select("seed").distinct(), "seed", "left_semi").groupBy("seed").agg(F.count(F.lit(1)).alias("passages"))
@@ -177,7 +193,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, least: float = LEAST, span: int
             for p, q, shared in zip(batch.column(2), batch.column(3), batch.column(5).to_pylist()):
                 a, b = np.frombuffer(q.as_buffer(), U), np.frombuffer(p.as_buffer(), U)
                 need = needed(len(a), least, span)
-                like = np.isin(gram_hashes(a, SEED_WORDS), gram_hashes(b, SEED_WORDS)).sum() >= shared and np.isin(a, b).sum() >= need
+                like = np.isin(seeds_of(a), seeds_in(b, len(a) == 1)[0]).sum() >= shared and np.isin(a, b).sum() >= need
                 best = smith_waterman(a, b) if like else 0
                 scores.append(best / min(len(a), span) if best >= need else 0.0)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(scores, pa.float64()), batch.column(4)],

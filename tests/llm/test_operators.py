@@ -295,6 +295,16 @@ def test_leaks_equals_all_pairs(spark):
     assert got == want
 
 
+def test_short_items_are_found_whole_only(spark):
+    items = ["yes", "two words", "the end of", "a b c d e", "how far is it to the moon", "k1 k2 k3 k4 k5 k6 k7 k8 k9 k10 k11 k12", " ", None]
+    texts = ["x yes y", "two", "one two\tWORDS three", "two x words", "the end x of the end", "so the end of it", "z a b c d y e", "a b c d e",
+             "how far is it to the sun", "ask how far is it to the moon now", "k1 k2 k3 k4 k5 k6 x", "y k1 k2 k3 k4 k5 k6 k7 k8 x", "yes", ""]
+    got = decontaminate.leaks(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"),
+                              spark.createDataFrame(list(enumerate(items)), "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == {(0, 0), (12, 0), (2, 1), (5, 2), (7, 3), (9, 4), (11, 5)}
+    assert all(r.score == (1.0 if r.item_id != 5 else 8 / 12) for r in got)
+
+
 def brute_targets(sizes):
     names = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
     weight = {s: (5, 2, 1)[k % 3] for k, s in enumerate(names)}
