@@ -168,7 +168,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, least: float = LEAST, span: int
     """(doc_id, item_id, score, seed_passages): one row for each document and item that it contains.
 
     score is the best alignment over ``min(words of the item, span)``;
-    seed_passages is the number of passages of the pair's rarest seed.  Words are
+    seed_passages is the number of passages of the rarest seed that the pair was joined by.  Words are
     runs without ASCII white space, A-Z lower-cased.  Null and empty texts contain
     nothing; items without words are not looked for; a null doc_id or item_id stands like any other; repeated rows give one row; other
     columns are ignored; an empty table on either side gives an empty result.

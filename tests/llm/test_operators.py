@@ -305,6 +305,18 @@ def test_short_items_are_found_whole_only(spark):
     assert all(r.score == (1.0 if r.item_id != 5 else 8 / 12) for r in got)
 
 
+def test_frequent_seeds_are_not_joined(spark):
+    item = [f"w{k}" for k in range(16)]
+    docs = spark.createDataFrame([(k, " ".join(item if k == 0 else item[:4])) for k in range(9)], "doc_id long, text string")
+    items = decontaminate.items_of(spark.createDataFrame([(0, " ".join(item))], "item_id long, text string"))
+    counts = decontaminate.seed_counts(docs, np.full(128, 255, np.uint8), 1024, False)
+    code = decontaminate.gram_hashes(next(decontaminate._words(decontaminate.pa.array([" ".join(item)]))), 2).view(np.int64)
+    got = {r.seed for r in decontaminate.rare_seeds(items, counts).collect()}
+    assert len(got) == 15 - 7 + 1 and got < set(code[3:].tolist())
+    row, = decontaminate.leaks(docs, spark.createDataFrame([(0, " ".join(item))], "item_id long, text string")).collect()
+    assert (row.doc_id, row.score, row.seed_passages) == (0, 1.0, 1)
+
+
 def brute_targets(sizes):
     names = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
     weight = {s: (5, 2, 1)[k % 3] for k, s in enumerate(names)}
