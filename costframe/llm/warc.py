@@ -19,7 +19,7 @@ import hashlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from costframe.llm.common import saved, scratch_path, table
@@ -73,12 +73,16 @@ def captures_to_write(pages: DataFrame, min_payload: int = MIN_PAYLOAD) -> DataF
     pages = pages.withColumn("digest", base32(F.sha1(F.col("html").cast("binary"))))
     key = ["pid", "digest"]
     marks = (pages.select("page_id", *key, "url", F.octet_length("html").alias("bytes"))
-             .groupBy("page_id", *key, "bytes").agg(F.count(F.lit(1)).alias("times"), F.min("url").alias("url")))
+             .groupBy("page_id", *key, "bytes", "url").agg(F.count(F.lit(1)).alias("times")))
+    # copies of a page and payload are numbered through all their urls, as the record ids need
+    order = (Window.partitionBy(*key).orderBy(F.col("page_id").isNull(), "url")
+             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    marks = marks.withColumn("upto", F.sum("times").over(order))
     first = (marks.groupBy("digest").agg(F.min(F.struct(F.col("page_id").isNull(), "page_id", "pid")).getField("pid").alias("least"),
                                          F.sum("times").alias("size")).where("size > 1").select("digest", "least"))
     # written, so that both sides of the join are plain exchanges: a hot payload's rows can then be split
     rows = (marks.join(saved(first, "equal-payloads"), "digest", "left").withColumn("first", F.coalesce("least", "pid"))
-            .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("times")))))
+            .withColumn("copy", F.explode(F.sequence(F.col("upto") - F.col("times") + 1, F.col("upto")))))
     rows = rows.withColumn("revisit", (F.col("bytes") >= min_payload) & ((F.col("pid") != F.col("first")) | (F.col("copy") > 1)))
     payload = pages.groupBy(*key).agg(F.first("html").alias("html"))
     answers = rows.where("not revisit").join(payload, key)

@@ -220,6 +220,17 @@ def test_warc_round_trip(spark):
     assert sum(r.record_type == "revisit" for r in big) == 1
 
 
+def test_warc_keeps_each_url_of_a_repeated_page(spark):
+    pages = [(1, "http://a", "x"), (1, "http://b", "x"), (1, "http://b", "x"), (1, None, "x"), (2, "http://c", "x"), (None, "http://d", "z"), (None, "http://e", "z")]
+    path = scratch_path(spark, "warc-urls")
+    got = warc.archived(spark.createDataFrame(pages, "page_id long, url string, html string"), path).collect()
+    assert Counter((r.page_id, r.record_type, r.refers_to) for r in got) == {
+        (1, "response", None): 1, (1, "revisit", 1): 3, (2, "revisit", 1): 1, (None, "response", None): 1, (None, "revisit", None): 1}
+    records = warc.read_warc(spark, path).where("type in ('response', 'revisit')").collect()
+    assert Counter(r.target_uri for r in records) == Counter(p[1] for p in pages)
+    assert len({r.record_id for r in records}) == len(pages)
+
+
 def test_warc_rejects_a_wrong_length():
     with pytest.raises(ValueError):
         warc.parse_record(b"WARC-Type: response\r\nWARC-Record-ID: <x>\r\nContent-Length: 9\r\n\r\nabc\r\n\r\n", False)
