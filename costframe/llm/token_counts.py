@@ -1,16 +1,16 @@
-r"""Token counts by composing chunk maps of a compiled word transducer.
+r"""Token counts of words, cached from the tokenizer library and summed over each text.
 
 The tokenizer file drops white space and tokenizes each run of other
 characters by itself, so a text is a path through a deterministic transducer:
 inside a run, each byte b takes the state s (a 64-bit fingerprint of the run so
 far) to ``s + (b + 1) * r**i``; a white-space byte takes any state back to the
 start and emits the number of tokens of the run that ends there.  The emission
-table (state -> tokens) is compiled from the tokenizer itself, for the states
-that the texts reach.
+table (state -> tokens) is filled by library calls, one for each run that the
+table doesn't hold; no merges are compiled into transitions.
 
 Byte transitions are additions, hence associative: the states of a whole slice
-of bytes come from one prefix scan.  A text is read in chunks cut anywhere, even
-inside a run.  A chunk's map is (head, emitted, tail): the bytes before its first
+of bytes come from one prefix scan.  A text over ``CHUNK_BYTES`` is read in chunks
+cut anywhere, even inside a run.  A chunk's map is (head, emitted, tail): the bytes before its first
 white space, the tokens emitted between, the bytes after its last; or the bytes
 alone if it has no white space.  Maps compose associatively, pairwise in a
 tree.  All this happens beside the scan; nothing is shuffled.
