@@ -29,15 +29,17 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from costframe.llm.common import lower_ascii, saved, table, text_slices
+from costframe.llm.common import BASE, U, hash_spans, lower_ascii, mix, saved, table, text_slices
 
 LONGEST = 3
 LEAST = 10
 TOP = 2000
 #: Longer candidates with this share (percent) of a phrase's count make it redundant.
 COVERED = 50
-#: Texts counted together before their counts go to the shuffle, and rows of a batch.
-COUNT_BYTES = 1 << 23
+#: Bytes of text counted together, bytes of packed counts handed on at once, rows merged at once, rows of a batch.
+COUNT_BYTES = 1 << 22
+PACKET_BYTES = 1 << 22
+MERGE_ROWS = 1 << 20
 ROWS = 50_000
 #: Groups of the levels in which the best of a language are found; none reads more than the best of 64 groups.
 GROUPS = (4096, 64, 1)
@@ -56,11 +58,12 @@ def _flags(chars: bytes) -> np.ndarray:
     return out
 
 
-def gram_counts(buf: np.ndarray, off: np.ndarray, lang: np.ndarray, longest: int) -> Iterator[tuple[np.ndarray, pa.Array, np.ndarray]]:
-    """(language, phrase, count) arrays of the n-grams of some adjacent texts, one triple for each order from 0.
+def gram_counts(buf: np.ndarray, off: np.ndarray, lang: np.ndarray, longest: int) -> Iterator[tuple[np.ndarray, pa.Array, np.ndarray, np.ndarray]]:
+    """(language, phrase, count, spread) arrays of the n-grams of some adjacent texts, one for each order from 0.
 
     ``lang`` has a number for each text.  n-grams are told apart by the numbers
-    of their words, never by hashes.
+    of their words, never by hashes; ``spread`` is a hash of the phrase that only
+    deals the counts out.
     """
     low = lower_ascii(buf)
     stop = _flags(PIECE_ENDS)[low]
@@ -71,47 +74,95 @@ def gram_counts(buf: np.ndarray, off: np.ndarray, lang: np.ndarray, longest: int
     first[1:] &= ~word[:-1] | edge[1:-1]
     last[:-1] &= ~word[1:] | edge[1:-1]
     starts = np.flatnonzero(first)
-    length = np.flatnonzero(last) + 1 - starts
+    stops = np.flatnonzero(last) + 1
     row = np.searchsorted(off, starts, "right") - 1
     piece = np.searchsorted(np.flatnonzero(stop), starts)
     next_too = np.zeros(len(starts), bool)
     next_too[:-1] = (row[1:] == row[:-1]) & (piece[1:] == piece[:-1])
 
-    ends = np.concatenate([[0], np.cumsum(length)]).astype(np.int64)
+    ends = np.concatenate([[0], np.cumsum(stops - starts)]).astype(np.int64)
     words = pa.Array.from_buffers(pa.large_string(), len(starts), [None, pa.py_buffer(ends), pa.py_buffer(low[word])]).dictionary_encode()
     number, words = words.indices.to_numpy().astype(np.int64), words.dictionary
     size = max(len(words), 1)
+    word_hash = np.zeros(size, U)
+    word_hash[number] = hash_spans(low, starts, stops)
 
     of, count = np.unique(lang[row], return_counts=True)
-    phrase = pa.array([""] * len(of), pa.large_string())
-    yield of, phrase, count
+    phrase, spread = pa.array([""] * len(of), pa.large_string()), mix(of.astype(U))
+    yield of, phrase, count, spread
     at = np.arange(len(starts))
     gram = np.searchsorted(of, lang[row])
     for n in range(1, longest + 1):
         key, gram, count = np.unique(gram * size + number[at + n - 1], return_inverse=True, return_counts=True)
-        of, end = of[key // size], words.take(pa.array(key % size))
-        phrase = end if n == 1 else pc.binary_join_element_wise(phrase.take(pa.array(key // size)), end, pa.scalar(" ", pa.large_string()))
-        yield of, phrase, count
+        head, end = key // size, key % size
+        spread = mix(spread[head] * U(BASE) + word_hash[end])
+        of, tail = of[head], words.take(pa.array(end))
+        phrase = tail if n == 1 else pc.binary_join_element_wise(phrase.take(pa.array(head)), tail, pa.scalar(" ", pa.large_string()))
+        yield of, phrase, count, spread
         keep = next_too[at + n - 1]
         at, gram = at[keep], gram[keep]
 
 
-def count_stream(docs: DataFrame, longest: int = LONGEST) -> DataFrame:
-    """(lang, phrase, f): how often each n-gram of up to ``longest`` words occurs; the empty one counts all words."""
+def _packets(names: pa.Array, grams: list[tuple], parts: int) -> Iterator[pa.RecordBatch]:
+    """The counts of a slice of texts as one packed run for each of ``parts``."""
+    phrase = pa.chunked_array([g[1] for g in grams]).combine_chunks()
+    lang, count, spread = (np.concatenate([g[k] for g in grams]) for k in (0, 2, 3))
+    part = (spread % U(parts)).astype(np.int64)
+    order = np.argsort(part, kind="stable")
+    bounds = np.searchsorted(part[order], np.arange(parts + 1))
+    ready, runs, held = [], [], 0
+    for k in np.flatnonzero(np.diff(bounds)):
+        some = order[bounds[k]:bounds[k + 1]]
+        run = pa.RecordBatch.from_arrays([names.take(pa.array(lang[some])), phrase.take(pa.array(some)).cast(pa.string()), pa.array(count[some].astype(np.int64))],
+                                         names=["lang", "phrase", "f"])
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, run.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+            out.write_batch(run)
+        ready.append(k)
+        runs.append(sink.getvalue().to_pybytes())
+        held += len(runs[-1])
+        if held > PACKET_BYTES:
+            yield pa.RecordBatch.from_arrays([pa.array(ready, pa.int32()), pa.array(runs, pa.binary())], names=["part", "run"])
+            ready, runs, held = [], [], 0
+    if ready:
+        yield pa.RecordBatch.from_arrays([pa.array(ready, pa.int32()), pa.array(runs, pa.binary())], names=["part", "run"])
+
+
+def _sums(tables: list[pa.Table]) -> pa.Table:
+    got = pa.concat_tables(tables).group_by(["lang", "phrase"], use_threads=False).aggregate([("f", "sum")])
+    return pa.table([got.column("lang"), got.column("phrase"), got.column("f_sum")], names=["lang", "phrase", "f"])
+
+
+def count_stream(docs: DataFrame, longest: int = LONGEST, least: int = LEAST) -> DataFrame:
+    """(lang, phrase, f): how often each n-gram of up to ``longest`` words occurs, if ``least`` times or more;
+    the empty one counts all words and is always there.
+
+    A task packs its counts into one run for each partition of the shuffle, which
+    merges the runs that it gets; a frequent phrase is one entry of a run.
+    """
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             names = batch.column(0).dictionary_encode()
             number = names.indices.to_numpy(zero_copy_only=False).astype(np.int64)
             for lo, hi, buf, off in text_slices(batch.column(1), COUNT_BYTES):
-                for of, phrase, count in gram_counts(buf, off, number[lo:hi], longest):
-                    for k in range(0, len(of), ROWS):
-                        some = slice(k, k + ROWS)
-                        yield pa.RecordBatch.from_arrays([names.dictionary.take(pa.array(of[some])), phrase[some].cast(pa.string()),
-                                                          pa.array(count[some].astype(np.int64))], names=["lang", "phrase", "f"])
+                yield from _packets(names.dictionary, list(gram_counts(buf, off, number[lo:hi], longest)), parts)
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums, new, rows = None, [], 0
+        for batch in batches:
+            for data in batch.column(1):
+                new.append(pa.ipc.open_stream(data.as_buffer()).read_all())
+                rows += len(new[-1])
+                if rows >= MERGE_ROWS + (len(sums) if sums is not None else 0):
+                    sums, new, rows = _sums([*new, sums] if sums is not None else new), [], 0
+        if new or sums is not None:
+            sums = _sums([*new, sums] if sums is not None else new)
+            yield from sums.filter((pc.field("f") >= least) | (pc.field("phrase") == "")).to_batches(ROWS)
 
     rows = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
-    return rows.mapInArrow(run, COUNTS).groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
+    return rows.mapInArrow(run, "part int, run binary").repartitionById(parts, F.col("part")).mapInArrow(merge, COUNTS)
 
 
 class _Walk:
@@ -196,7 +247,7 @@ def phrases(docs: DataFrame, longest: int = LONGEST, least: int = LEAST, top: in
     empty table, give no rows.  Ties in score go to the larger count, then to the
     lesser phrase, so no two rows share a rank.  Scores are exact up to counts of 10**16.
     """
-    counts = count_stream(docs, longest).where((F.col("f") >= least) | (F.col("phrase") == ""))
+    counts = count_stream(docs, longest, least)
     path = F.when(F.col("phrase") == "", F.array().cast("array<string>")).otherwise(F.split("phrase", " "))
     counts = saved(counts.select("lang", path.alias("path"), "f"), "phrases-counts")
     left = walked(counts, False).withColumnRenamed("above", "left").withColumn("right", F.lit(None).cast("array<long>"))
