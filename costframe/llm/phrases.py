@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from costframe.llm.common import BASE, U, hash_spans, lower_ascii, mix, saved, table, text_slices
+from costframe.llm.common import BASE, U, hash_spans, lower_ascii, mix, packed, saved, table, text_slices
 
 LONGEST = 3
 LEAST = 10
@@ -58,12 +58,12 @@ def _flags(chars: bytes) -> np.ndarray:
     return out
 
 
-def gram_counts(buf: np.ndarray, off: np.ndarray, lang: np.ndarray, longest: int) -> Iterator[tuple[np.ndarray, pa.Array, np.ndarray, np.ndarray]]:
+def gram_counts(buf: np.ndarray, off: np.ndarray, lang: np.ndarray, lang_hash: np.ndarray, longest: int) -> Iterator[tuple[np.ndarray, pa.Array, np.ndarray, np.ndarray]]:
     """(language, phrase, count, spread) arrays of the n-grams of some adjacent texts, one for each order from 0.
 
-    ``lang`` has a number for each text.  n-grams are told apart by the numbers
-    of their words, never by hashes; ``spread`` is a hash of the phrase that only
-    deals the counts out.
+    ``lang`` has a number for each text, ``lang_hash`` a hash for each number.
+    n-grams are told apart by the numbers of their words, never by hashes;
+    ``spread`` is a hash of language and phrase that only deals the counts out.
     """
     low = lower_ascii(buf)
     stop = _flags(PIECE_ENDS)[low]
@@ -88,7 +88,7 @@ def gram_counts(buf: np.ndarray, off: np.ndarray, lang: np.ndarray, longest: int
     word_hash[number] = hash_spans(low, starts, stops)
 
     of, count = np.unique(lang[row], return_counts=True)
-    phrase, spread = pa.array([""] * len(of), pa.large_string()), mix(of.astype(U))
+    phrase, spread = pa.array([""] * len(of), pa.large_string()), mix(lang_hash[of])
     yield of, phrase, count, spread
     at = np.arange(len(starts))
     gram = np.searchsorted(of, lang[row])
@@ -145,9 +145,11 @@ def count_stream(docs: DataFrame, longest: int = LONGEST, least: int = LEAST) ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             names = batch.column(0).dictionary_encode()
-            number = names.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+            number, names = names.indices.to_numpy(zero_copy_only=False).astype(np.int64), names.dictionary
+            chars, bounds = packed(names)
+            hashes = hash_spans(chars, bounds[:-1], bounds[1:])
             for lo, hi, buf, off in text_slices(batch.column(1), COUNT_BYTES):
-                yield from _packets(names.dictionary, list(gram_counts(buf, off, number[lo:hi], longest)), parts)
+                yield from _packets(names, list(gram_counts(buf, off, number[lo:hi], hashes, longest)), parts)
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums, new, rows = None, [], 0
