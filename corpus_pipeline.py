@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from costframe.llm.common import fresh_name, saved, table
 from costframe.llm.decontaminate import leaks
-from costframe.llm.mixing import repeated
+from costframe.llm.mixing import copies
 from costframe.llm.near_dedup import near_dedup
 from costframe.llm.quality import accepted
 from costframe.llm.sharding import with_shards, with_slots
@@ -49,16 +49,26 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     return named.join(bad.select(F.col("doc_id").alias(name)).distinct(), name, "left_anti").select(*docs.columns)
 
 
+def _packed(docs: DataFrame) -> DataFrame:
+    """``docs`` with each row's columns as one struct, so that no helper column can meet one of theirs."""
+    return docs.select("doc_id", "source", "text", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+
+
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it."""
-    return repeated(docs)
+    taken = copies(_packed(docs), keep=["doc_id", "source", "row"]).where("copies > 0")
+    return taken.select(F.explode(F.sequence(F.lit(1), F.col("copies"))), "row").select("row.*")
 
 
 def sharding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All rows with their shard of 40, their slot in it, and their shard of 41."""
+    """All rows with their shard of 40, their slot in it, their shard of 41, their size and checksum.
+
+    These columns stand behind an underscore where ``docs`` has columns of their names.
+    """
     body = F.coalesce(F.col("text"), F.lit(""))
-    rows = docs.withColumns({"size": (F.octet_length(body) + 16).cast("long"), "text_crc32": F.crc32(body.cast("binary"))})
-    return with_slots(with_shards(rows), ["doc_id", "size", "text_crc32"])
+    rows = _packed(docs).withColumns({"size": (F.octet_length(body) + 16).cast("long"), "text_crc32": F.crc32(body.cast("binary"))})
+    placed = with_slots(with_shards(rows.select("doc_id", "size", "text_crc32", "row")), ["doc_id", "size", "text_crc32"])
+    return placed.select("row.*", *[F.col(c).alias(fresh_name(docs, c)) for c in ("size", "text_crc32", "shard", "grown_shard", "slot")])
 
 
 STAGES = [
