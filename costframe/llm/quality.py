@@ -32,6 +32,8 @@ SAMPLE = 6000
 EPOCHS = 10
 BATCH = 200
 RATE = 0.08
+#: Bytes of text scored at once.
+SCORE_BYTES = 1 << 19
 DECAY = 1e-4
 STATISTICS = ("log characters", "log words", "bytes a word", "upper case", "digits", "punctuation", "bars",
               "marks and signs", "not ASCII", "line breaks a word", "distinct words", "repeated lines",
@@ -203,18 +205,20 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, bits: int =
 
 
 def scored(docs: DataFrame, machine: Machine, score: str = "score") -> DataFrame:
-    """``docs`` with a score of 0 to 1 for each row (null text: empty); all columns stay."""
+    """``docs`` with a score of 0 to 1 for each row (null text: empty); all columns stay.
+
+    Only the texts go to the Python workers, in slices, and only scores come back.
+    """
     model = docs.sparkSession.sparkContext.broadcast(machine)
-    at = docs.columns.index("text")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @F.arrow_udf(T.DoubleType())
+    def run(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         fm = model.value
-        for batch in batches:
-            out = [fm.score(features(buf, off, fm.bits)) for _, _, buf, off in text_slices(batch.column(at))]
-            scores = pa.array(np.concatenate(out) if out else np.zeros(0))
-            yield pa.RecordBatch.from_arrays([*batch.columns, scores], names=[*batch.schema.names, score])
+        for text in texts:
+            out = [fm.score(features(buf, off, fm.bits)) for _, _, buf, off in text_slices(text, SCORE_BYTES)]
+            yield pa.array(np.concatenate(out) if out else np.zeros(0))
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(score, T.DoubleType())]))
+    return docs.withColumn(score, run(F.coalesce("text", F.lit(""))))
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:

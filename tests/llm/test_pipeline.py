@@ -44,8 +44,30 @@ def test_stages_do_what_they_say(spark):
     assert all(r.grown_shard in (r.shard, 40) for r in kept["sharding"])
 
 
+CLASHING = ("name", "copies", "_of", "part", "rank", "first", "size", "shard", "slot", "n", "row", "p", "score")
+
+
 def test_run_on_a_table_with_other_columns(spark, workdir):
-    docs = table(spark, SF, "documents").withColumn("name", F.lit("x")).withColumn("copies", F.lit(1)).limit(40)
+    """Columns with the stages' own names come through with their values; an empty table gives an empty result."""
+    docs = table(spark, SF, "documents").limit(40)
+    docs = docs.select("*", *[(F.col("doc_id") * 0 + k).alias(c) for k, c in enumerate(CLASHING)])
+    none = docs.limit(0)
     for _, stage in cp.STAGES:
-        docs = saved(stage(spark, docs, SF), "test-columns")
-    assert {"name", "copies"} <= set(docs.columns)
+        docs, none = saved(stage(spark, docs, SF), "test-columns"), saved(stage(spark, none, SF), "test-empty")
+        assert docs.columns == none.columns and none.isEmpty()
+    got = docs.collect()
+    assert got and all([r[c] for c in CLASHING] == list(range(len(CLASHING))) for r in got)
+    assert {"_size", "_shard", "_slot", "text_crc32", "grown_shard"} <= set(docs.columns)
+
+
+def test_stages_on_a_very_long_text(spark):
+    """One text of a few megabytes beside short ones."""
+    docs = table(spark, SF, "documents").limit(30)
+    text = " ".join(r.text for r in docs.collect())
+    long = spark.createDataFrame([(980001, (text + " ") * (3_000_000 // len(text)), "en", "src0", None)], docs.schema)
+    docs = docs.union(long)
+    for name, stage in cp.STAGES:
+        docs = saved(stage(spark, docs, SF), "test-long")
+        if name == "quality classifier" and docs.where("doc_id = 980001").isEmpty():
+            docs = docs.union(long)
+    assert docs.count()
