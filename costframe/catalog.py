@@ -97,6 +97,46 @@ def bill_cud_fee(spark, sf_dir):
     return rp.cost_breakdown(fx.bill(spark, sf_dir), AS_OF_SUMMER, fee_skus=FEE_SKUS)
 
 
+def _restated_day_sums(spark, sf_dir, fee_skus=None):
+    """Day sums of an export whose August was wrong, after August's days were restated."""
+    from pyspark.sql import functions as F
+
+    from .plans.daysums import DAY, refresh_day_sums
+    from .session import scratch_path
+
+    path = scratch_path(spark, "bill-day-sums")
+    bill = fx.bill(spark, sf_dir)
+    day = F.to_date(F.col("usage_start_time").cast("timestamp"))
+    late = (day >= F.lit(SUMS_RESTATED[0])) & (day <= F.lit(SUMS_RESTATED[-1]))
+    wrong = bill.withColumn("cost", F.when(late, F.col("cost") * 2).otherwise(F.col("cost")))
+    # One day held nothing but rows that are gone since.
+    stale = wrong.withColumn("usage_start_time", F.when(day == F.lit(SUMS_RESTATED[3]), F.col("usage_start_time") + F.expr("INTERVAL 20000 DAYS"))
+                             .otherwise(F.col("usage_start_time")))
+    refresh_day_sums(spark, stale, path, fee_skus=fee_skus)
+    vanished = [d + dt.timedelta(days=20000) for d in (SUMS_RESTATED[3],)]
+    refresh_day_sums(spark, bill, path, [*SUMS_RESTATED, *vanished], fee_skus=fee_skus)
+    return spark.read.parquet(path)
+
+
+SUMS_RESTATED = [dt.date(1998, 7, 31) + dt.timedelta(days=k) for k in range(33)]
+
+
+@register("bill_from_day_sums", orc.breakdown_sql(AS_OF_SUMMER))
+def bill_from_day_sums(spark, sf_dir):
+    """Q1 from day sums kept current over a restatement; the export is not read for the report."""
+    from .plans.daysums import cost_from_day_sums
+
+    return cost_from_day_sums(_restated_day_sums(spark, sf_dir), AS_OF_SUMMER)
+
+
+@register("bill_scoped_from_day_sums", orc.breakdown_sql(AS_OF_SUMMER, projects=PLATFORM_PROJECTS, services=PLATFORM_SERVICES, fee_skus=FEE_SKUS))
+def bill_scoped_from_day_sums(spark, sf_dir):
+    """Q2 and D12 from the same kind of sums: scopes by project id or number, fee SKUs fixed in the sums."""
+    from .plans.daysums import cost_from_day_sums
+
+    return cost_from_day_sums(_restated_day_sums(spark, sf_dir, FEE_SKUS), AS_OF_SUMMER, projects=PLATFORM_PROJECTS, services=PLATFORM_SERVICES)
+
+
 @register("credit_sums", orc.credit_rows_sql())
 def credit_sums(spark, sf_dir):
     """Per-row CUD and other credit sums (HOFs over the row's array)."""
@@ -622,6 +662,40 @@ def stream_usage_upsert(spark, sf_dir):
     return ntz(spark.read.parquet(target).select(*flatten_usage(buckets.limit(0)).columns))
 
 
+@register("stream_late_pull", orc.USAGE_FLAT_SQL)
+def stream_late_pull(spark, sf_dir):
+    """R1, K2 on condition: three overlapping pulls land and run in the order 0, 2, 1.
+
+    Where pulls share a day the older one has other token counts; the pull that
+    lands late fills its own days but undoes nothing of the newer one.
+    """
+    from pyspark.sql import functions as F
+
+    from .landing import land_pages
+    from .operators.tables import ORDINAL
+    from .operators.usage import USAGE_KEYS, flatten_usage
+    from .session import scratch_path
+    from .sources.buckets import USAGE_RESULT, page_schema
+    from .streaming.incremental import stream_upsert
+
+    buckets = fx.usage_buckets(spark, sf_dir)
+    day = F.dayofmonth(F.substring("starting_at", 1, 10).cast("date"))
+    landing, target, ckpt = (scratch_path(spark, f"usage-late-{n}") for n in ("landing", "table", "ckpt"))
+
+    def transform(pages):
+        return flatten_usage(pages.select(F.explode("data").alias("b"), ORDINAL).select("b.*", ORDINAL), extra=[ORDINAL])
+
+    def stale(rows, where):
+        other = F.transform("results", lambda r: r.withField("output_tokens", F.lit(-1).cast("long")))
+        return rows.withColumn("results", F.when(where, other).otherwise(F.col("results")))
+
+    pulls = [stale(buckets.filter(day <= 15), day >= 10), stale(buckets.filter((day >= 10) & (day <= 20)), day >= 18), buckets.filter(day >= 18)]
+    for n in (0, 2, 1):
+        land_pages(spark, pulls[n], f"{landing}/pull={n}")
+        stream_upsert(spark, landing, page_schema(USAGE_RESULT), transform, target, list(USAGE_KEYS), ckpt, keep_ordinal=True)
+    return ntz(spark.read.parquet(target).select(*flatten_usage(buckets.limit(0)).columns))
+
+
 @register("distinct_services", orc.DISTINCT_SERVICES_SQL)
 def distinct_services(spark, sf_dir):
     """How many distinct service ids and projects the export holds."""

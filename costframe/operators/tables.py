@@ -11,12 +11,14 @@ updates matched keys and inserts the rest, never deleting.  Here:
   source.  Catalyst/AQE pick broadcast only when the source side is measured
   small, sort-merge otherwise.
 * :func:`upsert_table` runs it against a day-partitioned Parquet table,
-  touching only the days the source carries (static partition pruning plus
-  dynamic partition overwrite).
+  touching only the days the source carries (listed by name, replaced by
+  dynamic partition overwrite), with one exchange: rows of the load and of
+  those days meet in the hash layout that the days are written in.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession, Window
@@ -27,6 +29,7 @@ from ..session import scratch_path
 from ..sources import files
 
 ORDINAL = "load_ordinal"
+DUPLICATE = "duplicate key inside one load"
 
 
 def conform(df: DataFrame, schema: T.StructType, required: Sequence[str] = (),
@@ -64,30 +67,11 @@ def collapse_loads(source: DataFrame, keys: Sequence[str], ordinal: str | None =
     keep = F.col("_rn") == 1
     if on_duplicate == "raise":
         keep = F.when(F.col("_next") == F.col(ordc), F.raise_error(F.concat(
-            F.lit("duplicate key inside one load: "),
+            F.lit(DUPLICATE + ": "),
             F.to_json(F.struct(*[F.col(k) for k in keys]))))).otherwise(keep)
     return marked.filter(keep).select(*[c for c in source.columns if c != ordc])
 
 
-def check_unique(df: DataFrame, keys: Sequence[str], ordinal: str | None = None) -> None:
-    """Fail when a key occurs twice inside one load.
-
-    Reads the key columns only and aggregates them with a partial
-    (map-side) count; at most one offending key reaches the driver.
-    """
-    by = list(keys) + ([ordinal] if ordinal else [])
-    dup = (df.groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
-             .filter(F.col("n") > 1).limit(1).collect())
-    if dup:
-        raise ValueError(f"duplicate key inside one load: {dup[0].asDict()}")
-
-
-def latest_per_key(df: DataFrame, keys: Sequence[str], ordinal: str) -> DataFrame:
-    """The row of the highest load ordinal per key (keys already unique per load)."""
-    w = Window.partitionBy(*keys).orderBy(F.col(ordinal).desc())
-    return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn", ordinal)
-
-
 def aligned(source: DataFrame, target: DataFrame) -> DataFrame:
     """``source`` in the target's column order; columns that the target lacks fail the load."""
     extra = [c for c in source.columns if c not in target.columns]
@@ -115,29 +99,22 @@ def replace_days(target: DataFrame, source: DataFrame, date_col: str = "usage_da
 WRITE_PART_BYTES = 256 << 20
 
 
-def write_table(df: DataFrame, path: str, date_col: str = "usage_date",
-                cluster_by: Sequence[str] | None = None, new_table: bool = False,
-                num_parts: int | None = None) -> None:
+def write_table(df: DataFrame, path: str, date_col: str = "usage_date", new_table: bool = False) -> None:
     """Day-partitioned Parquet write that replaces only the days present (K4).
 
-    With ``cluster_by`` (the row key) rows are range-partitioned on
-    (day, key): a hot day is cut into several ranges, small days share a
-    task, so no single task writes a third of the table and files stay even.
-    Without it the rebalance hint leaves the same job to AQE.
+    The rebalance hint leaves the layout to AQE; loads come through
+    :func:`upsert_table`, which lays days out by their sizes.
     """
-    extra = [c for c in (cluster_by or []) if c != date_col]
-    if extra and num_parts:
-        laid_out = df.repartitionByRange(num_parts, date_col, *extra)
-    elif extra:
-        laid_out = df.repartitionByRange(date_col, *extra)
-    else:
-        laid_out = df.hint("rebalance", date_col)
+    _write_days(df.hint("rebalance", date_col), path, date_col, new_table)
+
+
+def _write_days(df: DataFrame, path: str, date_col: str, new_table: bool) -> None:
     if new_table:
         # A table that does not exist yet has no days to keep: plain write,
         # no per-day replace step.
-        laid_out.write.mode("errorifexists").partitionBy(date_col).parquet(path)
+        df.write.mode("errorifexists").partitionBy(date_col).parquet(path)
         return
-    (laid_out.write.mode("overwrite")
+    (df.write.mode("overwrite")
        .option("partitionOverwriteMode", "dynamic")
        .partitionBy(date_col)
        .parquet(path))
@@ -145,66 +122,90 @@ def write_table(df: DataFrame, path: str, date_col: str = "usage_date",
 
 def read_days(spark: SparkSession, path: str, days: Sequence,
               date_col: str = "usage_date") -> DataFrame | None:
-    """Only the given day folders of a day-partitioned table: the rest of the
-    table is never listed, so a restatement costs the days it touches.
-    ``None`` when none of the days exists yet."""
+    """Only the given day folders of a day-partitioned table, found by one listing
+    of folder names; no other day is opened.  ``None`` when none of the days exists yet."""
     present = day_folders(spark, path, days, date_col)
     if not present:
         return None
     return spark.read.option("basePath", path).parquet(*present)
 
 
-def day_folders(spark: SparkSession, path: str, days: Sequence, date_col: str = "usage_date") -> list[str]:
-    """The folders of those of ``days`` that the table has: one listing of its day folders, for any number of days."""
-    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    wanted = {f"{date_col}={d}" for d in days}
-    names = (s.getPath().getName() for s in fs.listStatus(hpath)) if fs.exists(hpath) else ()
-    return [f"{path.rstrip('/')}/{n}" for n in sorted(wanted.intersection(names))]
+def day_bytes(spark: SparkSession, path: str, days: Sequence, date_col: str = "usage_date") -> dict[str, int]:
+    """Bytes of those of ``days`` that the table has, by name: one glob over the folder names and
+    a listing of the folders that match (no file is opened); as many rows reach the driver as days."""
+    pattern = f"{path.rstrip('/')}/{date_col}={{{','.join(sorted(str(d) for d in days))}}}"
+    if not days or not files.glob_any(spark, pattern):
+        return {}
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(pattern)
+    day = F.regexp_extract("path", f"/{date_col}=([0-9-]+)/", 1).alias("day")
+    return {r.day: r.bytes for r in listed.groupBy(day).agg(F.sum("length").alias("bytes")).collect()}
 
 
-def _bytes(spark: SparkSession, paths: Sequence[str]) -> int:
-    """Bytes under the given paths (file-system metadata only)."""
-    jvm = spark.sparkContext._jvm
-    total = 0
-    for p in paths:
-        hpath = jvm.org.apache.hadoop.fs.Path(p)
-        fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        if fs.exists(hpath):
-            total += fs.getContentSummary(hpath).getLength()
-    return total
-
-
-def _parts_for(spark: SparkSession, nbytes: int, ndays: int) -> int:
-    """Write tasks: one per WRITE_PART_BYTES of data, but at least one per day
-    up to four per core (each day is a file; files are written in parallel,
-    and several tasks per core let the scheduler even out uneven days)."""
-    by_size = -(-nbytes // WRITE_PART_BYTES)
-    return max(1, by_size, min(ndays, 4 * spark.sparkContext.defaultParallelism))
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(hpath)
+def day_folders(spark: SparkSession, path: str, days: Sequence, date_col: str = "usage_date") -> list[str]:
+    """The folders of those of ``days`` that the table has."""
+    return [f"{path.rstrip('/')}/{date_col}={d}" for d in sorted(day_bytes(spark, path, days, date_col))]
 
 
-def upsert_table(spark: SparkSession, target_path: str, source: DataFrame, keys: Sequence[str],
-                 date_col: str = "usage_date", ordinal: str | None = None,
-                 mode: str = "upsert") -> dict:
-    """Load ``source`` into the day-partitioned table at ``target_path``.
+def day_layout(sizes: dict, least_tasks: int, part_bytes: int = WRITE_PART_BYTES) -> list[tuple]:
+    """(day, pack, parts) for days of the given sizes in bytes.
 
-    1. Stage the load as it is, flat Parquet in the shared scratch folder
-       (no shuffle).  Staging cuts the lineage: a lost executor re-reads
-       staged files, never the raw input.
-    2. Empty load: nothing is touched (K7).
-    3. Check key uniqueness per load on the staged key columns; with several
-       loads keep the latest per key.
-    4. A table that does not exist yet is written from the staged rows.
-       Otherwise only the staged days of the target are read (by folder),
-       merged and overwritten (dynamic partition overwrite).
+    A write task gets ``part_bytes``, or less where that would leave fewer than
+    ``least_tasks``.  Successive small days share a pack; a day well above a
+    task's share is a pack of its own, cut into ``parts``.
+    """
+    total = sum(sizes.values())
+    tasks = max(1, -(-total // part_bytes), min(len(sizes), least_tasks))
+    share = max(1, -(-total // tasks))
+    out, pack, held = [], 0, 0
+    for day in sorted(sizes):
+        size = sizes[day]
+        if 2 * size > 3 * share:
+            pack, held = pack + (held > 0), 0
+            out.append((day, pack, -(-size // share)))
+            pack += 1
+            continue
+        if held and held + size > share:
+            pack, held = pack + 1, 0
+        out.append((day, pack, 1))
+        held += size
+    return out
+
+
+def merged_days(loads: DataFrame, target: DataFrame | None, keys: Sequence[str], layout: DataFrame, tasks: int,
+                date_col: str, ordinal: str | None, keep_ordinal: bool) -> DataFrame:
+    """One row per key of ``loads`` and the ``target`` days, in the layout that they are written in.
+
+    One exchange on (pack, part of the key's hash) and one sort do all: the
+    sort puts the rows of a key together, the winner first, so that the window
+    finds later loads, duplicates inside a load and the target's own row.  The
+    winner is the load's, of the highest ordinal; with ``keep_ordinal`` the
+    target's stored ordinal competes, and the load's wins a tie.
     """
+    keys, ordc = list(keys), ordinal or ORDINAL
+    src = loads if ordinal else loads.withColumn(ORDINAL, F.lit(0))
+    cols = [c for c in (target if target is not None else loads).columns if c != ordc]
+    rows = aligned(src.drop(ordc), target.drop(ordc)) if target is not None else src.drop(ordc)
+    rows = src.select(*rows.columns, F.col(ordc), F.lit(1).alias("_side"))
+    if target is not None:
+        if keep_ordinal and ordc not in target.columns:
+            raise ValueError(f"the target table has no column {ordc}")
+        own = F.col(ordc) if keep_ordinal else F.lit(None).cast(src.schema[ordc].dataType).alias(ordc)
+        rows = rows.unionByName(target.select(*cols, own, F.lit(0).alias("_side")))
+    parts = F.pmod(F.hash(*[k for k in keys if k != date_col] or [date_col]), F.col("_parts"))
+    rows = rows.join(F.broadcast(layout), date_col).withColumn("_part", parts).repartition(tasks, "_pack", "_part")
+    first = [F.col(ordc).desc_nulls_last(), F.col("_side").desc()]
+    w = Window.partitionBy(date_col, "_pack", "_part", *[k for k in keys if k != date_col]).orderBy(*(first if keep_ordinal else first[::-1]))
+    marked = rows.withColumns({"_rn": F.row_number().over(w), "_next": F.lead(ordc).over(w), "_next_side": F.lead("_side").over(w)})
+    twice = (F.col("_side") == 1) & (F.col("_next_side") == 1) & F.col(ordc).eqNullSafe(F.col("_next"))
+    message = F.concat(F.lit(DUPLICATE + ": "), F.to_json(F.struct(*keys)))
+    kept = marked.filter(F.when(twice, F.raise_error(message)).otherwise(F.col("_rn") == 1))
+    return kept.select(*cols, *([ordc] if keep_ordinal else [])).sortWithinPartitions(date_col)
+
+
+def upsert_days(spark: SparkSession, target_path: str, source: DataFrame, keys: Sequence[str],
+                date_col: str = "usage_date", ordinal: str | None = None,
+                mode: str = "upsert", keep_ordinal: bool = False) -> tuple[dict, list]:
+    """:func:`upsert_table`, with the list of the days that it replaced."""
     keys = list(keys)
     staged_path = scratch_path(spark, "staging")
     obs = Observation("staged")
@@ -212,35 +213,58 @@ def upsert_table(spark: SparkSession, target_path: str, source: DataFrame, keys:
     staged_rows = obs.get.get("rows", 0)
     if not staged_rows:
         files.delete(spark, staged_path)
-        return {"staged_rows": 0, "days": 0}
-    staged = spark.read.parquet(staged_path)
-    check_unique(staged, keys, ordinal)
-    if ordinal:
-        staged = latest_per_key(staged, keys, ordinal)
-    staged_bytes = _bytes(spark, [staged_path])
-    days = [r[0] for r in staged.select(date_col).distinct().collect()]
-    if not _exists(spark, target_path):
-        write_table(staged, target_path, date_col, cluster_by=keys, new_table=True,
-                    num_parts=_parts_for(spark, staged_bytes, len(days)))
-        files.delete(spark, staged_path)
-        return {"staged_rows": staged_rows, "days": len(days)}
-    target = read_days(spark, target_path, days, date_col)
-    if target is None:
-        # Only new days: nothing to merge with, the staged rows are the days.
-        merged = staged
-    else:
-        staged = aligned(staged, target)
-        merged = (replace_days(target, staged, date_col) if mode == "replace_days"
-                  else merge(target, staged, keys))
-    # Size the layout from what is rewritten: the staged rows plus the
-    # target's days they touch.
-    touched = day_folders(spark, target_path, days, date_col)
-    write_table(merged, target_path, date_col, cluster_by=keys,
-                num_parts=_parts_for(spark, staged_bytes + _bytes(spark, touched), len(days)))
+        return {"staged_rows": 0, "days": 0}, []
+    staged = spark.read.schema(source.schema).parquet(staged_path)
+    per_day = {r[0]: r[1] for r in staged.groupBy(date_col).agg(F.count(F.lit(1))).collect()}
+    days = sorted(per_day)
+    new_table = not files.exists(spark, target_path)
+    replaced = {} if new_table else day_bytes(spark, target_path, days, date_col)
+    present = [f"{target_path.rstrip('/')}/{date_col}={d}" for d in sorted(replaced)]
+    row_bytes = max(1, files.size(spark, staged_path) // staged_rows)
+    sizes = {d: n * row_bytes + replaced.get(str(d), 0) for d, n in per_day.items()}
+    layout = day_layout(sizes, 4 * spark.sparkContext.defaultParallelism)
+    tasks = sum(parts for _, pack, parts in layout if parts > 1) + len({pack for _, pack, parts in layout if parts == 1})
+    plan = spark.createDataFrame(layout, T.StructType([T.StructField(date_col, staged.schema[date_col].dataType),
+                                                       T.StructField("_pack", T.IntegerType()), T.StructField("_parts", T.IntegerType())]))
+    target = spark.read.option("basePath", target_path).parquet(*present) if present else None
+    if target is not None and mode == "replace_days":
+        aligned(staged.drop(ordinal or ORDINAL), target)
+        target = None
+    try:
+        _write_days(merged_days(staged, target, keys, plan, tasks, date_col, ordinal, keep_ordinal), target_path, date_col, new_table)
+    except Exception as e:
+        found = re.search(rf"{DUPLICATE}: [^\n]*?\}}", str(e))
+        if found:
+            raise ValueError(found.group(0)) from e
+        raise
     # The merged days are committed: the staging copy is no longer needed.
     # (On failure it stays, and a re-run stages afresh.)
     files.delete(spark, staged_path)
-    return {"staged_rows": staged_rows, "days": len(days)}
+    return {"staged_rows": staged_rows, "days": len(days)}, days
+
+
+def upsert_table(spark: SparkSession, target_path: str, source: DataFrame, keys: Sequence[str],
+                 date_col: str = "usage_date", ordinal: str | None = None,
+                 mode: str = "upsert", keep_ordinal: bool = False) -> dict:
+    """Load ``source`` into the day-partitioned table at ``target_path``.
+
+    1. Stage the load as it is, flat Parquet in the shared scratch folder
+       (no shuffle).  Staging cuts the lineage: a lost executor re-reads
+       staged files, never the raw input.
+    2. Empty load: nothing is touched (K7).
+    3. Count the staged rows of each day (one column is read, counts combine
+       map-side) and add the bytes of the target's files of those days: the layout.
+    4. Merge the staged rows with those days of the target in that layout
+       (:func:`merged_days`: one exchange) and overwrite them (dynamic
+       partition overwrite).  A key twice inside one load fails the job
+       before anything is replaced.
+
+    ``keep_ordinal`` is the merge on condition: the table keeps the ordinal of
+    the load that each row came from (from its first load on), and a row
+    changes only if the load's ordinal is not older, so loads may arrive in any
+    order.  Keys must not be null (``conform`` checks it).
+    """
+    return upsert_days(spark, target_path, source, keys, date_col, ordinal, mode, keep_ordinal)[0]
 
 
 def load_summary(df: DataFrame, by: Sequence[str], date_col: str = "usage_date") -> DataFrame:

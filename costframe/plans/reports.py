@@ -70,28 +70,33 @@ def cost_breakdown(bill: DataFrame, as_of: dt.date, *, month_offset: int = 0,
     if services is not None:
         pred = pred & F.col("service.id").isin(list(services))
 
+    agg = amounts(bill.filter(pred), fee_skus).groupBy("service").agg(*[sum_money(c).alias(c) for c in AMOUNTS])
+    return _report(agg, limit)
+
+
+#: The summed amounts that every report is made of.
+AMOUNTS = ("s_list", "s_fee", "s_neg", "s_cud_sav", "s_cud", "s_other", "s_cost")
+
+
+def amounts(bill: DataFrame, fee_skus: Sequence[str] | None = None, keep: Sequence[Column] = ()) -> DataFrame:
+    """Each export row's service and the amounts that reports sum (``AMOUNTS``), with the columns to ``keep``."""
     eff = F.coalesce(F.col("cost_at_effective_price_default"), F.col("cost"))
     fee = (F.when(F.col("sku.id").isin(list(fee_skus)), F.col("cost")).otherwise(F.lit(0.0))
            if fee_skus else F.lit(0))
-    rows = bill.filter(pred).select(
+    return bill.select(
+        *keep,
         F.col("service.description").alias("service"),
-        F.col("cost_at_list"),
-        F.col("cost"),
-        fee.alias("spend_cud_fee_cost"),
-        (F.col("cost") - eff).alias("spend_cud_savings"),
-        (eff - F.col("cost_at_list")).alias("negotiated_savings"),
-        cud_credits("credits").alias("cud_credits"),
-        other_savings("credits").alias("other_savings"),
-    )
-    agg = rows.groupBy("service").agg(
-        sum_money("cost_at_list").alias("s_list"),
-        sum_money("spend_cud_fee_cost").alias("s_fee"),
-        sum_money("negotiated_savings").alias("s_neg"),
-        sum_money("spend_cud_savings").alias("s_cud_sav"),
-        sum_money("cud_credits").alias("s_cud"),
-        sum_money("other_savings").alias("s_other"),
-        sum_money("cost").alias("s_cost"),
+        F.col("cost_at_list").alias("s_list"),
+        F.col("cost").alias("s_cost"),
+        fee.alias("s_fee"),
+        (F.col("cost") - eff).alias("s_cud_sav"),
+        (eff - F.col("cost_at_list")).alias("s_neg"),
+        cud_credits("credits").alias("s_cud"),
+        other_savings("credits").alias("s_other"),
     )
+
+
+def _report(agg: DataFrame, limit: int | None) -> DataFrame:
     out = agg.select(
         F.col("service").alias("Service Description"),
         finish(F.col("s_list") - F.col("s_fee")).alias("Cost"),
@@ -181,10 +186,12 @@ def cdr_cost_by_category(cdr: DataFrame, as_of: dt.date, *, month_offset: int =
 
 
 def sources_side_by_side(bill: DataFrame, cur: DataFrame, cdr: DataFrame, *,
-                         bill_as_of: dt.date, cur_as_of: dt.date, cdr_as_of: dt.date) -> DataFrame:
+                         bill_as_of: dt.date, cur_as_of: dt.date, cdr_as_of: dt.date,
+                         usage_day_col: str | None = None) -> DataFrame:
     """One row per (source, currency, service); currencies are never summed
-    together (D11).  Each source keeps its own month window."""
-    gcp = cost_breakdown(bill, bill_as_of, limit=None).select(
+    together (D11).  Each source keeps its own month window.  ``usage_day_col``
+    is the export's, as in :func:`cost_breakdown`."""
+    gcp = cost_breakdown(bill, bill_as_of, limit=None, usage_day_col=usage_day_col).select(
         F.lit("gcp").alias("source"), F.lit("USD").alias("currency"),
         F.col("Service Description").alias("service"),
         F.round(F.col("Subtotal"), 2).cast(T.DoubleType()).alias("cost"))

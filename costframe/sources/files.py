@@ -24,6 +24,13 @@ def glob(spark: SparkSession, pattern: str) -> list[str]:
     return sorted(str(s.getPath().toString()) for s in found)
 
 
+def glob_any(spark: SparkSession, pattern: str) -> bool:
+    """Whether anything matches a glob."""
+    fs, hpath = _fs(spark, pattern)
+    found = fs.globStatus(hpath)
+    return found is not None and len(found) > 0
+
+
 def list_files(spark: SparkSession, folder: str, suffix: str = "") -> list[str]:
     """Data files directly inside ``folder`` (no recursion), by name suffix."""
     fs, hpath = _fs(spark, folder)
@@ -49,6 +56,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(hpath))
 
 
+def size(spark: SparkSession, path: str) -> int:
+    """Bytes under a folder (file-system metadata only)."""
+    fs, hpath = _fs(spark, path)
+    return int(fs.getContentSummary(hpath).getLength()) if fs.exists(hpath) else 0
+
+
 def relative_to(path: str, root: str) -> str:
     """``path`` relative to ``root`` when it lies under it (scheme-insensitive)."""
     def strip(p: str) -> str:

@@ -24,11 +24,13 @@ def stream_upsert(spark: SparkSession, source_dir: str, schema: T.StructType,
                   transform: Callable[[DataFrame], DataFrame], target_path: str,
                   keys: Sequence[str], checkpoint: str, date_col: str = "usage_date",
                   fmt: str = "json", options: dict | None = None,
-                  max_files_per_trigger: int | None = None) -> None:
+                  max_files_per_trigger: int | None = None, keep_ordinal: bool = False) -> None:
     """Run one ``availableNow`` pass over newly landed files.
 
     Pages carry their pull (``pull_of``) in the column ``load_ordinal``.  If
     ``transform`` hands it on, pulls of one batch may overlap and the later wins.
+    With ``keep_ordinal`` the table keeps each row's pull, and that order also
+    holds between batches and runs: a page that lands late cannot undo a newer pull.
     """
     reader = spark.readStream.schema(schema).format(fmt)
     for k, v in (options or {}).items():
@@ -41,7 +43,7 @@ def stream_upsert(spark: SparkSession, source_dir: str, schema: T.StructType,
     def load_batch(batch: DataFrame, epoch_id: int) -> None:
         rows = transform(batch)
         upsert_table(batch.sparkSession, target_path, rows, keys, date_col,
-                     ordinal=ORDINAL if ORDINAL in rows.columns else None)
+                     ordinal=ORDINAL if ORDINAL in rows.columns else None, keep_ordinal=keep_ordinal)
 
     q = (stream.writeStream.foreachBatch(load_batch)
          .option("checkpointLocation", checkpoint)
