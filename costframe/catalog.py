@@ -402,6 +402,24 @@ def upsert_twice_counts(spark, sf_dir):
     return out[0].unionByName(out[1])
 
 
+@register("upsert_bucketed", orc.UPSERT_SQL)
+def upsert_bucketed(spark, sf_dir):
+    """The keyed MERGE into a bucketed catalog table; only the load is shuffled."""
+    from .operators.bucketed import create_bucketed
+    from .operators.bucketed import upsert_bucketed as upsert
+    from .session import scratch_path
+
+    target, source = _upsert_parts(spark, sf_dir)
+    path = scratch_path(spark, "cdr-bucketed")
+    name = path.rsplit("/", 1)[1].replace("-", "_")
+    create_bucketed(target, name, CDR_KEYS, 4, path)
+    upsert(spark, name, source, CDR_KEYS)
+    upsert(spark, name, source.limit(0), CDR_KEYS)  # empty load: no-op
+    out = spark.read.schema(spark.table(name).schema).parquet(path).select(*target.columns)
+    spark.sql(f"DROP TABLE {name}")  # external: its files stay
+    return out
+
+
 @register("load_summary", orc.LOAD_SUMMARY_SQL)
 def load_summary(spark, sf_dir):
     """K8: rows staged per (product, requested direction) load and their days."""
