@@ -526,6 +526,19 @@ def cdr_zip_roundtrip(spark, sf_dir):
     return normalise_cdr(zip_csv_scan(spark, root)).drop("raw")
 
 
+@register("cdr_zip_source", orc.CDR_TABLE_SQL)
+def cdr_zip_source(spark, sf_dir):
+    """The same landed zips through the Python data source, an archive a partition."""
+    from .landing import land_cdr
+    from .operators.cdr import normalise_cdr
+    from .session import scratch_path
+    from .sources.zip_reports import zip_report_scan
+
+    root = scratch_path(spark, "cdr-source-landing")
+    land_cdr(spark, fx.cdr_raw(spark, sf_dir), root)
+    return normalise_cdr(zip_report_scan(spark, root)).drop("raw")
+
+
 @register("bucket_json_roundtrip", orc.USAGE_FLAT_SQL)
 def bucket_json_roundtrip(spark, sf_dir):
     """Land usage buckets as JSON pages, scan all pages, flatten."""

@@ -34,11 +34,10 @@ _CONF = {
 
 
 @contextmanager
-def _settings(spark: SparkSession, extra: dict[str, str] | None = None):
+def _settings(spark: SparkSession):
     """Settings of one merge; the session's own come back after it."""
-    wanted = _CONF | (extra or {})
-    before = {k: spark.conf.get(k, None) for k in wanted}
-    for k, v in wanted.items():
+    before = {k: spark.conf.get(k, None) for k in _CONF}
+    for k, v in _CONF.items():
         spark.conf.set(k, v)
     try:
         yield

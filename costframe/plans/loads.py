@@ -24,9 +24,9 @@ from ..operators.tables import ORDINAL, conform, upsert_table
 from ..operators.usage import USAGE_KEYS, flatten_cost, flatten_usage
 from ..schemas import CDR_SCHEMA, COST_SCHEMA, CUR_SCHEMA, INVOICE_SCHEMA, USAGE_SCHEMA, required
 from ..sources.buckets import COST_RESULT, USAGE_RESULT, bucket_scan
-from ..sources.cdr import zip_csv_scan
 from ..sources.cur import cur_scan, read_manifests
 from ..sources.invoices import invoice_scan
+from ..sources.zip_reports import zip_report_scan
 
 # Default products pulled and days re-read per run.
 CDR_PRODUCTS = ["SMS", "VOICE-CALL", "VOICE-TTS", "WEBSOCKET-CALL"]
@@ -76,9 +76,9 @@ def load_cdr(spark: SparkSession, root: str, table_path: str, as_of: dt.date | N
     in two pulls the later request window wins, then the later (product, direction) pair."""
     as_of = as_of or today_in("UTC")
     # The landed request day is a folder name: only the window's folders are
-    # listed and unzipped.
-    raw = zip_csv_scan(spark, root, list(products),
-                       since=as_of - dt.timedelta(days=lookback_days), until=as_of)
+    # listed and unzipped; a folder that nothing landed in is an empty load.
+    raw = zip_report_scan(spark, root, list(products),
+                          since=as_of - dt.timedelta(days=lookback_days), until=as_of)
     cases = []
     for i, (prod, direc) in enumerate(request_pairs(list(products))):
         same_dir = (F.col("direction_requested").isNull() if direc is None

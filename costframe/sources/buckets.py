@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from . import files
+
 USAGE_RESULT = T.StructType(
     [T.StructField(f, T.StringType()) for f in
      ["account_id", "api_key_id", "workspace_id", "service_account_id", "model", "service_tier",
@@ -43,7 +45,11 @@ def bucket_scan(spark: SparkSession, path: str, result: T.StructType = USAGE_RES
     """All buckets of all pages (``multi_line=False`` for one page per line).
 
     ``pull`` names a column for the pull that a page belongs to (see ``pull_of``).
+    A missing folder gives no rows.
     """
+    if not files.glob_any(spark, path):
+        bucket = page_schema(result)["data"].dataType.elementType
+        return spark.createDataFrame([], T.StructType([*bucket.fields, *([T.StructField(pull, T.StringType())] if pull else [])]))
     pages = spark.read.schema(page_schema(result)).option("multiLine", multi_line).json(path)
     more = [pull_of(F.col("_metadata.file_path")).alias(pull)] if pull else []
     return pages.select(F.explode("data").alias("b"), *more).select("b.*", *([pull] if pull else []))

@@ -33,7 +33,7 @@ RAW_FIELDS = [
     "date_end", "creation_date", "status", "currency", "total_price", "client_ref", "duration",
 ]
 
-_BATCH_ROWS = 10_000
+BATCH_ROWS = 10_000
 _ROW_SCHEMA = ("product string, direction_requested string, request_start string, path string, "
                "row_no long, raw_json string")
 
@@ -46,21 +46,25 @@ def _open_path(path: str):
     return filesystem.open_input_file(inner)
 
 
-def _zip_rows(zf: zipfile.ZipFile, meta: tuple, cols: list[str]) -> Iterator[pd.DataFrame]:
+def csv_rows(zf: zipfile.ZipFile) -> Iterator[dict]:
+    """The rows of an archive's first CSV member, streamed."""
     member = next((n for n in zf.namelist() if n.endswith(".csv")), None)
     if member is None:
         return
     with zf.open(member) as fh:
-        reader = csv.DictReader(io.TextIOWrapper(fh, encoding="utf-8", newline=""), restkey="null")
-        buf = []
-        for n, row in enumerate(reader):
-            # keys in order, so that the text identifies the row whatever the columns' order
-            buf.append((*meta, n, json.dumps(row, sort_keys=True)))
-            if len(buf) >= _BATCH_ROWS:
-                yield pd.DataFrame(buf, columns=cols)
-                buf = []
-        if buf:
+        yield from csv.DictReader(io.TextIOWrapper(fh, encoding="utf-8", newline=""), restkey="null")
+
+
+def _zip_rows(zf: zipfile.ZipFile, meta: tuple, cols: list[str]) -> Iterator[pd.DataFrame]:
+    buf = []
+    for n, row in enumerate(csv_rows(zf)):
+        # keys in order, so that the text identifies the row whatever the columns' order
+        buf.append((*meta, n, json.dumps(row, sort_keys=True)))
+        if len(buf) >= BATCH_ROWS:
             yield pd.DataFrame(buf, columns=cols)
+            buf = []
+    if buf:
+        yield pd.DataFrame(buf, columns=cols)
 
 
 _COLS = ["product", "direction_requested", "request_start", "path", "row_no", "raw_json"]

@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from . import files
+
 # Characters that Hadoop's globbing gives a meaning, escaped in listed paths.
 GLOB_MARKS = r"([\\\[\]{}*?])"
 
@@ -20,8 +22,10 @@ def invoice_scan(spark: SparkSession, path_or_glob: str) -> DataFrame:
     scan, the scans are joined by column name, and a column that a file lacks reads
     as NULL.  Only header lines and paths (one a file) come to the driver.
     Every column is text, also a percent column that is all numeric in one month.
-    A folder without invoices gives no rows.
+    A folder without invoices, or one that isn't there, gives no rows.
     """
+    if not files.glob_any(spark, path_or_glob):
+        return spark.createDataFrame([], "file_name string, file_path string")
     landed = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(path_or_glob)
     header = F.rtrim(F.substring_index(F.col("content").cast("string"), "\n", 1), F.lit("\r"))
     groups = (landed.select(header.alias("header"), F.regexp_replace("path", GLOB_MARKS, r"\\$1").alias("path"))
