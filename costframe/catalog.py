@@ -234,6 +234,21 @@ def cdr_promote_raw(spark, sf_dir):
                     F.get_json_object("client_ref", "$.k").try_cast("bigint").alias("client_k"))
 
 
+@register("cdr_promote_variant", orc.CDR_PROMOTED_SQL)
+def cdr_promote_variant(spark, sf_dir):
+    """Raw rows written and read as VARIANT, fields promoted by path."""
+    from pyspark.sql import functions as F
+
+    from .operators.cdr import normalise_cdr, promote_variant_field, variant_raw
+    from .session import scratch_path
+
+    path = scratch_path(spark, "cdr-variant")
+    variant_raw(normalise_cdr(fx.cdr_raw(spark, sf_dir))).write.parquet(path)
+    t = promote_variant_field(spark.read.parquet(path), "status", "raw_status")
+    ref = F.try_parse_json(F.try_variant_get("raw", "$.client_ref", "string"))
+    return t.select("record_id", "raw_status", F.try_variant_get(ref, "$.k", "bigint").alias("client_k"))
+
+
 @register("usage_flatten", orc.USAGE_FLAT_SQL)
 def usage_flatten(spark, sf_dir):
     """Usage buckets -> 18-column keyed rows."""
@@ -468,6 +483,51 @@ def coverage_gaps(spark, sf_dir):
     return gaps(fx.cdr(spark, sf_dir), "cdr").unionByName(gaps(fx.cur(spark, sf_dir), "cur"))
 
 
+@register("freshness_from_metadata", orc.freshness_sql(FRESH_CDR_AS_OF, FRESH_CUR_AS_OF))
+def freshness_from_metadata(spark, sf_dir):
+    """D1, A6 without reading a column: a day-partitioned table's listing, a flat table's footers."""
+    from .operators.tables import write_table
+    from .plans.checks import day_listing, freshness_from_footers
+    from .plans.checks import freshness as fresh
+    from .session import scratch_path
+
+    days, flat = scratch_path(spark, "cdr-by-day"), scratch_path(spark, "cur-flat")
+    write_table(fx.cdr(spark, sf_dir), days)
+    fx.cur(spark, sf_dir).write.parquet(flat)
+    return fresh(day_listing(spark, days), "cdr", FRESH_CDR_AS_OF).unionByName(
+        freshness_from_footers(spark, flat, "cur", FRESH_CUR_AS_OF))
+
+
+def _by_day(spark, sf_dir):
+    """(name, listing) of the two tables, written by day."""
+    from .operators.tables import write_table
+    from .plans.checks import day_listing
+    from .session import scratch_path
+
+    for name, df in (("cdr", fx.cdr(spark, sf_dir)), ("cur", fx.cur(spark, sf_dir))):
+        path = scratch_path(spark, f"{name}-by-day")
+        write_table(df, path)
+        yield name, day_listing(spark, path)
+
+
+@register("coverage_from_metadata", orc.COVERAGE_SQL)
+def coverage_from_metadata(spark, sf_dir):
+    """D2 from the listing of day-partitioned tables; no file is opened."""
+    from .plans.checks import coverage as cov
+
+    a, b = (cov(days, name) for name, days in _by_day(spark, sf_dir))
+    return a.unionByName(b)
+
+
+@register("coverage_gaps_from_metadata", orc.COVERAGE_GAPS_SQL)
+def coverage_gaps_from_metadata(spark, sf_dir):
+    """The missing days, from the listing of day-partitioned tables."""
+    from .plans.checks import coverage_gaps as gaps
+
+    a, b = (gaps(days, name) for name, days in _by_day(spark, sf_dir))
+    return a.unionByName(b)
+
+
 AUDIT_PROJECTS = ["3", "1007", "projects/12", "250", "1099"]
 AUDIT_SERVICES = ["Brand#11", "services/Brand#12", "Brand#99"]
 
@@ -482,6 +542,20 @@ def scope_audit(spark, sf_dir):
         audit(spark, b, "service", AUDIT_SERVICES, ["service.id"]))
 
 
+SUGGEST_PROJECTS = [*AUDIT_PROJECTS, "PROJECTS/250", "10071", "nothing-like-it"]
+SUGGEST_SERVICES = [*AUDIT_SERVICES, "brand#12", "services/BRAND#3", "Brnd#44"]
+
+
+@register("scope_suggestions", orc.scope_suggestions_sql(SUGGEST_PROJECTS, SUGGEST_SERVICES))
+def scope_suggestions(spark, sf_dir):
+    """What ids without a match may mean: another case or prefix, or one edit away."""
+    from .plans.checks import scope_suggestions as suggest
+
+    b = fx.bill(spark, sf_dir)
+    return suggest(spark, b, "project", SUGGEST_PROJECTS, ["project.id", "project.number"]).unionByName(
+        suggest(spark, b, "service", SUGGEST_SERVICES, ["service.id"]))
+
+
 @register("month_source_union", orc.month_sources_sql(LIVE_FROM))
 def month_source_union(spark, sf_dir):
     """Invoice summary before the live export starts, live export after."""
@@ -776,6 +850,19 @@ def coverage_by_service(spark, sf_dir):
         coverage_by(fx.cdr(spark, sf_dir), "cdr", "category"))
 
 
+@register("coverage_bitmap_by_service", orc.COVERAGE_BY_SQL)
+def coverage_bitmap_by_service(spark, sf_dir):
+    """D2 per service from day bitmaps, each table's made in two overlapping loads and merged."""
+    from .plans.checks import coverage_from_bitmaps, day_bitmaps, merge_bitmaps
+
+    def one(df, name, by, split):
+        loads = df.where(df.usage_date <= split), df.where(df.usage_date >= split - dt.timedelta(days=3))
+        return coverage_from_bitmaps(merge_bitmaps(*(day_bitmaps(d, by) for d in loads)), name)
+
+    return one(fx.cur(spark, sf_dir), "cur", "product_name", dt.date(1996, 1, 1)).unionByName(
+        one(fx.cdr(spark, sf_dir), "cdr", "category", dt.date(2024, 1, 15)))
+
+
 @register("bill_api_arrears", orc.breakdown_sql(AS_OF_SUMMER, offset=-1, projects=API_PROJECTS,
                                                 services=API_SERVICES, limit=None))
 def bill_api_arrears(spark, sf_dir):

@@ -101,3 +101,16 @@ def promote_raw_field(df: DataFrame, field: str, alias: str | None = None,
     if cast:
         v = v.try_cast(cast)
     return df.withColumn(alias or field, v)
+
+
+def variant_raw(df: DataFrame, raw: str = "raw") -> DataFrame:
+    """``df`` with its JSON text as VARIANT, the type that a document column has in the target.
+
+    Text that is not JSON becomes NULL: rows of a report always are.
+    """
+    return df.withColumn(raw, F.try_parse_json(F.col(raw)))
+
+
+def promote_variant_field(df: DataFrame, field: str, alias: str | None = None, cast: str = "string", raw: str = "raw") -> DataFrame:
+    """Promote one field out of a VARIANT ``raw`` column (D10): binary paths, no text is parsed; a value that doesn't cast is NULL."""
+    return df.withColumn(alias or field, F.try_variant_get(F.col(raw), f"$.{field}", cast))

@@ -460,6 +460,18 @@ def scope_audit_sql(projects, services) -> str:
                       + one("service", services, ["service.id"]), "bill")
 
 
+def scope_suggestions_sql(projects, services) -> str:
+    """Near misses by comparing every configured id without a match with every id of the export."""
+    def one(scope: str, ids, cols) -> str:
+        vals = ", ".join(f"('{i}')" for i in dict.fromkeys(ids))
+        return (f"SELECT '{scope}' AS scope, configured_id, suggestion, CAST(levenshtein(w, h) AS INTEGER) AS distance FROM "
+                f"(SELECT configured_id, lower(regexp_replace(configured_id, '.*/', '')) AS w FROM (VALUES {vals}) c(configured_id)) c, "
+                f"(SELECT DISTINCT x AS suggestion, lower(regexp_replace(x, '.*/', '')) AS h FROM (SELECT unnest([{', '.join(cols)}]) AS x FROM bill) WHERE x IS NOT NULL) "
+                f"WHERE levenshtein(w, h) <= 1 AND configured_id NOT IN (SELECT unnest([{', '.join(cols)}]) FROM bill)")
+    return with_views(one("project", projects, ["project.id", "project.number"]) + " UNION ALL "
+                      + one("service", services, ["service.id"]), "bill")
+
+
 LOCAL_MONTH = ("CAST(date_trunc('month', timezone('Europe/London', usage_start_time AT TIME ZONE 'UTC')) "
                "AS DATE)")
 
