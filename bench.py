@@ -126,7 +126,7 @@ def main() -> None:
         "d6_cur_effective": lambda: rp.cur_cost_by_service(cur, A, effective=True),
         "d8_cur_environment": lambda: rp.cur_cost_by_environment(cur, A),
         "q6_cdr_services": lambda: rp.cdr_cost_by_category(cdr, C),
-        "d11_side_by_side": lambda: rp.sources_side_by_side(bill, cur, cdr, bill_as_of=A, cur_as_of=A,
+        "d11_side_by_side": lambda: rp.sources_side_by_side(bill, cur, cdr, usage_day_col="usage_date", bill_as_of=A, cur_as_of=A,
                                                             cdr_as_of=C),
         "d7_usage_input": lambda: rp.usage_input_by_day(usage),
         "d1_freshness": lambda: ck.freshness(cur, "cur", cat.FRESH_CUR_AS_OF),

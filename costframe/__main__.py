@@ -56,6 +56,7 @@ def main(argv: list[str] | None = None) -> int:
     c.add_argument("--table", required=True)
     c.add_argument("--as-of", type=_date)
     c.add_argument("--month-offset", type=int, default=None, help="0: this month; default -1 for aws-monthly, else 0")
+    c.add_argument("--usage-day-col", help="the export's partition column that holds the UTC day of the usage: the report prunes by it")
     c.add_argument("--projects", type=_csv)
     c.add_argument("--services", type=_csv)
     c.add_argument("--no-limit", action="store_true")
@@ -84,7 +85,7 @@ def main(argv: list[str] | None = None) -> int:
         limit = None if a.no_limit else rp.TOP_N
         if a.name in ("all-services", "scoped"):
             df = rp.cost_breakdown(t, as_of, month_offset=a.month_offset or 0, projects=a.projects,
-                                   services=a.services, limit=limit)
+                                   services=a.services, limit=limit, usage_day_col=a.usage_day_col)
         elif a.name == "aws-services":
             df = rp.cur_cost_by_service(t, as_of, month_offset=a.month_offset or 0, limit=limit)
         elif a.name == "aws-monthly":

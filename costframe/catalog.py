@@ -586,6 +586,27 @@ def cur_csv_roundtrip(spark, sf_dir):
     return ntz(normalise_cur(cur_scan(spark, bucket, "costs")))
 
 
+@register("cur_load_by_name", orc.CUR_TABLE_SQL)
+def cur_load_by_name(spark, sf_dir):
+    """Every landed period and one without a manifest through the load job, a late period
+    in the daily job again, both by (usage_date, line_item_id); the table is read back by its name."""
+    from .functions.dates import period_labels_to_check
+    from .landing import land_cur
+    from .plans.loads import load_cur
+    from .schemas import CUR_SCHEMA
+    from .session import scratch_path
+    from .sources.tables import table_scan
+
+    bucket, path = scratch_path(spark, "cur-load-landing"), scratch_path(spark, "cur-loaded")
+    periods = land_cur(spark, fx.cur_raw(spark, sf_dir), bucket, "costs")
+    load_cur(spark, bucket, "costs", path, periods=[*period_labels_to_check(dt.date(1901, 1, 20)), *periods])
+    load_cur(spark, bucket, "costs", path, as_of=dt.date(1998, 8, 5))
+    name = path.rsplit("/", 1)[1].replace("-", "_")
+    spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{path}'")
+    spark.sql(f"MSCK REPAIR TABLE {name}")
+    return ntz(table_scan(spark, name).select(*CUR_SCHEMA.names))
+
+
 @register("cdr_zip_roundtrip", orc.CDR_TABLE_SQL)
 def cdr_zip_roundtrip(spark, sf_dir):
     """Land one zipped CSV report per (product, direction, day), scan

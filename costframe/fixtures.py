@@ -28,30 +28,12 @@ from .functions.numbers import ROW_DECIMAL
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Scan one driver table.
-
-    The driver's files are a single Parquet row group each, which Spark can
-    only read as one task; a table that scans into fewer partitions than the
-    cluster has cores is spread once, hash-partitioned on its key (no sort
-    needed for determinism, unlike round-robin), so the derivations above it
-    use every core.  Tables landed by Spark itself are multi-file and need no
-    such step.
-    """
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    if name not in SPREAD_TABLES:
-        return df
-    try:
-        cores = spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < cores:
-            df = df.repartition(cores, SPREAD_TABLES[name])
-    except Exception:  # noqa: BLE001 - sessions without RDD access read as is
-        pass
-    return df
-
-
-# Driver tables large enough to be worth spreading over the cores, and the
-# key they are spread on.
-SPREAD_TABLES = {"lineitem": "l_orderkey", "orders": "o_orderkey", "events": "event_id"}
+    """Scan one driver table."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+# Fixed value: the service that the export has no price for.
+UNPRICED = "Brand#2"
 
 
 def _lineitem_part(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -84,6 +66,7 @@ def bill(spark: SparkSession, sf_dir: str) -> DataFrame:
     price, disc, tax, qty = (F.col("l_extendedprice"), F.col("l_discount"),
                              F.col("l_tax"), F.col("l_quantity"))
     flag = F.col("l_returnflag")
+    price = F.when(F.col("p_brand") != UNPRICED, price)
     credits = (
         F.when(flag == "A", F.array(
             F.struct(F.lit("COMMITTED_USAGE_DISCOUNT").alias("type"), (-tax * qty).alias("amount")),

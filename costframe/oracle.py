@@ -21,10 +21,10 @@ SELECT
   {'id': p.p_brand, 'description': p.p_brand} AS service,
   {'id': p.p_type, 'description': p.p_type} AS sku,
   {'id': CAST(l.l_suppkey AS VARCHAR), 'number': CAST(l.l_suppkey + 1000 AS VARCHAR)} AS project,
-  l.l_extendedprice AS cost_at_list,
-  CASE WHEN l.l_returnflag = 'N' THEN NULL ELSE l.l_extendedprice * (1 - l.l_discount) END
+  CASE WHEN p.p_brand <> 'Brand#2' THEN l.l_extendedprice END AS cost_at_list,
+  CASE WHEN l.l_returnflag <> 'N' AND p.p_brand <> 'Brand#2' THEN l.l_extendedprice * (1 - l.l_discount) END
     AS cost_at_effective_price_default,
-  l.l_extendedprice * (1 - l.l_discount) * (1 - l.l_tax) AS cost,
+  CASE WHEN p.p_brand <> 'Brand#2' THEN l.l_extendedprice * (1 - l.l_discount) * (1 - l.l_tax) END AS cost,
   CASE l.l_linenumber WHEN 1 THEN 'tax' WHEN 2 THEN 'adjustment' WHEN 3 THEN NULL ELSE 'regular' END
     AS cost_type,
   l.l_shipdate + to_hours(CAST(l.l_quantity AS INTEGER) % 24) AS usage_start_time,
@@ -191,7 +191,9 @@ def breakdown_sql(as_of: dt.date, *, offset: int = 0, projects=None, services=No
     fee = f"sku.id IN ({sql_list(fee_skus)})" if fee_skus else "false"
 
     def total(kind: str) -> str:
-        return f"coalesce(sum(amount) FILTER (WHERE kind = '{kind}'), 0)"
+        # A service without a price has no sum of prices; one without fees or credits has 0 of them.
+        plain = f"sum(amount) FILTER (WHERE kind = '{kind}')"
+        return plain if kind in ("list", "net", "effective") else f"coalesce({plain}, 0)"
 
     def money(sums: str, name: str) -> str:
         return f'CAST({sums} AS DECIMAL(38,9)) AS "{name}"'

@@ -24,7 +24,7 @@ from ..operators.tables import ORDINAL, conform, upsert_table
 from ..operators.usage import USAGE_KEYS, flatten_cost, flatten_usage
 from ..schemas import CDR_SCHEMA, COST_SCHEMA, CUR_SCHEMA, INVOICE_SCHEMA, USAGE_SCHEMA, required
 from ..sources.buckets import COST_RESULT, USAGE_RESULT, bucket_scan
-from ..sources.cur import cur_scan, read_manifests
+from ..sources.cur import cur_scan
 from ..sources.invoices import invoice_scan
 from ..sources.zip_reports import zip_report_scan
 
@@ -57,15 +57,15 @@ def load_cur(spark: SparkSession, root: str, report: str, table_path: str,
     if "billing_period" not in raw.columns or not raw.columns[2:]:
         return {"staged_rows": 0, "days": 0}
     raw = raw.withColumn(ORDINAL, _ordinal([(F.col("billing_period") == p, i) for i, p in enumerate(labels)]))
-    # Rows per period, counted on the pass that loads them (K8).
+    # Rows and assembly of each period, seen on the pass that loads them (K8); a period without rows has none.
     obs = Observation("cur_periods")
-    raw = raw.observe(obs, *[F.count_if(F.col("billing_period") == p).alias(p) for p in labels])
+    of = {p: F.col("billing_period") == p for p in labels}
+    raw = raw.observe(obs, *[F.count_if(of[p]).alias(p) for p in labels],
+                      *[F.max(F.when(of[p], F.col("assembly_id"))).alias(f"{p} assembly") for p in labels])
     rows = normalise_cur(raw, extra=[ORDINAL])
     out = upsert_table(spark, table_path, _typed(rows, CUR_SCHEMA, [ORDINAL]), list(CUR_KEYS), ordinal=ORDINAL)
-    assemblies = {r.period: r.assembly_id for r in
-                  read_manifests(spark, root, report, labels).select("period", "assembly_id").distinct().collect()}
-    counts = obs.get
-    out["periods"] = {p: {"assembly_id": assemblies.get(p), "rows": counts.get(p, 0)} for p in labels}
+    seen = obs.get
+    out["periods"] = {p: {"assembly_id": seen.get(f"{p} assembly"), "rows": seen.get(p, 0)} for p in labels}
     return out
 
 

@@ -134,8 +134,6 @@ def credit_columns_lateral(spark, bill: DataFrame) -> DataFrame:
     """
     from ..functions.credits import CUD_CREDIT_TYPES, OTHER_CREDIT_TYPES
 
-    view = f"bill_{abs(hash(id(bill)))}"
-    bill.withColumn("_row", F.monotonically_increasing_id()).createOrReplaceTempView(view)
     cud = ", ".join(f"'{t}'" for t in CUD_CREDIT_TYPES)
     oth = ", ".join(f"'{t}'" for t in OTHER_CREDIT_TYPES)
     return spark.sql(f"""
@@ -145,10 +143,10 @@ def credit_columns_lateral(spark, bill: DataFrame) -> DataFrame:
                     AS DECIMAL(26,9)) AS cud_credits,
                CAST(coalesce(sum(CASE WHEN c.type IN ({oth}) THEN CAST(c.amount AS DECIMAL(26,9)) END), 0)
                     AS DECIMAL(26,9)) AS other_savings
-        FROM {view} b LATERAL VIEW OUTER explode(b.credits) x AS c
+        FROM {{bill}} b LATERAL VIEW OUTER explode(b.credits) x AS c
         GROUP BY b._row, b.service.id, b.project.id, b.usage_start_time, b.cost_type,
                  coalesce(size(b.credits), -1)
-    """)
+    """, bill=bill.withColumn("_row", F.monotonically_increasing_id()))
 
 
 # ---------------------------------------------------------------- flat tables

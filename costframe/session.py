@@ -10,7 +10,6 @@ session has none, as in local tests.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -103,10 +102,3 @@ def as_local_path(path: str) -> str:
     if path.startswith("file:"):
         return path[len("file:"):]
     return path
-
-
-def env_int(name: str, default: int) -> int:
-    try:
-        return int(os.environ.get(name, default))
-    except ValueError:
-        return default

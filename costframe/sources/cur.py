@@ -65,14 +65,14 @@ def csv_by_name(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """Parts whose manifest declares no columns: each goes by its own header.
 
     Parts with the same header share a scan, the scans are joined by column
-    name, and a column that a part lacks reads as NULL.  Only the header lines
-    (one a part) come to the driver.
+    name, and a column that a part lacks reads as NULL.  One job reads the header
+    lines (one a part come to the driver); parts without one have no rows.
     """
-    alike: dict[tuple[str, ...], list[str]] = {}
-    for path in paths:
-        alike.setdefault(tuple(csv_scan(spark, [path]).columns), []).append(path)
+    alike = files.csv_headers(spark, list(paths))
+    if not alike:
+        return spark.createDataFrame([], T.StructType())
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True),
-                  [csv_scan(spark, group) for group in alike.values()])
+                  [csv_scan(spark, group, names) for names, group in alike.items()])
 
 
 def cur_scan(spark: SparkSession, root: str, report: str, periods: Sequence[str] | None = None,

@@ -79,6 +79,36 @@ def delete(spark: SparkSession, path: str) -> bool:
     return bool(fs.delete(hpath, True)) if fs.exists(hpath) else False
 
 
+def csv_headers(spark: SparkSession, paths: list[str]) -> dict[tuple[str, ...], list[str]]:
+    """The files of each header, its names in order; blank names go by their place.
+
+    One job reads the first record of every file (gzip or plain, a line break in
+    a quoted name included) and no more of it; files without a record are left out.
+    """
+    def read(batches):
+        import csv
+        import gzip
+        import io
+
+        for pdf in batches:
+            found = []
+            for path in pdf["path"]:
+                filesystem, inner = arrow_fs(path)
+                with filesystem.open_input_stream(inner, compression=None) as raw:
+                    data = gzip.GzipFile(fileobj=raw) if inner.endswith(".gz") else raw
+                    record = next(csv.reader(io.TextIOWrapper(data, encoding="utf-8-sig", newline="")), None)
+                found.append([n or f"_c{i}" for i, n in enumerate(record)] if record else None)
+            yield pdf.assign(header=found)
+
+    if not paths:
+        return {}
+    listed = spark.createDataFrame([(p,) for p in paths], "path string").repartition(min(len(paths), 200))
+    out: dict[tuple[str, ...], list[str]] = {}
+    for r in sorted(listed.mapInPandas(read, "path string, header array<string>").where("header IS NOT NULL").collect(), key=lambda r: r.path):
+        out.setdefault(tuple(r.header), []).append(r.path)
+    return out
+
+
 def arrow_fs(path: str):
     """(pyarrow file system, path inside it) for a Spark file path, so Python
     code in tasks reads and writes the same shared folders as Spark

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import csv
+import re
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,21 +27,17 @@ def invoice_scan(spark: SparkSession, path_or_glob: str) -> DataFrame:
     """
     if not files.glob_any(spark, path_or_glob):
         return spark.createDataFrame([], "file_name string, file_path string")
-    landed = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(path_or_glob)
-    header = F.rtrim(F.substring_index(F.col("content").cast("string"), "\n", 1), F.lit("\r"))
-    groups = (landed.select(header.alias("header"), F.regexp_replace("path", GLOB_MARKS, r"\\$1").alias("path"))
-              .where("header <> ''").groupBy("header").agg(F.sort_array(F.collect_list("path")).alias("paths"))
-              .orderBy("header").collect())
-    scans = [_scan(spark, g.header, list(g.paths)) for g in groups]
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(path_or_glob).select("path").collect()
+    scans = [_scan(spark, names, paths) for names, paths in files.csv_headers(spark, [r.path for r in listed]).items()]
     if not scans:
         return spark.createDataFrame([], "file_name string, file_path string")
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans)
 
 
-def _scan(spark: SparkSession, header: str, paths: list[str]) -> DataFrame:
-    """Files that share a header line (a byte order mark and blank names aside)."""
-    names = next(csv.reader([header.removeprefix("\ufeff")]))
-    schema = T.StructType([T.StructField(name or f"_c{i}", T.StringType()) for i, name in enumerate(names)])
-    df = spark.read.schema(schema).option("header", True).option("multiLine", True).option("escape", '"').csv(paths)
+def _scan(spark: SparkSession, names: Sequence[str], paths: list[str]) -> DataFrame:
+    """Files that share a header (a byte order mark and blank names aside)."""
+    schema = T.StructType([T.StructField(name, T.StringType()) for name in names])
+    escaped = [re.sub(GLOB_MARKS, r"\\\1", p) for p in paths]
+    df = spark.read.schema(schema).option("header", True).option("multiLine", True).option("escape", '"').csv(escaped)
     return df.withColumns({"file_name": F.url_decode(F.col("_metadata.file_name")),
                            "file_path": F.col("_metadata.file_path")})

@@ -128,3 +128,20 @@ def test_tolerant_double_matches_python_float(spark):
             assert got[i] == want, (t, got[i], want)
 
     check()
+
+
+def test_today_is_the_zones_own(monkeypatch):
+    """CURRENT_DATE(tz) at a fixed instant: the hour before midnight UTC is already tomorrow in a summer London."""
+    import datetime as real
+
+    from costframe.functions import dates
+
+    class Clock(real.datetime):
+        @classmethod
+        def now(cls, tz=None):
+            return real.datetime(2024, 7, 1, 23, 30, tzinfo=real.timezone.utc).astimezone(tz)
+
+    monkeypatch.setattr(dates.dt, "datetime", Clock)
+    assert dates.today_in("UTC") == real.date(2024, 7, 1)
+    assert dates.today_in("Europe/London") == real.date(2024, 7, 2)
+    assert dates.today_in("America/New_York") == real.date(2024, 7, 1)

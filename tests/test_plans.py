@@ -86,3 +86,19 @@ def test_freshness_from_folders_equals_scan(spark, workdir):
     a = freshness(spark.read.parquet(path), "cur", as_of).collect()
     b = freshness_from_folders(spark, path, "cur", as_of).collect()
     assert a == b and a[0].lag_days == 6 and a[0].fresh is False
+
+
+def test_side_by_side_prunes_the_export(spark, workdir):
+    from pyspark.sql import functions as F
+
+    b = fx.bill(spark, SF_SMALL).withColumn("usage_date", F.to_date("usage_start_time"))
+    write_table(b.filter(F.year("usage_date") == 1998), f"{workdir}/bill-sides")
+    p = plan(rp.sources_side_by_side(spark.read.parquet(f"{workdir}/bill-sides"), fx.cur(spark, SF_SMALL), fx.cdr(spark, SF_SMALL), bill_as_of=cat.AS_OF_SUMMER,
+                                     cur_as_of=cat.AS_OF_SUMMER, cdr_as_of=cat.CDR_AS_OF, usage_day_col="usage_date"))
+    assert "PartitionFilters: [isnotnull(usage_date" in p and "1998-07-31" in p
+
+
+def test_lateral_view_leaves_no_view_behind(spark):
+    before = {t.name for t in spark.catalog.listTables()}
+    rp.credit_columns_lateral(spark, fx.bill(spark, SF_SMALL)).limit(1).collect()
+    assert {t.name for t in spark.catalog.listTables()} == before

@@ -16,6 +16,7 @@ from costframe.operators.cur import normalise_cur
 from costframe.operators.invoice import normalise_invoice, reconcile_invoice
 from costframe.operators.usage import flatten_cost, flatten_usage
 from costframe.session import as_local_path
+from costframe.sources import files
 from costframe.sources.buckets import COST_RESULT, USAGE_RESULT, bucket_scan
 from costframe.sources.cdr import zip_csv_scan
 from costframe.sources.cur import cur_scan
@@ -188,3 +189,18 @@ def test_invoice_without_date_fails(spark, workdir):
     _write(f"{root}/invoice.csv", (INVOICE_HEADER + "Compute,A,1,0,0,0,1,1,New\n").encode())
     with pytest.raises(Exception, match="no YYYY-MM-DD date"):
         normalise_invoice(invoice_scan(spark, root)).collect()
+
+
+def test_headers_come_from_one_job(spark, workdir):
+    """Gzip and plain files, a byte order mark, blank names, a quoted line break; no record, no header."""
+    import gzip
+
+    folder = as_local_path(f"{workdir}/headers")
+    os.makedirs(folder)
+    texts = {"a.csv": "x,y\n1,2\n", "b.csv": "\ufeffx,y\n3,4\n", "c.csv": '"x\nz",\n5,6\n', "d.csv": "", "e.csv.gz": "x,y\n" + "7,8\n" * 9}
+    for name, text in texts.items():
+        with (gzip.open if name.endswith(".gz") else open)(f"{folder}/{name}", "wb") as fh:
+            fh.write(text.encode())
+    got = files.csv_headers(spark, [f"{folder}/{n}" for n in texts])
+    assert {k: [p.rsplit("/", 1)[1] for p in v] for k, v in got.items()} == {("x", "y"): ["a.csv", "b.csv", "e.csv.gz"], ("x\nz", "_c1"): ["c.csv"]}
+    assert files.csv_headers(spark, []) == {}
