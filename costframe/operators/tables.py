@@ -216,6 +216,8 @@ def upsert_days(spark: SparkSession, target_path: str, source: DataFrame, keys:
         return {"staged_rows": 0, "days": 0}, []
     staged = spark.read.schema(source.schema).parquet(staged_path)
     per_day = {r[0]: r[1] for r in staged.groupBy(date_col).agg(F.count(F.lit(1))).collect()}
+    if None in per_day:
+        raise ValueError(f"a row of the load has no {date_col}")
     days = sorted(per_day)
     new_table = not files.exists(spark, target_path)
     replaced = {} if new_table else day_bytes(spark, target_path, days, date_col)

@@ -26,7 +26,9 @@ def main() -> None:
     from costframe import fixtures as fx
     from costframe.operators.cdr import CDR_KEYS, normalise_cdr
     from costframe.operators.cur import CUR_KEYS, normalise_cur
-    from costframe.operators.tables import collapse_loads, merge, read_days, upsert_table, write_table
+    from costframe.operators import bucketed as bk
+    from costframe.operators.tables import day_layout, merged_days, read_days, upsert_table, write_table
+    from costframe.plans import daysums as ds
     from costframe.plans import checks as ck
     from costframe.plans import reports as rp
     from costframe.session import get_session, scratch_path
@@ -44,14 +46,29 @@ def main() -> None:
     restate = cdr.filter(F.col("usage_date") >= "2024-01-28").withColumn("total_price", F.col("total_price") + 1)
     days = [r[0] for r in restate.select("usage_date").distinct().collect()]
 
+    restate_p, sums_p, buckets_p, name = (*(scratch_path(spark, n) for n in ("plan-restate", "plan-sums", "plan-buckets")), "plan_cdr_buckets")
+    restate.write.parquet(restate_p)
+    staged = spark.read.parquet(restate_p)
+    layout = day_layout({d: 1 << 20 for d in days}, 32)
+    layout = spark.createDataFrame(layout, "usage_date date, _pack int, _parts int")
+    ds.refresh_day_sums(spark, bill, sums_p)
+    bk.create_bucketed(cdr, name, list(CDR_KEYS), 4, buckets_p)
+    with bk._settings(spark):
+        co_located = bk.merged_buckets(spark, name, staged, list(CDR_KEYS), days)
+        co_located.collect()
+
     cases = {
         "Q1 all services over the day-partitioned export": rp.cost_breakdown(bill, A, usage_day_col="usage_date"),
         "Q2 scoped top 10 (project id OR number, service ids)":
             rp.cost_breakdown(bill, A, usage_day_col="usage_date", projects=cat.PLATFORM_PROJECTS, services=cat.PLATFORM_SERVICES),
         "Q4 cost-and-usage by service (DATE partitions)": rp.cur_cost_by_service(cur, A),
         "Q1 over the fixture view (lineitem x part)": rp.cost_breakdown(fx.bill(spark, sf_dir), A),
-        "Upsert merge of a restatement (only its day folders)":
-            merge(read_days(spark, cdr_p, days), collapse_loads(restate, list(CDR_KEYS)), list(CDR_KEYS)),
+        "Q1 from day sums (the export is not opened)": ds.cost_from_day_sums(spark.read.parquet(sums_p), A),
+        "Upsert of a restatement: staged rows and the target's days meet in one exchange, the layout they are written in":
+            merged_days(staged, read_days(spark, cdr_p, days), list(CDR_KEYS), layout, len(days), "usage_date", None, False),
+        "Co-located merge into a bucketed table: only the load is shuffled": co_located,
+        "D2 coverage from the listing": ck.coverage(ck.day_listing(spark, cur_p), "cur"),
+        "D2 day bitmaps by service": ck.day_bitmaps(cur, "product_name"),
         "D2 coverage gaps": ck.coverage_gaps(cur, "cur"),
         "D4 scope audit": ck.scope_audit(spark, bill, "project", cat.AUDIT_PROJECTS,
                                          ["project.id", "project.number"]),
