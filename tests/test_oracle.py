@@ -27,7 +27,12 @@ def test_every_query_has_oracle():
     assert not missing, missing
 
 
-@pytest.mark.parametrize("name", sorted(__import__("costframe.catalog", fromlist=["x"]).queries()))
+# Queries that write some thousand day folders; scripts/oracle_check.py runs them too.
+SLOW = {"cur_load_by_name", "coverage_from_metadata", "coverage_gaps_from_metadata"}
+
+
+@pytest.mark.parametrize("name", [pytest.param(n, marks=pytest.mark.slow) if n in SLOW else n
+                                  for n in sorted(__import__("costframe.catalog", fromlist=["x"]).queries())])
 def test_query_matches_oracle(spark, name):
     from oracle_check import compare
 
