@@ -454,6 +454,23 @@ def duplicate_keys(spark, sf_dir):
     return dup(fx.table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
 
 
+@register("duplicate_suspects", orc.DUPLICATE_SUSPECTS_SQL)
+def duplicate_suspects(spark, sf_dir):
+    """D9 by suspects: (partkey, shipdate) of lineitem, a key that is nearly unique."""
+    from .plans.duplicates import duplicate_keys_by_suspects
+
+    return duplicate_keys_by_suspects(fx.table(spark, sf_dir, "lineitem"), ["l_partkey", "l_shipdate"])
+
+
+@register("cur_duplicate_suspects", orc.CUR_DUPLICATES_SQL)
+def cur_duplicate_suspects(spark, sf_dir):
+    """D9 by suspects over the cost-and-usage table's own key (K3), its latest days appended twice."""
+    from .plans.duplicates import duplicate_keys_by_suspects
+
+    df = fx.cur(spark, sf_dir).select("usage_date", "line_item_id")
+    return duplicate_keys_by_suspects(df.unionAll(df.where(df.usage_date >= orc.APPENDED_FROM)), ["usage_date", "line_item_id"])
+
+
 FRESH_CDR_AS_OF = dt.date(2024, 2, 1)
 FRESH_CUR_AS_OF = dt.date(2001, 11, 10)
 

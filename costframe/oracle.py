@@ -427,6 +427,15 @@ GROUP BY r.run""", "cdr")
 DUPLICATE_KEYS_SQL = """
 SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem
 GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1"""
+DUPLICATE_SUSPECTS_SQL = """
+SELECT l_partkey, l_shipdate, count(*) AS n FROM lineitem
+GROUP BY l_partkey, l_shipdate HAVING count(*) > 1"""
+# First day of the load that the fixture appends twice.
+APPENDED_FROM = dt.date(2001, 10, 1)
+CUR_DUPLICATES_SQL = with_views(f"""
+SELECT usage_date, line_item_id, count(*) AS n
+FROM (SELECT usage_date, line_item_id FROM cur UNION ALL SELECT usage_date, line_item_id FROM cur WHERE usage_date >= DATE '{APPENDED_FROM}')
+GROUP BY usage_date, line_item_id HAVING count(*) > 1""", "cur")
 
 
 def freshness_sql(cdr_as_of: dt.date, cur_as_of: dt.date) -> str:
