@@ -12,8 +12,9 @@ document, and every document keeps its probability.
 Pairing is a reduction tree.  A leaf is a (hash bucket, source) cell; a task
 reads its cells as a sorted stream and holds one open document at a time.  The
 open ones of each cell meet in the next, coarser level, until one per source is
-left, which is drawn by its own odds.  Draws come from hashes of the documents,
-so reruns agree whatever the partitions.
+left, which is drawn by its own odds.  Order and draws come from hashes of id
+and text; rows alike in both follow each other and draw by their rank among
+them, so reruns agree whatever the partitions.
 """
 
 from __future__ import annotations
@@ -34,6 +35,8 @@ MOST = 2.0
 #: Buckets of each level of the tree; the last has one cell for each source.
 LEVELS = (1024, 32, 1)
 SEED = 17
+#: Turns a draw for each further row of equal rows; fixed value, the golden section, which spreads them evenly.
+TURN = 0.6180339887498949
 
 
 def word_count(text: Column) -> Column:
@@ -107,6 +110,20 @@ def _play(size: np.ndarray, p: np.ndarray, draw: np.ndarray, cell: np.ndarray, c
     return out, closed, held, ended
 
 
+def _ranks(cell: np.ndarray, key: np.ndarray, before):
+    """(rank of each row in its run of equal cell and key, the last run); ``before`` is the last run of the rows ahead."""
+    if not len(key):
+        return np.zeros(0), before
+    new = np.ones(len(key), bool)
+    new[1:] = (key[1:] != key[:-1]) | (cell[1:] != cell[:-1])
+    at = np.arange(len(key))
+    rank = at - np.maximum.accumulate(np.where(new, at, 0))
+    if before and before[:2] == (cell[0], key[0]):
+        first = len(key) if new[1:].sum() == 0 else 1 + int(np.argmax(new[1:]))
+        rank[:first] += before[2] + 1
+    return rank, (cell[-1], key[-1], int(rank[-1]))
+
+
 def _level(rows: DataFrame, buckets: int, names: dict[str, str], last: bool) -> DataFrame:
     """One level of the tree: every row with its ``p`` moved on (open ones strictly between 0 and 1)."""
     key, size, p, draw, cell = (names[c] for c in ("key", "size", "p", "draw", "cell"))
@@ -115,7 +132,7 @@ def _level(rows: DataFrame, buckets: int, names: dict[str, str], last: bool) ->
     at = {c: rows.columns.index(names[c]) for c in names}
     n = len(rows.columns)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def play(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def put(batch: pa.RecordBatch, value) -> pa.RecordBatch:
             cols = [pa.array(value, pa.float64()) if i == at["p"] else batch.column(i) for i in range(n)]
             return pa.RecordBatch.from_arrays(cols, names=batch.schema.names)
@@ -123,13 +140,16 @@ def _level(rows: DataFrame, buckets: int, names: dict[str, str], last: bool) ->
         def end(row: pa.RecordBatch, value: float) -> pa.RecordBatch:
             """An open document without a partner: drawn by its own odds at the root."""
             if last:
-                value = float(row.column(at["draw"])[0].as_py() < value)
+                # the lower half of the draw's bits: the upper may have settled its last pair
+                value = float(row.column(at["draw"])[0].as_py() * (1 << 26) % 1 < value)
             return put(row, [value])
 
         carry = None  # (cell, size, p, the row)
+        run = None  # (cell, key, rank) of the last row
         for batch in batches:
             num = lambda c: batch.column(at[c]).to_numpy(zero_copy_only=False)  # noqa: E731,B023
-            out, closed, held, ended = _play(num("size"), num("p"), num("draw"), num("cell"), carry and carry[:3])
+            rank, run = _ranks(num("cell"), num("key"), run)
+            out, closed, held, ended = _play(num("size"), num("p"), (num("draw") + rank * TURN) % 1, num("cell"), carry and carry[:3])
             if carry and closed is not None:
                 yield put(carry[3], [closed])
             for c, s, value, row in ended:
@@ -144,7 +164,7 @@ def _level(rows: DataFrame, buckets: int, names: dict[str, str], last: bool) ->
         if carry:
             yield end(carry[3], carry[2])
 
-    return rows.mapInArrow(run, rows.schema).drop(cell)
+    return rows.mapInArrow(play, rows.schema).drop(cell)
 
 
 def copies(docs: DataFrame, name: str = "copies", weights=WEIGHTS, total: float = TOTAL, most: float = MOST,
@@ -155,16 +175,16 @@ def copies(docs: DataFrame, name: str = "copies", weights=WEIGHTS, total: float
     underscore if ``docs`` has columns of these names).  ``keep`` names the
     columns that move through the tree; all if not given.
     """
-    names = {c: fresh_name(docs, c) for c in ("size", "key", "p", "draw", "cell", "floor", "source_size", "target")}
-    size, key, p, draw, floor = (names[c] for c in ("size", "key", "p", "draw", "floor"))
-    rows = docs.withColumn(size, word_count(F.col("text"))).select(*(keep or docs.columns), size)
+    names = {c: fresh_name(docs, c) for c in ("size", "key", "p", "draw", "cell", "floor", "source_size", "target", "of")}
+    size, key, p, draw, floor, of = (names[c] for c in ("size", "key", "p", "draw", "floor", "of"))
+    drawn = lambda k: F.pmod(F.xxhash64(key, F.lit(seed + k)), F.lit(1 << 52)) / float(1 << 52)
+    kept = [F.col(f"`{c}`") for c in (keep or docs.columns)]
+    rows = docs.select(*kept, word_count(F.col("text")).alias(size), F.xxhash64("doc_id", "text", F.lit(seed)).alias(key))
     per = source_targets(rows.select("source", F.col(size).alias("size")), weights, total, most)
-    per = per.select(F.col("source").alias("_of"), F.col("source_size").alias(names["source_size"]), F.col("target").alias(names["target"]))
-    rows = rows.join(per, F.col("source").eqNullSafe(F.col("_of"))).drop("_of")
+    per = per.select(F.col("source").alias(of), F.col("source_size").alias(names["source_size"]), F.col("target").alias(names["target"]))
+    rows = rows.join(per, F.col("source").eqNullSafe(F.col(of))).drop(of)
     ratio = F.when(F.col(names["source_size"]) > 0, F.col(names["target"]) / F.col(names["source_size"])).otherwise(F.lit(0.0))
-    rows = (rows.withColumn(floor, F.floor(ratio)).withColumn(p, ratio - F.col(floor))
-            .withColumn(key, F.xxhash64("doc_id", size, F.lit(seed)))
-            .withColumn(draw, F.pmod(F.xxhash64("doc_id", size, F.lit(seed + 1)), F.lit(1 << 52)) / float(1 << 52)))
+    rows = rows.withColumn(floor, F.floor(ratio)).withColumn(p, ratio - F.col(floor)).withColumn(draw, drawn(1))
     tree = {c: names[c] for c in ("key", "size", "p", "draw", "cell")}
     done = None
     for k, buckets in enumerate(levels):
@@ -173,8 +193,7 @@ def copies(docs: DataFrame, name: str = "copies", weights=WEIGHTS, total: float
         settled = rows if last else rows.where((F.col(p) <= 0) | (F.col(p) >= 1))
         done = settled if done is None else done.union(settled)
         if not last:
-            rows = (rows.where((F.col(p) > 0) & (F.col(p) < 1))
-                    .withColumn(draw, F.pmod(F.xxhash64("doc_id", size, F.lit(seed + 2 + k)), F.lit(1 << 52)) / float(1 << 52)))
+            rows = rows.where((F.col(p) > 0) & (F.col(p) < 1)).withColumn(draw, drawn(2 + k))
     return done.withColumn(name, (F.col(floor) + F.col(p)).cast("int")).drop(key, p, draw, floor)
 
 

@@ -368,3 +368,63 @@ def test_mix_targets_and_totals(spark):
 
 def test_mix_keeps_other_columns(odd):
     assert mixing.repeated(odd).columns == odd.columns
+
+
+def test_mix_of_null_and_repeated_ids_in_other_layouts(spark):
+    """Rows without an id, of one size, and rows that are alike in all: the same texts are taken in any layout."""
+    data = [(None, f"t{k} w w", "a") for k in range(300)] + [(7, "same words", "a")] * 200 + [(k % 9, f"u{k}", "b") for k in range(300)]
+    docs = spark.createDataFrame(data, "doc_id long, text string, source string").withColumn("_of", F.lit(5)).withColumn("of", F.lit(6))
+    want = rows(mixing.repeated(docs).select("doc_id", "text"))
+    for n in (1, 7):
+        spark.conf.set("spark.sql.shuffle.partitions", n)
+        try:
+            assert rows(mixing.repeated(docs.repartition(n, "text")).select("doc_id", "text")) == want
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", 8)
+    same = Counter(r for r in want)[(7, "same words")]
+    assert 250 < same <= 400 and set(mixing.repeated(docs).select("_of", "of").distinct().collect()) == {(5, 6)}
+
+
+def test_ranks_go_on_between_batches():
+    cell, key = np.array([1, 1, 1, 1, 2, 2, 2, 3, 3, 3, 3, 3]), np.array([5, 5, 5, 6, 6, 6, 6, 6, 6, 6, 6, 7])
+    want = [0, 1, 2, 0, 0, 1, 2, 0, 1, 2, 3, 0]
+    for cut in range(len(key) + 1):
+        for end in range(cut, len(key) + 1):
+            got, run = [], None
+            for lo, hi in ((0, cut), (cut, end), (end, len(key))):
+                rank, run = mixing._ranks(cell[lo:hi], key[lo:hi], run)
+                got += rank.tolist()
+            assert got == want
+
+
+def test_pivotal_rounding_is_fair():
+    """Each document's share of being taken is its probability, and a pair's words stay: over many draws, sizes far apart."""
+    rng = np.random.default_rng(11)
+    size, p = np.array([1, 9, 4, 4, 30, 2, 7, 0, 12.0]), np.array([.5, .1, .9, .25, .4, 1, .6, .5, .3])
+    cell = np.zeros(len(p), np.int64)
+    total, n = np.zeros(len(p)), 6000
+    for _ in range(n):
+        out, _, held, _ = mixing._play(size, p, rng.random(len(p)), cell, None)
+        assert np.isnan(out).sum() == (held is not None)
+        assert held is None or np.isnan(out[held[3]])
+        if held:
+            out[held[3]] = held[2]
+        assert np.dot(out, size) == pytest.approx(np.dot(p, size))
+        assert all(v in (0, 1) for k, v in enumerate(out) if held is None or k != held[3])
+        total += out
+    assert np.abs(total / n - np.where(size > 0, p, 0)).max() < .03
+
+
+def test_a_level_in_batches_equals_one_stream():
+    """The carry between batches: cut anywhere, the rows get what one stream gives them."""
+    rng = np.random.default_rng(5)
+    n = 40
+    size, p, draw, cell = rng.integers(0, 9, n).astype(float), rng.random(n), rng.random(n), np.sort(rng.integers(0, 4, n))
+    want, _, _, ended = mixing._play(size, p, draw, cell, None)
+    for cut in range(n + 1):
+        one, _, held, _ = mixing._play(size[:cut], p[:cut], draw[:cut], cell[:cut], None)
+        two, closed, _, _ = mixing._play(size[cut:], p[cut:], draw[cut:], cell[cut:], held and held[:3])
+        got = np.concatenate([one, two])
+        if held and closed is not None:
+            got[held[3]] = closed
+        np.testing.assert_allclose(got, want)
