@@ -253,6 +253,43 @@ def test_chat_layouts_and_escapes(spark):
     assert chat.format_conversations(rows_.limit(0)).count() == 0
 
 
+def test_chat_fingerprint_reads_mapped_paths_only(spark):
+    """Further fields change nothing; a nested value where a text belongs, or two layouts at once, have no mapping."""
+    text = ['{"messages":[{"role":"human","content":"x","name":"n"},{"content":"y","role":"assistant"}],"id":7}',
+            '{"source":{"a":[1]},"prompt":"a","completion":5}', '{"data":{"prompt":"a","response":null,"x":1}}',
+            '{"system":"s","instruction":"a","input":"","output":"c","tags":[]}',
+            '{"prompt":{"a":"b"},"completion":"c"}', '{"prompt":"a","completion":"b","response":"c"}',
+            '{"messages":[{"role":"user","content":[{"text":"x"}]}]}', '{"messages":"x"}', "[1]", "{", None]
+    rows_ = spark.createDataFrame([(t, 1, 2) for t in text], "record string, parsed int, _v int")
+    got = chat.canonical_turns(rows_)
+    assert got.columns == ["record", "parsed", "_v", "fingerprint", "turns"]
+    assert [r.turns and [tuple(t) for t in r.turns] for r in got.collect()] == [
+        [("human", "x"), ("assistant", "y")], [("user", "a"), ("assistant", "5")], [("user", "a")],
+        [("system", "s"), ("user", "a"), ("assistant", "c")], None, None, None, None, None, None, None]
+    found = chat.layouts_found(got).collect()
+    assert sum(r.records for r in found) == len(text) and sum(r.records for r in found if r.layout is None) == 7
+    assert {r.layout for r in found} == {"messages", "prompt and completion", "nested prompt", "instruction with system", None}
+    assert [r.records for r in found if r.fingerprint is None] == [2]
+    assert "parts" in chat.formatted(got.withColumn("parts", F.lit(3))).columns
+
+
+def test_chat_conversations_use_every_layout(spark):
+    """Conversations dealt over all layouts come back turn by turn, with roles and empty texts as they were."""
+    data = []
+    for c in range(200):
+        data += [(c, 0, "user", f"q{c}"), (c, 1, "assistant", f"a\n{c}")]
+        data += [(1000 + c, 0, "system", "s"), (1000 + c, 1, "user", "q"), (1000 + c, 2, "assistant", f"a{c}")]
+        data += [(2000 + c, 0, "human", "q"), (2000 + c, 1, "gpt", None), (3000 + c, 0, "user", ""), (3000 + c, 1, "assistant", "x")]
+    rows_ = spark.createDataFrame(data, "conv_id long, turn int, role string, text string")
+    done = chat.format_conversations(rows_)
+    want = {}
+    for c, _, role, text in data:
+        want.setdefault(c, []).append((role, text or ""))
+    assert {r.conv_id: [tuple(t) for t in r.turns] for r in done.collect()} == want
+    found = {r.layout: r.records for r in chat.layouts_found(done).collect()}
+    assert set(found) == {layout.name for layout in chat.LAYOUTS} and min(found.values()) > 10
+
+
 def test_smith_waterman_equals_the_table():
     rng = np.random.default_rng(2)
     for _ in range(200):
