@@ -288,6 +288,18 @@ def usage_rollup(spark, sf_dir):
     }))
 
 
+@register("usage_rollup_minutes", orc.USAGE_ROLLUP_MINUTES_SQL)
+def usage_rollup_minutes(spark, sf_dir):
+    """Events rolled into 1m buckets per event type."""
+    from pyspark.sql import functions as F
+
+    ev = fx.table(spark, sf_dir, "events")
+    return ntz(rp.rollup(ev, "ts", "1m", ["event_type"], {
+        "events": F.count(F.lit(1)),
+        "output_tokens": F.sum(F.floor("value").cast("bigint")),
+    }))
+
+
 @register("invoice_normalise", orc.INVOICE_TABLE_SQL)
 def invoice_normalise(spark, sf_dir):
     """Invoice rows typed, month from the file name, footers dropped."""

@@ -340,6 +340,11 @@ SELECT date_trunc('hour', ts) AS bucket_start, event_type, count(*) AS events,
        CAST(round(sum(CAST(value AS DECIMAL(26,9))), 2) AS DOUBLE) AS value
 FROM events GROUP BY 1, 2"""
 
+USAGE_ROLLUP_MINUTES_SQL = """
+SELECT time_bucket(INTERVAL 1 MINUTE, ts) AS bucket_start, event_type, count(*) AS events,
+       CAST(sum(CAST(floor(value) AS BIGINT)) AS BIGINT) AS output_tokens
+FROM events GROUP BY 1, 2"""
+
 INVOICE_TABLE_SQL = with_views("""
 SELECT month AS invoice_month, 'Priority ' || sid AS service_description, sid AS service_id,
        CAST(list_c AS DOUBLE) / 100 AS list_cost,
