@@ -22,9 +22,6 @@ CDR_KEYS = ("usage_date", "record_id")
 # Landing columns that describe the request, not the row.
 LANDING_COLUMNS = ("product", "direction_requested", "request_start", "load_ordinal", "raw_json")
 
-CDR_COLUMNS = ["usage_date", "record_id", "product", "direction", "category", "total_price",
-               "currency", "network", "country", "status", "raw"]
-
 
 def category_for(product: Column, requested_direction: Column) -> Column:
     """Category from the product and the *requested* direction."""

@@ -72,7 +72,3 @@ def normalise_cur(raw: DataFrame, extra: list[str] | None = None) -> DataFrame:
     cols += [_typed(_raw(raw, src), kind).alias(dst) for src, dst, kind in CUR_COLUMNS]
     cols += [F.col(c) for c in (extra or [])]
     return raw.select(*cols)
-
-
-def cur_target_columns() -> list[str]:
-    return list(CUR_KEYS) + [dst for _, dst, _ in CUR_COLUMNS]

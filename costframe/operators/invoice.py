@@ -25,9 +25,6 @@ PERCENT_HEADER = "Percent change in subtotal compared to previous period"
 FOOTER_TOTAL_LABEL = "Subtotal"
 INVOICE_KEYS = ("invoice_month", "service_id")
 
-INVOICE_COLUMNS = ["invoice_month", "service_description", "service_id"] + [
-    c for _, c in AMOUNT_HEADERS] + ["percent_change_vs_previous"]
-
 
 def _h(df: DataFrame, name: str) -> Column:
     return F.col(f"`{name}`") if name in df.columns else F.lit(None).cast("string")

@@ -16,14 +16,6 @@ COST_DIMENSION_FIELDS = ["workspace_id", "description", "cost_type", "token_type
                          "model", "service_tier", "context_window", "inference_geo"]
 USAGE_KEYS = ("usage_date", "record_id")
 
-USAGE_COLUMNS = ["usage_date", "record_id", "bucket_start", "bucket_end"] + USAGE_DIMENSION_FIELDS + [
-    "uncached_input_tokens", "cache_read_input_tokens",
-    "cache_creation_ephemeral_5m_input_tokens", "cache_creation_ephemeral_1h_input_tokens",
-    "output_tokens", "web_search_requests"]
-COST_COLUMNS = ["usage_date", "record_id", "bucket_start", "bucket_end", "workspace_id", "description",
-                "cost_type", "token_type", "model", "service_tier", "context_window", "inference_geo",
-                "currency", "amount_usd"]
-
 
 def _explode_results(buckets: DataFrame, extra: list[str]) -> DataFrame:
     # explode (not explode_outer): a bucket with no results yields no rows.

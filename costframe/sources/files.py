@@ -51,11 +51,6 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
         out.close()
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    fs, hpath = _fs(spark, path)
-    return bool(fs.exists(hpath))
-
-
 def size(spark: SparkSession, path: str) -> int:
     """Bytes under a folder (file-system metadata only)."""
     fs, hpath = _fs(spark, path)
