@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import random
 import sys
 from collections import Counter
 
@@ -90,12 +91,62 @@ def test_token_counts_equal_the_library(spark):
         assert all(r.over_limit == (r.n_tokens > 50) for r in got)
 
 
-def test_emission_table_starts_anew_when_full():
-    e = token_counts.Emissions(token_counts.tokenizer_path(), most=3)
-    runs = [b"alpha", b"beta", b"gamma", b"delta", b"alpha"]
-    states = np.arange(5, dtype=np.uint64) % 4
-    for _ in range(2):
-        assert (e.look_up(states, lambda k: runs[k]) == e.encode(runs)).all()
+def library_counts(texts):
+    from tokenizers import Tokenizer
+
+    model = Tokenizer.from_file(token_counts.tokenizer_path())
+    return [len(e.ids) for e in model.encode_batch_fast(texts, add_special_tokens=False)]
+
+
+def odd_texts(n):
+    rng = random.Random(5)
+    signs = ["abcdefghijklmnopqrstuvwxyz", "etaoin srhld'", "ab", "éèüßñабвгд日本語 's't'll", "'srtlvmd!?. 09", "\n\t <>|/wendoftx", "a\u0301 \u00a0\u2028½١Σ"]
+    return ["".join(rng.choice(s) for _ in range(rng.randint(0, 200))) for s in signs for _ in range(n)]
+
+
+def test_transducer_equals_the_library_on_odd_texts():
+    machine = token_counts.Tokens(token_counts.tokenizer_path())
+    texts = odd_texts(40) + ["z" * 3000 + " y", "<|endoftext|>" * 3, "'", "don't'll"]
+    want = library_counts(texts)
+    for chunk in (1, 7, 64):
+        assert machine.count(texts, chunk).tolist() == want
+
+
+def test_transducer_table_starts_anew_when_full():
+    machine = token_counts.Tokens(token_counts.tokenizer_path(), most=3)
+    texts = odd_texts(3) + ["q" * 100 + "abc" * 30]
+    assert machine.count(texts).tolist() == machine.count(texts).tolist() == library_counts(texts)
+    assert len(machine.merger.keys) < 3000
+
+
+def test_long_texts_are_cut_at_white_space_only(monkeypatch):
+    texts = [" ".join(odd_texts(5)), "ab" * 500, "", "one two\tthree\nfour" * 20, " " * 300]
+    assert all("".join(token_counts.pieces(t, 50)) == t for t in texts)
+    assert all(p[0].isspace() for t in texts for p in list(token_counts.pieces(t, 50))[1:])
+    want = library_counts(texts)
+    monkeypatch.setattr(token_counts.pieces, "__defaults__", (50,))
+    assert token_counts.Tokens(token_counts.tokenizer_path()).count(texts).tolist() == want
+
+
+def test_tokens_stand_beside_each_other_as_the_merges_leave_them():
+    merger = token_counts.compiled(token_counts.tokenizer_path()).merger
+    rng = random.Random(3)
+    inner = [t for t, s in enumerate(merger.spelt) if s[-1] < 256]
+    for _ in range(3000):
+        a, b = rng.choice(inner), rng.randrange(len(merger.spelt))
+        assert merger.stands(a, b) == (merger.merged([*merger.spelt[a], *merger.spelt[b]]) == [a, b])
+
+
+def test_splitter_scan_equals_stepping():
+    elements, product = token_counts.monoid(token_counts.MOVES)
+    rng = np.random.default_rng(2)
+    maps = rng.integers(0, len(elements), 500).astype(np.uint8)
+    state, want = tuple(range(5)), []
+    for m in maps:
+        state = tuple(elements[m][s] for s in state)
+        want.append(state)
+    for chunk in (2, 9, 600):
+        assert [elements[k] for k in token_counts.composed(maps, product, chunk)] == want
 
 
 def test_quality_learns_and_holds_out(spark):
