@@ -64,8 +64,8 @@ def _chunked(body: Column) -> Column:
 def captures_to_write(pages: DataFrame, min_payload: int = MIN_PAYLOAD) -> DataFrame:
     """The texts of the records of ``pages`` (page_id, url, html), one row for each record.
 
-    Which record is a response is settled on identifiers and digests; only the
-    payloads of responses go through a shuffle, by page.
+    Which record is a response is settled on identifiers and digests; payloads
+    go through one shuffle, once for each page and payload.
     """
     body = F.coalesce(F.col("html"), F.lit(""))
     pages = pages.select("page_id", F.coalesce(F.col("page_id").cast("string"), F.lit("")).alias("pid"),
@@ -185,21 +185,22 @@ def read_warc(spark, path: str, with_payload: bool = True) -> DataFrame:
 def captures(records: DataFrame) -> DataFrame:
     """One nested row for each response or revisit: ``main``, its requests and its metadata records.
 
-    Requests and metadata are joined through WARC-Concurrent-To; a capture
-    without either has an empty array there.  Records that point to no capture
-    belong to none.
+    Requests and metadata meet the record that WARC-Concurrent-To names, in one
+    exchange of all records; a capture without either has an empty array there.
+    Records that point to no capture belong to none; of repeated main records
+    each has its row.
     """
-    def beside(kind: str, name: str) -> DataFrame:
-        return (records.where(F.col("type") == kind).where("concurrent_to is not null")
-                .groupBy(F.col("concurrent_to").alias("record_id"))
-                .agg(F.sort_array(F.collect_list(F.struct(F.col("record_id").alias("id"), F.map_entries("fields").alias("fields")))).alias(name)))
-
-    main = records.where(F.col("type").isin("response", "revisit"))
-    rest = [c for c in main.columns if c not in ("concurrent_to", "fields")]
-    out = main.select("record_id", F.struct(*rest).alias("main"))
-    for kind, name in (("request", "requests"), ("metadata", "metadata")):
-        out = out.join(beside(kind, name), "record_id", "left").withColumn(name, F.coalesce(name, F.array()))
-    return out
+    is_main = F.col("type").isin("response", "revisit")
+    rest = [c for c in records.columns if c not in ("concurrent_to", "fields")]
+
+    def beside(kind: str, name: str) -> Column:
+        note = F.struct(F.col("record_id").alias("id"), F.map_entries("fields").alias("fields"))
+        return F.sort_array(F.collect_list(F.when(F.col("type") == kind, note))).alias(name)
+
+    met = (records.withColumn("capture", F.when(is_main, F.col("record_id")).otherwise(F.col("concurrent_to")))
+           .where("capture is not null").groupBy(F.col("capture").alias("record_id"))
+           .agg(F.collect_list(F.when(is_main, F.struct(*rest))).alias("mains"), beside("request", "requests"), beside("metadata", "metadata")))
+    return met.select("record_id", F.explode("mains").alias("main"), "requests", "metadata")
 
 
 def archived(pages: DataFrame, path: str, min_payload: int = MIN_PAYLOAD) -> DataFrame:
@@ -219,6 +220,8 @@ def archived(pages: DataFrame, path: str, min_payload: int = MIN_PAYLOAD) -> Dat
                        "main.payload_digest", F.col("main.type").alias("record_type"),
                        # a key of its own that nothing has, so that responses don't meet under null
                        F.coalesce("main.refers_to", F.concat(F.lit("none "), "record_id")).alias("to"))
+    # written, so that the archives are parsed once for both sides of the join
+    rows = saved(rows, "captures")
     named = rows.where("record_type = 'response'").select(F.col("record_id").alias("to"), F.col("page_id").alias("refers_to"))
     return rows.join(named, "to", "left").select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
