@@ -21,8 +21,8 @@ U = np.uint64
 BASE = 0x9E3779B97F4A7C15
 BASE_INV = pow(BASE, -1, 1 << 64)
 #: Bytes hashed at once; a longer run of words is hashed in several steps.
-HASH_SPAN = 1 << 20
-SLICE_BYTES = 1 << 21
+HASH_SPAN = 1 << 19
+SLICE_BYTES = 1 << 19
 
 _POWERS: dict[str, np.ndarray] = {"up": np.ones(1, U), "down": np.ones(1, U)}
 

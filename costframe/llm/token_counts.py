@@ -418,7 +418,7 @@ def token_counts(docs: DataFrame, tokenizer: str = TOKENIZER, limit: int = LIMIT
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = compiled(tokenizer_path(tokenizer))
         for batch in batches:
-            for lo, hi, buf, off in text_slices(batch.column(1)):
+            for lo, hi, buf, off in text_slices(batch.column(1), 2 * PIECE):
                 raw = buf.tobytes()
                 n = machine.count([raw[a:b].decode() for a, b in zip(off[:-1], off[1:])], chunk_bytes)
                 yield pa.RecordBatch.from_arrays(
