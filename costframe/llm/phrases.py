@@ -37,10 +37,12 @@ TOP = 2000
 #: Longer candidates with this share (percent) of a phrase's count make it redundant.
 COVERED = 50
 #: Bytes of text counted together, bytes of packed counts handed on at once, rows merged at once, rows of a batch.
-COUNT_BYTES = 1 << 22
-PACKET_BYTES = 1 << 22
-MERGE_ROWS = 1 << 20
+COUNT_BYTES = 1 << 21
+PACKET_BYTES = 1 << 21
+MERGE_ROWS = 1 << 18
 ROWS = 50_000
+#: Partitions of the counts for each shuffle partition: a task holds the distinct n-grams of one.
+SPREAD = 4
 #: Groups of the levels in which the best of a language are found; none reads more than the best of 64 groups.
 GROUPS = (4096, 64, 1)
 
@@ -140,7 +142,7 @@ def count_stream(docs: DataFrame, longest: int = LONGEST, least: int = LEAST) ->
     A task packs its counts into one run for each partition of the shuffle, which
     merges the runs that it gets; a frequent phrase is one entry of a run.
     """
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = SPREAD * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -150,6 +152,7 @@ def count_stream(docs: DataFrame, longest: int = LONGEST, least: int = LEAST) ->
             hashes = hash_spans(chars, bounds[:-1], bounds[1:])
             for lo, hi, buf, off in text_slices(batch.column(1), COUNT_BYTES):
                 yield from _packets(names, list(gram_counts(buf, off, number[lo:hi], hashes, longest)), parts)
+            pa.default_memory_pool().release_unused()
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums, new, rows = None, [], 0
@@ -161,7 +164,9 @@ def count_stream(docs: DataFrame, longest: int = LONGEST, least: int = LEAST) ->
                     sums, new, rows = _sums([*new, sums] if sums is not None else new), [], 0
         if new or sums is not None:
             sums = _sums([*new, sums] if sums is not None else new)
-            yield from sums.filter((pc.field("f") >= least) | (pc.field("phrase") == "")).to_batches(ROWS)
+            sums = sums.filter((pc.field("f") >= least) | (pc.field("phrase") == ""))
+            pa.default_memory_pool().release_unused()
+            yield from sums.to_batches(ROWS)
 
     rows = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
     return rows.mapInArrow(run, "part int, run binary").repartitionById(parts, F.col("part")).mapInArrow(merge, COUNTS)

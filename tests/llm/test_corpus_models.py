@@ -73,6 +73,15 @@ def test_ranges_that_begin_inside_an_extension(spark):
     assert sorted(tuple(r) for r in got) == _brute(rows, 3, 1, 2000, 50)
 
 
+def test_counts_are_spread_over_more_tasks_than_the_shuffle_has(spark):
+    """A task merges the n-grams of its partition in memory: a fourth of a shuffle partition, every count in one place."""
+    docs = spark.createDataFrame([("en", " ".join(f"w{k % 700}" for k in range(5000)))] * 3, "lang string, text string")
+    counts = phrases.count_stream(docs, 2, 1)
+    assert counts.rdd.getNumPartitions() == 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    got = {(r.lang, r.phrase): r.f for r in counts.collect()}
+    assert len(got) == counts.count() == 1 + 700 + 700 and got["en", ""] == 15000 and got["en", "w699 w0"] == 21
+
+
 def test_phrases_of_large_counts_and_long_texts(spark):
     """Products beyond 64 bits, and one text of a few megabytes."""
     docs = spark.createDataFrame([("en", "big deal " * 300_000)], "lang string, text string")
