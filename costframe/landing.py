@@ -29,15 +29,30 @@ def _open_output(path: str):
     return filesystem.open_output_stream(inner)
 
 
+# Rows per report part.  A gzip part is read by one task, so it must not grow with its period.
+CUR_PART_ROWS = 250_000
+
+
 def land_cur(spark: SparkSession, raw: DataFrame, bucket_root: str, report: str,
-             assembly: str = "assembly-1") -> list[str]:
+             assembly: str = "assembly-1", part_rows: int = CUR_PART_ROWS) -> list[str]:
     """Write raw report rows as gzip CSV parts per billing period and one
-    manifest per period naming them.  Returns the periods written."""
+    manifest per period naming them.  Returns the periods written.
+
+    A period has a part for each ``part_rows`` of its rows, two at least, told
+    apart by a row hash; its rows are counted first (one number a period comes
+    to the driver), so that writers and parts follow the size of the report.
+    """
     base = f"{bucket_root.rstrip('/')}/{report}"
     date_text = F.col("`lineItem/UsageStartDate`")
     staged = raw.withColumn("_period", billing_period(F.substring(date_text, 1, 10).cast("date")))
     data_dir = f"{base}/_parts/{assembly}"
-    (staged.repartition(2, "_period", F.col("`identity/LineItemId`"))
+    counts = {r[0]: r[1] for r in staged.groupBy("_period").agg(F.count(F.lit(1))).collect()}
+    layout = spark.createDataFrame([(p, max(2, -(-n // part_rows))) for p, n in counts.items()], "_of string, _parts int")
+    tasks = max(2, -(-sum(counts.values()) // part_rows))
+    part = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in raw.columns]), F.col("_parts"))
+    (staged.join(F.broadcast(layout), F.col("_period").eqNullSafe(F.col("_of")))
+           .withColumn("_part", part).drop("_of", "_parts")
+           .repartition(tasks, "_period", "_part").drop("_part")
            .write.mode("overwrite").option("header", True).option("compression", "gzip")
            .option("escape", '"').partitionBy("_period").csv(data_dir))
     columns = [dict(zip(("category", "name"), c.split("/", 1))) if "/" in c else {"category": "", "name": c}
