@@ -7,7 +7,8 @@ days of the target are read where they lie.  The merged rows come out bucket by
 bucket too, so each task writes the files of its bucket.
 
 The number of buckets is fixed when the table is made; choose it so that a
-bucket of a day stays around the size of a file (``buckets_for``).
+bucket of a day stays around the size of a file (``buckets_for``).  A table made
+from many rows gets more: a merge sorts a bucket of all touched days in one task.
 """
 
 from __future__ import annotations
@@ -51,9 +52,18 @@ def buckets_for(day_bytes: int, part_bytes: int = WRITE_PART_BYTES) -> int:
     return max(1, -(-day_bytes // part_bytes))
 
 
-def create_bucketed(df: DataFrame, name: str, keys: Sequence[str], buckets: int, path: str | None = None, date_col: str = "usage_date") -> None:
-    """Save ``df`` as a new catalog table, partitioned by day, bucketed and sorted by the other ``keys``."""
+# Rows of a bucket over all days; what a task of the first write and of a merge sorts in memory.
+BUCKET_ROWS = 500_000
+
+
+def create_bucketed(df: DataFrame, name: str, keys: Sequence[str], buckets: int, path: str | None = None, date_col: str = "usage_date",
+                    bucket_rows: int = BUCKET_ROWS) -> None:
+    """Save ``df`` as a new catalog table, partitioned by day, bucketed and sorted by the other ``keys``.
+
+    It has ``buckets``, or one for each ``bucket_rows`` of its rows (they are counted first) if that is more.
+    """
     by = [k for k in keys if k != date_col]
+    buckets = max(buckets, -(-df.count() // bucket_rows))
     w = df.repartition(buckets, *by).write.format("parquet").partitionBy(date_col).bucketBy(buckets, *by).sortBy(*by)
     (w.option("path", path) if path else w).saveAsTable(name)
 

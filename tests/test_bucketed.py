@@ -82,5 +82,18 @@ def test_a_plain_table_is_refused(spark, workdir):
     spark.sql(f"DROP TABLE {name}")
 
 
+def test_a_bucket_of_all_days_is_bounded(spark, workdir):
+    """A merge task sorts a bucket of the touched days: more rows are more buckets, and the merge uses them all."""
+    name = f"bucketed_{uuid.uuid4().hex[:8]}"
+    rows_in = spark.createDataFrame([(d, f"r{k}", float(k), "ok") for d in (D1, D2, D3) for k in range(300)], SCHEMA)
+    bk.create_bucketed(rows_in, name, KEYS, 4, f"{workdir}/{name}", bucket_rows=100)
+    assert bk._bucket_spec(spark, name)[0] == 9
+    bk.upsert_bucketed(spark, name, rows_in.where("total_price < 200").replace("ok", "new"), KEYS)
+    assert len(spark.table(name).inputFiles()) == 27
+    want = [(d, f"r{k}", float(k), "new" if k < 200 else "ok") for d in (D1, D2, D3) for k in range(300)]
+    assert rows(spark.table(name)) == sorted(want)
+    spark.sql(f"DROP TABLE {name}")
+
+
 def test_buckets_follow_the_size_of_a_day():
     assert [bk.buckets_for(n, 100) for n in (0, 100, 101, 950)] == [1, 1, 2, 10]
