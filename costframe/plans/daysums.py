@@ -58,6 +58,10 @@ def refresh_day_sums(spark: SparkSession, bill: DataFrame, path: str, days: Sequ
         days = sorted(set(days))
         own = F.col(usage_day_col) if usage_day_col else F.to_date(F.col("usage_start_time").cast("timestamp"))
         bill = bill.filter(own.isin(days))
+    if days is None and not files.exists(spark, path):
+        # Nothing to keep and nothing to lose: the sums go straight into the new table.
+        write_table(day_sums(bill, fee_skus, tz).withColumn(MONTH, F.trunc(DAY, "MM")), path, MONTH, new_table=True)
+        return
     # Summed once, into a small staging table: it says which months have rows left.
     staged_path = scratch_path(spark, "day-sums")
     day_sums(bill, fee_skus, tz).withColumn(MONTH, F.trunc(DAY, "MM")).write.parquet(staged_path)

@@ -113,3 +113,16 @@ def test_day_sums_equal_the_report_over_rows_in_any_month(spark, workdir, offset
             want = rp.cost_breakdown(left, as_of, month_offset=offset, fee_skus=cat.FEE_SKUS, limit=None, **scope).collect()
             got = ds.cost_from_day_sums(sums, as_of, month_offset=offset, limit=None, **scope).collect()
             assert [tuple(r) for r in got] == [tuple(r) for r in want]
+
+
+def test_first_day_sums_are_written_once(spark, workdir, monkeypatch):
+    """A new table needs no staging copy; making an existing one again keeps its sums until the new ones are there."""
+    path = f"{workdir}/first"
+    bill = fx.bill(spark, SF_SMALL).filter(F.year("usage_start_time") == 1998)
+    with monkeypatch.context() as m:
+        m.setattr(ds, "scratch_path", lambda *_: pytest.fail("the sums of a new table are staged"))
+        ds.refresh_day_sums(spark, bill, path)
+    want = [tuple(r) for r in rp.cost_breakdown(bill, cat.AS_OF_SUMMER, limit=None).collect()]
+    for _ in range(2):
+        assert [tuple(r) for r in ds.cost_from_day_sums(spark.read.parquet(path), cat.AS_OF_SUMMER, limit=None).collect()] == want != []
+        ds.refresh_day_sums(spark, bill, path)
