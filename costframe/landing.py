@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions.dates import billing_period
+from .session import FREE_SHUFFLES, settings
 from .sources import files
 from .sources.cur import manifest_path
 
@@ -31,6 +32,8 @@ def _open_output(path: str):
 
 # Rows per report part.  A gzip part is read by one task, so it must not grow with its period.
 CUR_PART_ROWS = 250_000
+# Parts that a writer keeps open, one a period; rows of further periods are sorted first.
+CUR_OPEN_PARTS = 120
 
 
 def land_cur(spark: SparkSession, raw: DataFrame, bucket_root: str, report: str,
@@ -38,23 +41,21 @@ def land_cur(spark: SparkSession, raw: DataFrame, bucket_root: str, report: str,
     """Write raw report rows as gzip CSV parts per billing period and one
     manifest per period naming them.  Returns the periods written.
 
-    A period has a part for each ``part_rows`` of its rows, two at least, told
-    apart by a row hash; its rows are counted first (one number a period comes
-    to the driver), so that writers and parts follow the size of the report.
+    Every task writes its own rows, a part open for each of their periods and
+    a new one after ``part_rows``: the raw text, several times the size of what
+    it is made from, is neither shuffled nor sorted.  The rows are counted first
+    (one number comes to the driver), so that the writers, and with them the
+    parts, follow the size of the report and not the pieces that it comes in.
     """
     base = f"{bucket_root.rstrip('/')}/{report}"
     date_text = F.col("`lineItem/UsageStartDate`")
     staged = raw.withColumn("_period", billing_period(F.substring(date_text, 1, 10).cast("date")))
     data_dir = f"{base}/_parts/{assembly}"
-    counts = {r[0]: r[1] for r in staged.groupBy("_period").agg(F.count(F.lit(1))).collect()}
-    layout = spark.createDataFrame([(p, max(2, -(-n // part_rows))) for p, n in counts.items()], "_of string, _parts int")
-    tasks = max(2, -(-sum(counts.values()) // part_rows))
-    part = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in raw.columns]), F.col("_parts"))
-    (staged.join(F.broadcast(layout), F.col("_period").eqNullSafe(F.col("_of")))
-           .withColumn("_part", part).drop("_of", "_parts")
-           .repartition(tasks, "_period", "_part").drop("_part")
-           .write.mode("overwrite").option("header", True).option("compression", "gzip")
-           .option("escape", '"').partitionBy("_period").csv(data_dir))
+    with settings(spark, FREE_SHUFFLES | {"spark.sql.maxConcurrentOutputFileWriters": str(CUR_OPEN_PARTS)}):
+        writers = max(2, spark.sparkContext.defaultParallelism, -(-raw.count() // part_rows))
+        (staged.coalesce(writers)
+               .write.mode("overwrite").option("header", True).option("compression", "gzip")
+               .option("escape", '"').option("maxRecordsPerFile", part_rows).partitionBy("_period").csv(data_dir))
     columns = [dict(zip(("category", "name"), c.split("/", 1))) if "/" in c else {"category": "", "name": c}
                for c in raw.columns]
     periods = []

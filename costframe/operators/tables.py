@@ -19,13 +19,14 @@ updates matched keys and inserts the rest, never deleting.  Here:
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+import uuid
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import scratch_path
+from ..session import FREE_SHUFFLES, scratch_path, settings
 from ..sources import files
 
 ORDINAL = "load_ordinal"
@@ -97,6 +98,10 @@ def replace_days(target: DataFrame, source: DataFrame, date_col: str = "usage_da
 
 # Target bytes of Parquet per write task (and so per file).
 WRITE_PART_BYTES = 256 << 20
+# Bytes of Parquet merged at once, in all or per core if that is more; a load well beyond has about so many waves.
+WAVE_BYTES = 512 << 20
+WAVE_CORE_BYTES = 32 << 20
+MOST_WAVES = 16
 
 
 def write_table(df: DataFrame, path: str, date_col: str = "usage_date", new_table: bool = False) -> None:
@@ -171,6 +176,19 @@ def day_layout(sizes: dict, least_tasks: int, part_bytes: int = WRITE_PART_BYTES
     return out
 
 
+def day_waves(sizes: dict, limit: int) -> list[dict]:
+    """``sizes`` cut into runs of successive days of ``limit`` bytes at most; a larger day is a run of its own."""
+    waves: list[dict] = []
+    held = 0
+    for day in sorted(sizes):
+        if not waves or held + sizes[day] > limit:
+            waves.append({})
+            held = 0
+        waves[-1][day] = sizes[day]
+        held += sizes[day]
+    return waves
+
+
 def merged_days(loads: DataFrame, target: DataFrame | None, keys: Sequence[str], layout: DataFrame, tasks: int,
                 date_col: str, ordinal: str | None, keep_ordinal: bool) -> DataFrame:
     """One row per key of ``loads`` and the ``target`` days, in the layout that they are written in.
@@ -206,7 +224,12 @@ def upsert_days(spark: SparkSession, target_path: str, source: DataFrame, keys:
                 date_col: str = "usage_date", ordinal: str | None = None,
                 mode: str = "upsert", keep_ordinal: bool = False) -> tuple[dict, list]:
     """:func:`upsert_table`, with the list of the days that it replaced."""
-    keys = list(keys)
+    with settings(spark, FREE_SHUFFLES):
+        return _upsert_days(spark, target_path, source, list(keys), date_col, ordinal, mode, keep_ordinal)
+
+
+def _upsert_days(spark: SparkSession, target_path: str, source: DataFrame, keys: list[str], date_col: str,
+                 ordinal: str | None, mode: str, keep_ordinal: bool) -> tuple[dict, list]:
     staged_path = scratch_path(spark, "staging")
     obs = Observation("staged")
     source.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(staged_path)
@@ -224,16 +247,25 @@ def upsert_days(spark: SparkSession, target_path: str, source: DataFrame, keys:
     present = [f"{target_path.rstrip('/')}/{date_col}={d}" for d in sorted(replaced)]
     row_bytes = max(1, files.size(spark, staged_path) // staged_rows)
     sizes = {d: n * row_bytes + replaced.get(str(d), 0) for d, n in per_day.items()}
-    layout = day_layout(sizes, 4 * spark.sparkContext.defaultParallelism)
-    tasks = sum(parts for _, pack, parts in layout if parts > 1) + len({pack for _, pack, parts in layout if parts == 1})
-    plan = spark.createDataFrame(layout, T.StructType([T.StructField(date_col, staged.schema[date_col].dataType),
-                                                       T.StructField("_pack", T.IntegerType()), T.StructField("_parts", T.IntegerType())]))
     target = spark.read.option("basePath", target_path).parquet(*present) if present else None
     if target is not None and mode == "replace_days":
         aligned(staged.drop(ordinal or ORDINAL), target)
         target = None
+    cores = spark.sparkContext.defaultParallelism
+
+    def merged(loads: DataFrame, rows: DataFrame | None, wave: dict) -> DataFrame:
+        layout = day_layout(wave, 4 * cores)
+        tasks = sum(parts for _, pack, parts in layout if parts > 1) + len({pack for _, pack, parts in layout if parts == 1})
+        plan = spark.createDataFrame(layout, T.StructType([T.StructField(date_col, staged.schema[date_col].dataType),
+                                                           T.StructField("_pack", T.IntegerType()), T.StructField("_parts", T.IntegerType())]))
+        return merged_days(loads, rows, keys, plan, tasks, date_col, ordinal, keep_ordinal)
+
+    waves = day_waves(sizes, max(WAVE_BYTES, cores * WAVE_CORE_BYTES, -(-sum(sizes.values()) // MOST_WAVES)))
     try:
-        _write_days(merged_days(staged, target, keys, plan, tasks, date_col, ordinal, keep_ordinal), target_path, date_col, new_table)
+        if len(waves) == 1:
+            _write_days(merged(staged, target, sizes), target_path, date_col, new_table)
+        else:
+            _write_waves(spark, staged, target, waves, merged, staged_path, target_path, date_col, new_table)
     except Exception as e:
         found = re.search(rf"{DUPLICATE}: [^\n]*?\}}", str(e))
         if found:
@@ -245,6 +277,37 @@ def upsert_days(spark: SparkSession, target_path: str, source: DataFrame, keys:
     return {"staged_rows": staged_rows, "days": len(days)}, days
 
 
+def _write_waves(spark: SparkSession, staged: DataFrame, target: DataFrame | None, waves: list[dict],
+                 merged: Callable[[DataFrame, DataFrame | None, dict], DataFrame], staged_path: str,
+                 target_path: str, date_col: str, new_table: bool) -> None:
+    """The merged days, wave by wave, beside the table; all move in when the last one is there.
+
+    A wave opens the staged files that have its days (one row a file reaches the
+    driver), and files that no later wave needs go after it, so that the disk
+    holds a row about once: staged, in the wave's exchange, or merged.
+    """
+    spans = staged.groupBy(F.col("_metadata.file_name").alias("file")).agg(F.min(date_col).alias("first"), F.max(date_col).alias("last")).collect()
+    folder, _, name = target_path.rstrip("/").rpartition("/")
+    merging = f"{folder}/.{name}-merging-{uuid.uuid4().hex[:12]}"
+    try:
+        for wave in waves:
+            first, last = min(wave), max(wave)
+            of_wave = F.col(date_col).between(F.lit(first), F.lit(last))
+            loads = spark.read.schema(staged.schema).parquet(*[f"{staged_path}/{s.file}" for s in spans if s.first <= last and s.last >= first]).filter(of_wave)
+            rows = target.filter(of_wave) if target is not None else None
+            merged(loads, rows, wave).write.mode("append").partitionBy(date_col).parquet(merging)
+            for s in spans:
+                if first <= s.last <= last:
+                    files.delete(spark, f"{staged_path}/{s.file}")
+        if new_table:
+            files.move(spark, merging, target_path)
+        else:
+            for path in files.glob(spark, f"{merging}/{date_col}=*"):
+                files.move(spark, path, f"{target_path.rstrip('/')}/{path.rsplit('/', 1)[1]}")
+    finally:
+        files.delete(spark, merging)
+
+
 def upsert_table(spark: SparkSession, target_path: str, source: DataFrame, keys: Sequence[str],
                  date_col: str = "usage_date", ordinal: str | None = None,
                  mode: str = "upsert", keep_ordinal: bool = False) -> dict:
@@ -258,7 +321,9 @@ def upsert_table(spark: SparkSession, target_path: str, source: DataFrame, keys:
        map-side) and add the bytes of the target's files of those days: the layout.
     4. Merge the staged rows with those days of the target in that layout
        (:func:`merged_days`: one exchange) and overwrite them (dynamic
-       partition overwrite).  A key twice inside one load fails the job
+       partition overwrite).  A load beyond ``WAVE_BYTES`` goes in waves of
+       successive days, an exchange each, whose shuffle files go before the
+       next (:func:`_write_waves`).  A key twice inside one load fails the job
        before anything is replaced.
 
     ``keep_ordinal`` is the merge on condition: the table keeps the ordinal of

@@ -79,6 +79,16 @@ def delete(spark: SparkSession, path: str) -> bool:
     return bool(fs.delete(hpath, True)) if fs.exists(hpath) else False
 
 
+def move(spark: SparkSession, source: str, to: str) -> None:
+    """Rename a folder inside one file system; what is at ``to`` is replaced."""
+    fs, hpath = _fs(spark, source)
+    target = _fs(spark, to)[1]
+    if fs.exists(target):
+        fs.delete(target, True)
+    if not fs.rename(hpath, target):
+        raise OSError(f"could not rename {source} to {to}")
+
+
 def csv_headers(spark: SparkSession, paths: list[str]) -> dict[tuple[str, ...], list[str]]:
     """The files of each header, its names in order; blank names go by their place.
 
