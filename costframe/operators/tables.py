@@ -99,8 +99,8 @@ def replace_days(target: DataFrame, source: DataFrame, date_col: str = "usage_da
 # Target bytes of Parquet per write task (and so per file).
 WRITE_PART_BYTES = 256 << 20
 # Bytes of Parquet merged at once, in all or per core if that is more; a load well beyond has about so many waves.
-WAVE_BYTES = 512 << 20
-WAVE_CORE_BYTES = 32 << 20
+WAVE_BYTES = 128 << 20
+WAVE_CORE_BYTES = 16 << 20
 MOST_WAVES = 16
 
 
